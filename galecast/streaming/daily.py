@@ -52,13 +52,17 @@ def upsert_days(batch: DataFrame, path: str) -> None:
     """
     spark = batch.sparkSession
     keys = ["date", "admin_names"]
+    # Used three times below; without this each use would run the stream's aggregation again.
+    batch = batch.select(*DAILY_EXPORT).persist()
+    rows = batch
     stored = stored_days(spark, path)
-    rows = batch.select(*DAILY_EXPORT)
     if stored is not None:
-        touched = F.broadcast(batch.select("date").distinct())
-        kept = stored.join(touched, "date", "left_semi").join(batch.select(*keys), keys, "left_anti")
-        rows = kept.select(*DAILY_EXPORT).unionByName(rows)
+        kept = stored.join(batch.select("date").distinct(), "date", "left_semi").join(
+            batch.select(*keys), keys, "left_anti"
+        )
+        rows = kept.select(*DAILY_EXPORT).unionByName(batch)
     write_table(rows, path, ["date"])
+    batch.unpersist()
 
 
 def keep_daily(
