@@ -166,7 +166,7 @@ SELECT lpad(CAST(c_custkey AS string), 10, '0') AS admin_code,
 FROM {customer}""",
     # Points of regions, with repeated codes and some without a place.
     "fx_points": """
-SELECT lpad(CAST(floor(c_custkey / 3) AS string), 10, '0') AS admin_code,
+SELECT lpad(CAST(CAST(floor(c_custkey / 3) AS bigint) AS string), 10, '0') AS admin_code,
   c_mktsegment || '-' || CAST(c_nationkey AS string) AS admin_name,
   CASE WHEN c_custkey % 29 = 0 THEN NULL ELSE 33e0 + (c_custkey % 97) * 55e-3 END AS lat,
   CASE WHEN c_custkey % 29 = 0 THEN NULL ELSE 125e0 + (c_custkey % 89) * 6e-2 END AS lon

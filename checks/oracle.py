@@ -12,7 +12,7 @@ SCORES = ("R_rain", "R_heat", "R_wind", "R_uv", "R_typhoon", "R_total")
 
 
 def r6(x: str) -> str:
-    return f"(floor(({x}) * 1e6 + 0.5) / 1e6)"
+    return f"(floor(({x}) * 1e6 + 0.49) / 1e6)"
 
 
 def r6s(*names: str) -> str:

@@ -29,9 +29,13 @@ SCORES = ("R_rain", "R_heat", "R_wind", "R_uv", "R_typhoon", "R_total")
 
 
 def r6(column: Column | str) -> Column:
-    """Six decimals by the same arithmetic in both engines."""
+    """Six decimals by the same arithmetic in both engines.
+
+    Not cut at exact halves: scores made of short decimals often end there, and
+    the last bit, which may differ between engines, would decide.
+    """
     c = F.col(column) if isinstance(column, str) else column
-    return F.floor(c * 1e6 + 0.5).cast("double") / 1e6
+    return F.floor(c * 1e6 + 0.49).cast("double") / 1e6
 
 
 def rounded(df: DataFrame, *names: str) -> DataFrame:
