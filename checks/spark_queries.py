@@ -234,9 +234,9 @@ def percentile_minmax(t: Tables) -> DataFrame:
     return placed.select("dt", "seq", r6("p5").alias("p5"), r6("p95").alias("p95"), r6(scaled).alias("scaled"))
 
 
-def scored(name: str, hazard: scoring.Hazard, without: tuple[str, ...] = ()) -> Callable[[Tables], DataFrame]:
+def scored(name: str, without: tuple[str, ...] = ()) -> Callable[[Tables], DataFrame]:
     def query(t: Tables) -> DataFrame:
-        df = scoring.add_scores(t("fx_score").drop(*without), {name: hazard})
+        df = scoring.add_scores(t("fx_score").drop(*without), {name: scoring.HAZARDS[name]})
         return df.select("dt", "seq", r6(f"R_{name}").alias(f"R_{name}"))
 
     return query
@@ -526,12 +526,12 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "parse_mm_search": amounts(precip.mm_search),
     "parse_mm_collector": amounts(precip.mm_collector),
     "percentile_minmax": percentile_minmax,
-    "rain_risk": scored("rain", scoring.rain),
-    "heat_risk": scored("heat", scoring.heat),
-    "wind_risk": scored("wind", scoring.wind),
-    "uv_risk_direct": scored("uv", scoring.uv),
-    "uv_risk_estimated": scored("uv", scoring.uv, without=("UVI",)),
-    "typhoon_risk": scored("typhoon", scoring.typhoon),
+    "rain_risk": scored("rain"),
+    "heat_risk": scored("heat"),
+    "wind_risk": scored("wind"),
+    "uv_risk_direct": scored("uv"),
+    "uv_risk_estimated": scored("uv", without=("UVI",)),
+    "typhoon_risk": scored("typhoon"),
     "total_risk": total_risk,
     "score_all": score_all,
     "track_clean": track_clean,

@@ -25,20 +25,20 @@ YEAR_RANGE = (2000, 2100)
 
 
 def date_text(value: Column) -> Column:
-    return F.regexp_replace(value.cast("string"), "-", "")
+    return F.replace(value.cast("string"), F.lit("-"), F.lit(""))
 
 
 def time_text(value: Column) -> Column:
     """Four digits; longer texts keep their first four."""
-    return F.lpad(F.regexp_replace(value.cast("string"), ":", ""), 4, "0")
+    return F.lpad(F.replace(value.cast("string"), F.lit(":"), F.lit("")), 4, "0")
 
 
 def forecast_clock(date: Column, time: Column) -> Column:
     """``yyyyMMdd`` and ``HHmm`` to a wall-clock time; null when either is malformed."""
-    iso = F.regexp_replace(
-        F.concat(date, time),
-        r"^(\d{4})(\d{2})(\d{2})(\d{2})(\d{2})$",
-        "$1-$2-$3 $4:$5:00",
+    iso = F.concat(
+        F.substring(date, 1, 4), F.lit("-"), F.substring(date, 5, 2), F.lit("-"),
+        F.substring(date, 7, 2), F.lit(" "), F.substring(time, 1, 2), F.lit(":"),
+        F.substring(time, 3, 2), F.lit(":00"),
     )
     return F.when(
         date.rlike(r"^\d{8}$") & time.rlike(r"^\d{4}$"), iso.try_cast("timestamp_ntz")

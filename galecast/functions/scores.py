@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass
+from functools import reduce
+from operator import add
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -192,17 +194,11 @@ def storm_score(distance: Column, strength: Column, warning: Column) -> Column:
     return STORM_FLOOR + (1.0 - STORM_FLOOR) * scaled
 
 
-def total_score(
-    scores: Mapping[str, Column], weights: Mapping[str, float] | None = None
-) -> Column:
+def total_score(scores: Mapping[str, Column], weights: Mapping[str, float] = WEIGHTS) -> Column:
     """Peak hazard and weighted mean in fixed shares."""
-    weights = WEIGHTS if weights is None else weights
-    mean = None
-    for name, score in scores.items():
-        part = weights[name] * score
-        mean = part if mean is None else mean + part
     columns = list(scores.values())
     peak = columns[0] if len(columns) == 1 else F.greatest(*columns)
+    mean = reduce(add, [weights[name] * score for name, score in scores.items()])
     return clip(PEAK_SHARE * peak + MEAN_SHARE * clip(mean, 0.0, 1.0), 0.0, 1.0)
 
 

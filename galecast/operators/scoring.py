@@ -8,6 +8,7 @@ estimated), and whether the run has any ``T1H`` at all.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,8 +21,38 @@ from galecast.operators.percentiles import RUN, join_scope, scope_percentiles
 UV_COLUMNS = ("UVI", "UV_INDEX", "UV")
 STORM_COLUMNS = ("TY_DISTANCE_KM", "TY_MAX_WIND", "TY_WARNING")
 
-# Score of a hazard from the table it is asked for.
-Hazard = Callable[[DataFrame], Column]
+Columns = Mapping[str, Column]
+
+
+def _nothing(df: DataFrame) -> Columns:
+    return {}
+
+
+def _no_statistics(df: DataFrame, scope: Sequence[str]) -> DataFrame | None:
+    return None
+
+
+@dataclass(frozen=True)
+class Hazard:
+    """How one hazard is scored.
+
+    ``inputs`` reads what the score needs from the table; it is worked out once
+    per row, as columns of their own. ``score`` is made of those columns.
+    ``statistics`` gives the numbers of the run it needs, one row per scope.
+    """
+
+    score: Callable[[Columns], Column]
+    inputs: Callable[[DataFrame], Columns] = _nothing
+    statistics: Callable[[DataFrame, Sequence[str]], DataFrame | None] = _no_statistics
+
+
+def _percentile_range(df: DataFrame, value: Column, scope: Sequence[str], name: str) -> DataFrame:
+    return scope_percentiles(
+        df, value, scope, S.NORMALISE_PERCENTILES, (f"_{name}_low", f"_{name}_high")
+    )
+
+
+# ---- rain ------------------------------------------------------------------
 
 
 def _amount(df: DataFrame, name: str) -> Column:
@@ -30,113 +61,177 @@ def _amount(df: DataFrame, name: str) -> Column:
     return F.coalesce(pick_mm(df, [name]), F.lit(0.0))
 
 
-def rain(df: DataFrame, settings: S.RainSettings = S.RainSettings()) -> Column:
-    return S.rain_score(_amount(df, "RN1"), _amount(df, "PCP"), pick_number(df, ["POP"]), settings)
+def _rain_inputs(df: DataFrame) -> Columns:
+    return {
+        "rate": _amount(df, "RN1"), "amount": _amount(df, "PCP"), "chance": pick_number(df, ["POP"])
+    }
+
+
+def rain_hazard(settings: S.RainSettings = S.RainSettings()) -> Hazard:
+    return Hazard(
+        lambda c: S.rain_score(c["rate"], c["amount"], c["chance"], settings), _rain_inputs
+    )
+
+
+# ---- heat ------------------------------------------------------------------
 
 
-def heat(df: DataFrame) -> Column:
+def _heat_inputs(df: DataFrame) -> Columns:
     temperature = as_number(df, "T1H")
     if "_has_t1h" in df.columns:
         temperature = F.when(F.col("_has_t1h"), temperature).otherwise(as_number(df, "TMP"))
-    return S.heat_score(temperature, as_number(df, "REH"), as_number(df, "WSD"))
+    return {
+        "temperature": temperature, "humidity": as_number(df, "REH"), "wind": as_number(df, "WSD")
+    }
+
+
+def _heat_statistics(df: DataFrame, scope: Sequence[str]) -> DataFrame | None:
+    """Whether the run has any T1H; TMP stands in only where it has none."""
+    if not {"T1H", "TMP"} <= set(df.columns):
+        return None
+    return df.groupBy(*scope).agg((F.count(as_number(df, "T1H")) > 0).alias("_has_t1h"))
 
 
-def wind(df: DataFrame) -> Column:
+# ---- wind ------------------------------------------------------------------
+
+
+def _wind_inputs(df: DataFrame) -> Columns:
     speed = pick_number(df, ["WSD"])
     if {"UUU", "VVV"} <= set(df.columns):
         speed = S.wind_speed(speed, as_number(df, "UUU"), as_number(df, "VVV"))
-    return S.wind_score(speed)
+    return {"speed": speed}
 
 
-def uv(df: DataFrame) -> Column:
-    given = next((c for c in UV_COLUMNS if c in df.columns), None)
-    if given:
-        return S.uv_score(as_number(df, given))
-    return uv_estimate(df)
+# ---- UV --------------------------------------------------------------------
+
+
+def uv_column(df: DataFrame) -> str | None:
+    """The index column of the table; without one the index is estimated."""
+    return next((c for c in UV_COLUMNS if c in df.columns), None)
 
 
-def uv_estimate(df: DataFrame) -> Column:
-    warmth = S.percentile_scale(temperature_for_uv(df), F.col("_warm_lo"), F.col("_warm_hi"))
+def _uv_inputs(df: DataFrame) -> Columns:
+    given = uv_column(df)
+    if given:
+        return {"index": as_number(df, given)}
     hour = F.substring(F.col("fcstTime").cast("string"), 1, 2).try_cast("int")
-    daylight = S.daylight_factor(F.coalesce(hour, F.lit(12)))
-    amount = pick_mm(df, ["PCP"]) if variants(df, "PCP") else None
-    chance = pick_number(df, ["POP"]) if variants(df, "POP") else None
-    return S.uv_estimate_score(
-        pick_number(df, ["SKY"]), warmth, daylight, S.rain_dampening(amount, chance)
+    damping = S.rain_dampening(
+        pick_mm(df, ["PCP"]) if variants(df, "PCP") else None,
+        pick_number(df, ["POP"]) if variants(df, "POP") else None,
     )
+    return {
+        "sky": pick_number(df, ["SKY"]),
+        "warmth": S.percentile_scale(
+            pick_number(df, ["T1H", "TMP"]), F.col("_warm_low"), F.col("_warm_high")
+        ),
+        "daylight": S.daylight_factor(F.coalesce(hour, F.lit(12))),
+        "damping": damping,
+    }
+
+
+def _uv_score(c: Columns) -> Column:
+    if "index" in c:
+        return S.uv_score(c["index"])
+    return S.uv_estimate_score(c["sky"], c["warmth"], c["daylight"], c["damping"])
+
+
+def _uv_statistics(df: DataFrame, scope: Sequence[str]) -> DataFrame | None:
+    if uv_column(df):
+        return None
+    return _percentile_range(df, pick_number(df, ["T1H", "TMP"]), scope, "warm")
 
 
-def temperature_for_uv(df: DataFrame) -> Column:
-    return pick_number(df, ["T1H", "TMP"])
+# ---- storm -----------------------------------------------------------------
 
 
-def typhoon(df: DataFrame) -> Column:
-    if not set(STORM_COLUMNS) & set(df.columns):
+def _has_storm(df: DataFrame) -> bool:
+    return bool(set(STORM_COLUMNS) & set(df.columns))
+
+
+def _storm_inputs(df: DataFrame) -> Columns:
+    if not _has_storm(df):
+        return {}
+    return {
+        "distance": as_number(df, "TY_DISTANCE_KM"),
+        "strength": S.percentile_scale(
+            as_number(df, "TY_MAX_WIND"), F.col("_storm_low"), F.col("_storm_high")
+        ),
+        "warning": as_number(df, "TY_WARNING"),
+    }
+
+
+def _storm_score(c: Columns) -> Column:
+    if not c:
         return F.lit(0.0)
-    strength = S.percentile_scale(
-        as_number(df, "TY_MAX_WIND"), F.col("_storm_lo"), F.col("_storm_hi")
-    )
-    return S.storm_score(as_number(df, "TY_DISTANCE_KM"), strength, as_number(df, "TY_WARNING"))
+    return S.storm_score(c["distance"], c["strength"], c["warning"])
+
+
+def _storm_statistics(df: DataFrame, scope: Sequence[str]) -> DataFrame | None:
+    if not _has_storm(df):
+        return None
+    return _percentile_range(df, as_number(df, "TY_MAX_WIND"), scope, "storm")
 
 
 HAZARDS: Mapping[str, Hazard] = {
-    "rain": rain, "heat": heat, "wind": wind, "uv": uv, "typhoon": typhoon,
+    "rain": rain_hazard(),
+    "heat": Hazard(
+        lambda c: S.heat_score(c["temperature"], c["humidity"], c["wind"]),
+        _heat_inputs,
+        _heat_statistics,
+    ),
+    "wind": Hazard(lambda c: S.wind_score(c["speed"]), _wind_inputs),
+    "uv": Hazard(_uv_score, _uv_inputs, _uv_statistics),
+    "typhoon": Hazard(_storm_score, _storm_inputs, _storm_statistics),
 }
 
 
-def run_statistics(df: DataFrame, hazards: Sequence[str], scope: Sequence[str]) -> list[DataFrame]:
-    """The tables, one row per run, that the given hazards need from this input."""
-    columns = set(df.columns)
-    tables = []
-    if "typhoon" in hazards and set(STORM_COLUMNS) & columns:
-        tables.append(
-            scope_percentiles(
-                df, as_number(df, "TY_MAX_WIND"), scope, S.NORMALISE_PERCENTILES, ("_storm_lo", "_storm_hi")
-            )
-        )
-    if "uv" in hazards and not set(UV_COLUMNS) & columns or "uv_estimate" in hazards:
-        tables.append(
-            scope_percentiles(
-                df, temperature_for_uv(df), scope, S.NORMALISE_PERCENTILES, ("_warm_lo", "_warm_hi")
-            )
-        )
-    if "heat" in hazards and {"T1H", "TMP"} <= columns:
-        tables.append(
-            df.groupBy(*scope).agg((F.count(as_number(df, "T1H")) > 0).alias("_has_t1h"))
-        )
-    return tables
-
-
-def with_run_statistics(
-    df: DataFrame, hazards: Sequence[str], scope: Sequence[str] = RUN
-) -> DataFrame:
-    """Add those numbers to every row."""
-    for table in run_statistics(df, hazards, list(scope)):
-        df = join_scope(df, table, scope)
-    return df
+def prepare(
+    df: DataFrame, hazards: Mapping[str, Hazard], scope: Sequence[str] = RUN
+) -> tuple[DataFrame, dict[str, Columns]]:
+    """The table with the run's numbers and the inputs of every hazard, and where they are."""
+    ready = df
+    for hazard in hazards.values():
+        table = hazard.statistics(df, scope)
+        if table is not None:
+            ready = join_scope(ready, table, scope)
+    places: dict[str, Columns] = {}
+    added: dict[str, Column] = {}
+    for name, hazard in hazards.items():
+        inputs = hazard.inputs(ready)
+        places[name] = {key: F.col(f"_{name}_in_{key}") for key in inputs}
+        added.update({f"_{name}_in_{key}": column for key, column in inputs.items()})
+    return (ready.withColumns(added) if added else ready), places
 
 
 def add_scores(
-    df: DataFrame, hazards: Mapping[str, Hazard] | None = None, scope: Sequence[str] = RUN
+    df: DataFrame, hazards: Mapping[str, Hazard] = HAZARDS, scope: Sequence[str] = RUN
 ) -> DataFrame:
     """The input with one ``R_<hazard>`` column per hazard."""
-    hazards = HAZARDS if hazards is None else hazards
-    ready = with_run_statistics(df, list(hazards), scope)
-    return ready.select(*df.columns, *[f(ready).alias(f"R_{name}") for name, f in hazards.items()])
+    ready, places = prepare(df, hazards, scope)
+    scores = [hazard.score(places[name]).alias(f"R_{name}") for name, hazard in hazards.items()]
+    return ready.select(*df.columns, *scores)
 
 
 def score_all(
     df: DataFrame,
-    hazards: Mapping[str, Hazard] | None = None,
-    weights: Mapping[str, float] | None = None,
+    hazards: Mapping[str, Hazard] = HAZARDS,
+    weights: Mapping[str, float] = S.WEIGHTS,
     scope: Sequence[str] = RUN,
 ) -> DataFrame:
     """The input with all hazard scores and ``R_total``.
 
-    A hazard of one's own is one more entry in ``hazards``, a function from the
-    table to a column, and its share in ``weights``.
+    A hazard of one's own is one more entry in ``hazards`` and its share in
+    ``weights``.
+
+    The total is written over the scores' own expressions. Spark then takes each
+    score for a common subexpression, works it out once per row, and gives it a
+    method of its own, which keeps the generated code within what the JVM
+    optimises.
     """
-    hazards = HAZARDS if hazards is None else hazards
-    scored = add_scores(df, hazards, scope)
-    total = S.total_score({name: F.col(f"R_{name}") for name in hazards}, weights)
-    return scored.withColumn("R_total", total)
+    ready, places = prepare(df, hazards, scope)
+    scores = {name: hazard.score(places[name]) for name, hazard in hazards.items()}
+    return ready.select(
+        *df.columns,
+        *[score.alias(f"R_{name}") for name, score in scores.items()],
+        S.total_score(scores, weights).alias("R_total"),
+    )

@@ -47,27 +47,30 @@ def interpolate(
         targets.select(*series, time, F.lit(True).alias("_asked"), *no_knot)
     ).withColumn("_day", F.col(time).cast("date"))
 
-    # Nearest point within the day, on either side.
-    in_day = Window.partitionBy(*series, "_day").orderBy(time, "_asked")
-    back = in_day.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ahead = in_day.rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    # Nearest point within the day, on either side. Both ways are running
+    # windows: a frame that reaches to the end would be read again for each row.
+    running = (Window.unboundedPreceding, Window.currentRow)
+    back = Window.partitionBy(*series, "_day").orderBy(time, "_asked").rowsBetween(*running)
+    ahead = (
+        Window.partitionBy(*series, "_day").orderBy(F.desc(time), F.desc("_asked")).rowsBetween(*running)
+    )
     near = both.select(
         *series, time, "_day", "_asked",
         *[F.last(v, ignorenulls=True).over(back).alias(f"_p_{v}") for v in values],
-        *[F.first(v, ignorenulls=True).over(ahead).alias(f"_n_{v}") for v in values],
+        *[F.last(v, ignorenulls=True).over(ahead).alias(f"_n_{v}") for v in values],
     ).where(asked)
 
     # Nearest point in other days: one row per series and day.
     days = both.groupBy(*series, "_day").agg(
         *[F.max(v).alias(f"_l_{v}") for v in values], *[F.min(v).alias(f"_f_{v}") for v in values]
     )
-    by_day = Window.partitionBy(*series).orderBy("_day")
-    before = by_day.rowsBetween(Window.unboundedPreceding, -1)
-    after = by_day.rowsBetween(1, Window.unboundedFollowing)
+    earlier = (Window.unboundedPreceding, -1)
+    before = Window.partitionBy(*series).orderBy("_day").rowsBetween(*earlier)
+    after = Window.partitionBy(*series).orderBy(F.desc("_day")).rowsBetween(*earlier)
     days = days.select(
         *series, "_day",
         *[F.last(f"_l_{v}", ignorenulls=True).over(before).alias(f"_b_{v}") for v in values],
-        *[F.first(f"_f_{v}", ignorenulls=True).over(after).alias(f"_a_{v}") for v in values],
+        *[F.last(f"_f_{v}", ignorenulls=True).over(after).alias(f"_a_{v}") for v in values],
     )
 
     placed = near.join(days, [*series, "_day"], "left").select(

@@ -8,11 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from galecast.functions.clock import forecast_clock
+from galecast.functions.scores import WEIGHTS
 from galecast.operators.canonical import canonicalize
 from galecast.operators.coalesce import KEYS, Feed, merge_feeds
 from galecast.operators.keys import newest_per_key
 from galecast.operators.regions import attach_regions
-from galecast.operators.scoring import Hazard, score_all
+from galecast.operators.scoring import HAZARDS, Hazard, score_all
 from galecast.operators.wide import nowcast_at_base_time
 from galecast.sources.schemas import BASE_FEED
 from galecast.sources.tables import RUN_COLUMN, scan_feeds, write_table
@@ -58,8 +59,8 @@ def build_silver(
     regions: DataFrame | None,
     run_dt: str | None = None,
     order_by: Sequence[str] = NEWEST,
-    hazards: Mapping[str, Hazard] | None = None,
-    weights: Mapping[str, float] | None = None,
+    hazards: Mapping[str, Hazard] = HAZARDS,
+    weights: Mapping[str, float] = WEIGHTS,
     nowcast_valid_time: str | None = None,
     read_amount_text: bool = False,
 ) -> DataFrame:
