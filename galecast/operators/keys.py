@@ -40,4 +40,4 @@ def newest_rows(df: DataFrame, keys: Sequence[str], by: str) -> DataFrame:
     key has to be held, or sorted, in one task.
     """
     newest = df.groupBy(*keys).agg(F.max(by).alias(by))
-    return df.join(newest, [*keys, by], "left_semi")
+    return df.join(newest, [*keys, by], "left_semi").select(*df.columns)

@@ -117,4 +117,4 @@ def attach_regions(df: DataFrame, regions: DataFrame | None) -> DataFrame:
     if regions is None or {"nx", "ny", "admin_name"} - set(regions.columns):
         return df.withColumn("admin_names", F.lit(None).cast("string"))
     typed = regions.withColumns({c: whole_number(regions, c) for c in CELL})
-    return df.join(region_labels(typed), list(CELL), "left")
+    return df.join(region_labels(typed), list(CELL), "left").select(*df.columns, "admin_names")

@@ -62,7 +62,7 @@ def keep_slots(items: DataFrame, slots: DataFrame) -> DataFrame:
 
     The slots are the ``horizon`` hours of one poll; Spark broadcasts them by size.
     """
-    return items.join(slots.select(*SLOT).distinct(), list(SLOT), "left_semi")
+    return items.join(slots.select(*SLOT).distinct(), list(SLOT), "left_semi").select(*items.columns)
 
 
 def keep_slots_or_fallback(
@@ -71,7 +71,7 @@ def keep_slots_or_fallback(
     """As ``keep_slots``; cells without any item there use the fallback slots."""
     hits = keep_slots(items, slots)
     served = hits.select(*cell).distinct()
-    rest = keep_slots(items, fallback).join(served, list(cell), "left_anti")
+    rest = keep_slots(items, fallback).join(served, list(cell), "left_anti").select(*items.columns)
     return hits.unionByName(rest)
 
 
