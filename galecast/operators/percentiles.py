@@ -23,14 +23,20 @@ RUN = ("dt",)
 
 
 def join_scope(df: DataFrame, table: DataFrame, scope: Sequence[str], how: str = "left") -> DataFrame:
-    """Add a table with a fixed number of rows per scope to a table of any size.
+    """Add a table with one row per scope to a table of any size.
 
-    By run hour the table is small whatever the input (8,766 run hours a year,
-    under 1 MB) and is broadcast, so a run that holds much of the data is not
-    shuffled by its run. For other scopes Spark chooses the join by size and
-    splits full partitions.
+    By run hour the small side has one row per hour whatever the input (8,766 a
+    year, under 1 MB) and is broadcast, so a run that holds much of the data is
+    not shuffled by its run. With no scope columns it is a single row, which the
+    plan takes in as a value. For other scopes Spark chooses the join by size
+    and splits full partitions.
     """
-    return df.join(F.broadcast(table) if tuple(scope) == RUN else table, list(scope), how)
+    scope = list(scope)
+    if not scope:
+        names = table.columns
+        row = df.withColumn("_row", table.select(F.struct(*names)).scalar())
+        return row.select(*df.columns, *[F.col("_row").getField(n).alias(n) for n in names])
+    return df.join(F.broadcast(table) if tuple(scope) == RUN else table, scope, how)
 
 
 def scope_percentiles(
@@ -39,7 +45,8 @@ def scope_percentiles(
     """One row per scope: the percentiles ``shares`` of ``value``, interpolated between ranks.
 
     Null and infinite values do not count; a scope without values has no row.
-    ``scope`` columns must not be null.
+    ``scope`` columns must not be null; without any, the whole table is one scope
+    and has one row even when it has no values.
     """
     scope = list(scope)
     finite = value.isNotNull() & (F.abs(value) < float("inf"))
@@ -80,7 +87,8 @@ def scope_percentiles(
         .orderBy("_v")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    small = F.broadcast(wanted) if tuple(scope) == RUN else wanted
+    # At most two slices per percentile and scope.
+    small = wanted if scope and tuple(scope) != RUN else F.broadcast(wanted)
     ordered = sliced.join(small, [*scope, "_slice"]).withColumn(
         "_upto", F.col("_before") + F.sum("_n").over(running)
     )

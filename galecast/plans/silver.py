@@ -12,6 +12,7 @@ from galecast.functions.scores import WEIGHTS
 from galecast.operators.canonical import canonicalize
 from galecast.operators.coalesce import KEYS, Feed, merge_feeds
 from galecast.operators.keys import newest_per_key
+from galecast.operators.percentiles import RUN
 from galecast.operators.regions import attach_regions
 from galecast.operators.scoring import HAZARDS, Hazard, score_all
 from galecast.operators.wide import nowcast_at_base_time
@@ -79,7 +80,7 @@ def build_silver(
     if run_dt is not None:
         merged = merged.withColumn(RUN_COLUMN, F.lit(run_dt))
     labelled = attach_regions(merged, regions)
-    scored = score_all(labelled, hazards, weights)
+    scored = score_all(labelled, hazards, weights, scope=RUN if run_dt is None else ())
     return scored.withColumns(
         {
             "fcst_ts": forecast_clock(F.col("fcstDate"), F.col("fcstTime")),
