@@ -342,7 +342,8 @@ def target_slots_fallback(t: Tables) -> DataFrame:
 
 
 def latest_base_asof(t: Tables) -> DataFrame:
-    kept = asof.latest_base(t("fx_items_based"), now_of(t))
+    newest = clock.nowcast_base(clock.compact_clock(F.col("now_text")))
+    kept = asof.latest_base(t("fx_items_based"), t("fx_poll").select(newest).scalar())
     return kept.select("nx", "ny", "baseDate", "baseTime", "seq", "category", "fcstValue")
 
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from galecast.functions.clock import BASE_TRIES, forecast_base, forecast_clock, nowcast_base, plus_hours
+from galecast.functions.clock import BASE_TRIES, forecast_clock, plus_hours
 from galecast.operators.keys import newest_rows
 
 LOOKBACK_HOURS = 48
@@ -22,14 +22,14 @@ def asof(
 
 
 def latest_base(
-    items: DataFrame, now: Column, feed: str = "nowcast", tries: int = BASE_TRIES,
-    keys: Sequence[str] = ("nx", "ny"),
+    items: DataFrame, newest: Column, tries: int = BASE_TRIES, keys: Sequence[str] = ("nx", "ny")
 ) -> DataFrame:
-    """The items of the newest published base hour of each cell, at most ``tries`` hours back.
+    """The items of each cell's newest base, looking back ``tries`` bases from ``newest``.
 
-    ``feed`` is ``nowcast`` (bases on the hour) or ``forecast`` (on the half hour).
+    Bases are an hour apart. ``newest`` is the one published last:
+    ``clock.nowcast_base`` (on the hour) or ``clock.forecast_base`` (on the half
+    hour) of the time of asking.
     """
-    newest = nowcast_base(now) if feed == "nowcast" else forecast_base(now)
-    minute = F.minute(newest)
     based = items.withColumn("base_ts", forecast_clock(F.col("baseDate"), F.col("baseTime")))
-    return asof(based.where(F.minute("base_ts") == minute), keys, "base_ts", newest, tries - 1)
+    on_step = based.where(F.minute("base_ts") == F.minute(newest))
+    return asof(on_step, keys, "base_ts", newest, tries - 1)

@@ -66,8 +66,10 @@ def clean_track(items: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
 def latest_announcement(items: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Newest full announcement time (12 digits) per group, as text; null if none is full."""
     text = F.btrim(first_of(items, ANNOUNCED))
-    full = F.when(text.rlike(r"^\d{12}$"), text)
-    return items.select(*by, full.alias("tmFc")).groupBy(*by).agg(F.max("tmFc").alias("tmFc"))
+    # As numbers, so that the maximum is kept in fixed width while aggregating.
+    full = F.when(text.rlike(r"^\d{12}$"), text.try_cast("long"))
+    newest = items.select(*by, full.alias("tmFc")).groupBy(*by).agg(F.max("tmFc").alias("tmFc"))
+    return newest.withColumn("tmFc", F.lpad(F.col("tmFc").cast("string"), 12, "0"))
 
 
 def one_point_per_time(

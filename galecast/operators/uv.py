@@ -87,8 +87,6 @@ def build_uv_feed(
     """Index items, call list and target hours (``ts``) to the UV feed."""
     areas = calls.select("admin_code").distinct()
     anchor = targets.agg(F.min("ts")).scalar()
-    # Whether a base lies in the window is known before anything is shuffled.
-    window = items.where(F.col("base_ts").between(plus_hours(anchor, -back_hours), anchor))
-    known = window.join(areas, "admin_code", "left_semi")
+    known = items.join(areas, "admin_code", "left_semi")
     based = newest_base(offsets(known, order), anchor, back_hours)
     return fan_out(hourly_index(based, targets), calls)

@@ -245,8 +245,8 @@ def test_latest_base_looks_back_a_few_hours_only(spark):
         "nx int, ny int, baseDate string, baseTime string, v string",
     )
     now = F.lit("2025-08-01 09:50:00").cast("timestamp_ntz")
-    assert [r[-2] for r in rows(asof.latest_base(items, now))] == ["a", "c"]
-    assert [r[-2] for r in rows(asof.latest_base(items, now, "forecast"))] == ["e"]
+    assert [r[-2] for r in rows(asof.latest_base(items, clock.nowcast_base(now)))] == ["a", "c"]
+    assert [r[-2] for r in rows(asof.latest_base(items, clock.forecast_base(now)))] == ["e"]
 
 
 # ---- storm -----------------------------------------------------------------
