@@ -480,7 +480,7 @@ def stream_dedupe_items(t: Tables) -> DataFrame:
     root = shared_folder(t.spark, "stream")
     keys = ("nx", "ny", "fcstDate", "fcstTime", "category")
     items = streamed(t, "fx_items", "events").withColumn(
-        "at", stream_dedupe.event_instant(clock.forecast_clock(F.col("fcstDate"), F.col("fcstTime")))
+        "at", clock.on_axis(clock.forecast_clock(F.col("fcstDate"), F.col("fcstTime")))
     )
     once = stream_dedupe.drop_repeats(items, "at", "60 days").select(*keys)
     writer = once.writeStream.option("checkpointLocation", f"{root}/progress").option("path", f"{root}/table")

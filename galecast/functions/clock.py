@@ -50,17 +50,19 @@ def compact_clock(text: Column) -> Column:
     return forecast_clock(F.substring(text, 1, 8), F.substring(text, 9, 20))
 
 
+def on_axis(clock: Column) -> Column:
+    """A wall-clock time as a point on a zone-free axis, of the type watermarks need."""
+    origin = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", origin, clock))
+
+
 def zoned_instant(clock: Column, zone: str = ZONE) -> Column:
     """The absolute time at which the given zone's clock shows ``clock``.
 
-    Built from the local fields, so it is right under any session zone. A time
-    skipped by a clock change moves forward; one that occurs twice is null.
+    Right under any session zone. A time skipped by a clock change moves
+    forward; of one that occurs twice it is the first.
     """
-    instant = F.try_make_timestamp(
-        F.year(clock), F.month(clock), F.dayofmonth(clock),
-        F.hour(clock), F.minute(clock), F.second(clock), F.lit(zone),
-    )
-    return instant
+    return F.to_utc_timestamp(on_axis(clock), zone)
 
 
 def floor_hour(clock: Column) -> Column:

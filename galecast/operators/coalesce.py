@@ -9,7 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from galecast.operators.keys import newest_per_key
+from galecast.operators.keys import newest_per_key, splittable
 
 log = logging.getLogger(__name__)
 
@@ -35,11 +35,15 @@ def _usable(feed: Feed, keys: Sequence[str]) -> bool:
     return not missing
 
 
-def merge_feeds(base: DataFrame, feeds: Sequence[Feed], keys: Sequence[str] = KEYS) -> DataFrame:
+def merge_feeds(
+    base: DataFrame, feeds: Sequence[Feed], keys: Sequence[str] = KEYS, unique_base: bool = False
+) -> DataFrame:
     """Left-join the feeds on ``keys``, in order; the base value wins, then the first feed's.
 
-    Every side is clustered by the same keys, so the base is shuffled once for
-    all joins. A feed that is absent or lacks a key changes nothing.
+    A feed that is absent or lacks a key changes nothing. With ``unique_base``
+    the base has one row per key: every side is shuffled once, by the same keys,
+    for all joins. A base that may repeat a key many times needs a second
+    shuffle of the (smaller) feeds, so that Spark can split its full partitions.
     """
     usable = [f for f in feeds if _usable(f, keys)]
     joined = base.select(*keys, *[F.col(c).alias(f"base.{c}") for c in base.columns if c not in keys])
@@ -49,9 +53,8 @@ def merge_feeds(base: DataFrame, feeds: Sequence[Feed], keys: Sequence[str] = KE
         order = [c for c in feed.order_by if c in feed.rows.columns and c not in keys]
         wanted = list(dict.fromkeys([*keys, *order, *fill]))
         right = newest_per_key(feed.rows.select(*wanted), keys, order)
-        joined = joined.join(
-            right.select(*keys, *[F.col(c).alias(f"{i}.{c}") for c in fill]), list(keys), "left"
-        )
+        right = right.select(*keys, *[F.col(c).alias(f"{i}.{c}") for c in fill])
+        joined = joined.join(right if unique_base else splittable(right, keys), list(keys), "left")
         for c in fill:
             sources.setdefault(c, []).append(f"{i}.{c}")
     filled = [

@@ -41,3 +41,14 @@ def newest_rows(df: DataFrame, keys: Sequence[str], by: str) -> DataFrame:
     """
     newest = df.groupBy(*keys).agg(F.max(by).alias(by))
     return df.join(newest, [*keys, by], "left_semi").select(*df.columns)
+
+
+def splittable(small: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The small side of a join on ``keys``, placed apart from them.
+
+    Spark splits a full partition of the large side only when both sides come
+    straight from a shuffle for the join. After an aggregate on the join keys
+    there would be none; spread by the keys as one value, the small side gets
+    one. While it fits Spark's broadcast threshold it is broadcast all the same.
+    """
+    return small.repartition(F.struct(*keys))

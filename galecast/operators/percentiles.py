@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from galecast.operators.keys import splittable
+
 # Slices of each scope's value range. Also the most rows any one window over a
 # scope's slice totals can have.
 SLICES = 1 << 16
@@ -36,7 +38,8 @@ def join_scope(df: DataFrame, table: DataFrame, scope: Sequence[str], how: str =
         names = table.columns
         row = df.withColumn("_row", table.select(F.struct(*names)).scalar())
         return row.select(*df.columns, *[F.col("_row").getField(n).alias(n) for n in names])
-    return df.join(F.broadcast(table) if tuple(scope) == RUN else table, scope, how)
+    small = F.broadcast(table) if tuple(scope) == RUN else splittable(table, scope)
+    return df.join(small, scope, how)
 
 
 def scope_percentiles(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from galecast.functions.geo import grid_cell
 from galecast.functions.numeric import as_number, stripped
-from galecast.operators.keys import first_per_key
+from galecast.operators.keys import first_per_key, splittable
 
 CELL = ("nx", "ny")
 SHORT_CODE_LENGTH = 5
@@ -117,4 +117,5 @@ def attach_regions(df: DataFrame, regions: DataFrame | None) -> DataFrame:
     if regions is None or {"nx", "ny", "admin_name"} - set(regions.columns):
         return df.withColumn("admin_names", F.lit(None).cast("string"))
     typed = regions.withColumns({c: whole_number(regions, c) for c in CELL})
-    return df.join(region_labels(typed), list(CELL), "left").select(*df.columns, "admin_names")
+    labels = splittable(region_labels(typed), CELL)
+    return df.join(labels, list(CELL), "left").select(*df.columns, "admin_names")

@@ -52,7 +52,7 @@ def merge(
     base = fixed[BASE_FEED]
     base = newest_per_key(base, keys, [c for c in order_by if c in base.columns])
     rights = [Feed(n, fixed.get(n), columns, order_by) for n, columns in FILLS.items()]
-    return merge_feeds(base, rights, keys)
+    return merge_feeds(base, rights, keys, unique_base=True)
 
 
 def build_silver(

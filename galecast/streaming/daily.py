@@ -7,10 +7,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from galecast.functions.clock import forecast_clock
+from galecast.functions.clock import forecast_clock, on_axis
 from galecast.plans.gold import DAILY_EXPORT
 from galecast.sources.tables import write_table
-from galecast.streaming.dedupe import event_instant
 
 
 def daily_stream(scored: DataFrame, delay: str = "2 days", region: str = "admin_names") -> DataFrame:
@@ -18,7 +17,7 @@ def daily_stream(scored: DataFrame, delay: str = "2 days", region: str = "admin_
     clock = forecast_clock(F.col("fcstDate"), F.col("fcstTime"))
     timed = (
         scored.where(F.col(region).isNotNull())
-        .withColumn("_at", event_instant(clock))
+        .withColumn("_at", on_axis(clock))
         .withWatermark("_at", delay)
     )
     grouped = timed.groupBy(F.window("_at", "1 day"), region).agg(

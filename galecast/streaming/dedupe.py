@@ -4,23 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from galecast.functions.clock import epoch_seconds
 from galecast.operators.coalesce import KEYS
 
 
-def event_instant(clock: Column) -> Column:
-    """A wall-clock time on a zone-free axis, as the type watermarks need."""
-    return F.timestamp_seconds(epoch_seconds(clock))
-
-
 def drop_repeats(
     stream: DataFrame, event_time: str, delay: str = "2 days", keys: Sequence[str] = (*KEYS, "category")
 ) -> DataFrame:
     """One item per key as long as repeats come within ``delay`` of each other.
 
+    ``event_time`` is a timestamp column, such as ``clock.on_axis`` of the valid time.
+
     State is kept per key until the watermark has passed it, so it is bounded by
     the keys of one delay, not by the length of the stream.
     """
