@@ -33,21 +33,26 @@ def time_text(value: Column) -> Column:
     return F.lpad(F.replace(value.cast("string"), F.lit(":"), F.lit("")), 4, "0")
 
 
+# Any text that has not this form becomes one that is no time. One expression of
+# one call: it is repeated wherever a filter on a time is moved to the scan.
+_COMPACT = r"(?s)^(?:(\d{4})(\d{2})(\d{2}) ?(\d{2})(\d{2})|.*)$"
+_ISO = "$1-$2-$3 $4:$5:00"
+
+
+def compact_clock(text: Column) -> Column:
+    """``yyyyMMddHHmm`` text to a wall-clock time; null when malformed."""
+    return F.regexp_replace(text, _COMPACT, _ISO).try_cast("timestamp_ntz")
+
+
 def forecast_clock(date: Column, time: Column) -> Column:
     """``yyyyMMdd`` and ``HHmm`` to a wall-clock time; null when either is malformed."""
-    iso = F.concat(
-        F.substring(date, 1, 4), F.lit("-"), F.substring(date, 5, 2), F.lit("-"),
-        F.substring(date, 7, 2), F.lit(" "), F.substring(time, 1, 2), F.lit(":"),
-        F.substring(time, 3, 2), F.lit(":00"),
-    )
-    return F.when(
-        date.rlike(r"^\d{8}$") & time.rlike(r"^\d{4}$"), iso.try_cast("timestamp_ntz")
-    )
+    return compact_clock(F.concat(date, F.lit(" "), time))
 
 
-def compact_clock(text: Column) -> Column:
-    """``yyyyMMddHHmm`` text to a wall-clock time."""
-    return forecast_clock(F.substring(text, 1, 8), F.substring(text, 9, 20))
+def any_clock(text: Column) -> Column:
+    """``yyyyMMddHHmm`` text, or else any date-time text Spark can read."""
+    compact = r"^(\d{4})(\d{2})(\d{2})(\d{2})(\d{2})$"
+    return F.regexp_replace(text, compact, _ISO).try_cast("timestamp_ntz")
 
 
 def on_axis(clock: Column) -> Column:

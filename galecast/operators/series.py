@@ -10,6 +10,8 @@ a summary with one row per series and day.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -32,7 +34,8 @@ def interpolate(
 
     Before the first and after the last point of a value the nearest one holds
     (``clamp``) or the result is null (``inside``). A series without points is
-    null. Points must be unique per series and time.
+    null. Points must be unique per series and time. Rows without a series or a
+    time drop out.
     """
     if edges not in (CLAMP, INSIDE):
         raise ValueError(f"edges must be {CLAMP!r} or {INSIDE!r}")
@@ -46,6 +49,9 @@ def interpolate(
     both = points.select(*series, time, F.lit(False).alias("_asked"), *knot).unionByName(
         targets.select(*series, time, F.lit(True).alias("_asked"), *no_knot)
     ).withColumn("_day", F.col(time).cast("date"))
+    # Said here, these filters are the same for both uses of the table, which can
+    # then share one shuffle; otherwise Spark adds them on one side only.
+    both = both.where(reduce(and_, [F.col(c).isNotNull() for c in [*series, "_day"]]))
 
     # Nearest point within the day, on either side. Both ways are running
     # windows: a frame that reaches to the end would be read again for each row.
@@ -73,7 +79,8 @@ def interpolate(
         *[F.last(f"_f_{v}", ignorenulls=True).over(after).alias(f"_a_{v}") for v in values],
     )
 
-    placed = near.join(days, [*series, "_day"], "left").select(
+    # Every day is in both.
+    placed = near.join(days, [*series, "_day"]).select(
         *series, time,
         *[F.coalesce(f"_p_{v}", f"_b_{v}").alias(f"_p_{v}") for v in values],
         *[F.coalesce(f"_n_{v}", f"_a_{v}").alias(f"_n_{v}") for v in values],

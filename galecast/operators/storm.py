@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from galecast.functions.clock import YEAR_RANGE, compact_clock
+from galecast.functions.clock import YEAR_RANGE, any_clock
 from galecast.functions.geo import distance_km
 from galecast.functions.numeric import as_number
 from galecast.operators.keys import newest_per_key
@@ -49,8 +49,7 @@ def clean_track(items: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     Times that are not ``yyyyMMddHHmm`` are read as a date-time text. ``keep``
     names columns to carry along (a storm, an order).
     """
-    text = first_of(items, TIME)
-    time = F.coalesce(compact_clock(text), text.try_cast("timestamp_ntz"))
+    time = any_clock(first_of(items, TIME))
     coordinates = {}
     for name, names in (("lat", LATITUDE), ("lon", LONGITUDE), ("wind", WIND)):
         found = [as_number(items, n) for n in names if n in items.columns]

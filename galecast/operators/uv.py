@@ -23,29 +23,26 @@ def offsets(items: DataFrame, order: str = "seq") -> DataFrame:
     Keys ``h0``, ``h3``, ... give the offsets. An item without any of them may
     hold a single value, which stands for offset 0.
     """
-    entry = F.map_entries("item")
     hourly = F.filter(
-        F.transform(
-            F.filter(entry, lambda e: e["key"].rlike(OFFSET_PATTERN)),
-            lambda e: F.struct(
-                F.regexp_extract(e["key"], OFFSET_PATTERN, 1).cast("int").alias("offset"),
-                number_from_text(e["value"]).alias("value"),
-            ),
-        ),
-        lambda e: e["value"].isNotNull(),
+        F.map_entries("item"),
+        lambda e: e["key"].rlike(OFFSET_PATTERN) & number_from_text(e["value"]).isNotNull(),
     )
     single = F.coalesce(*[number_from_text(F.try_element_at("item", F.lit(n))) for n in SINGLE_NAMES])
     alone = F.when(
-        single.isNotNull(), F.array(F.struct(F.lit(0).alias("offset"), single.alias("value")))
+        single.isNotNull(),
+        F.array(F.struct(F.lit("h0").alias("key"), single.cast("string").alias("value"))),
     )
-    values = items.withColumn("_hourly", hourly).select(
+    entries = items.select("admin_code", "base_ts", order, hourly.alias("_hourly"), alone.alias("_alone"))
+    values = entries.select(
         "admin_code", "base_ts", order,
-        F.explode(F.when(F.size("_hourly") > 0, F.col("_hourly")).otherwise(alone)).alias("e"),
+        F.explode(F.when(F.size("_hourly") > 0, F.col("_hourly")).otherwise(F.col("_alone"))).alias("e"),
+    ).select(
+        "admin_code", "base_ts", order,
+        F.regexp_extract("e.key", OFFSET_PATTERN, 1).cast("int").alias("offset"),
+        number_from_text(F.col("e.value")).alias("value"),
     )
-    return (
-        values.select("admin_code", "base_ts", F.col("e.offset").alias("offset"), "e.value", order)
-        .groupBy("admin_code", "base_ts", "offset")
-        .agg(F.max_by("value", F.struct(order, "value")).alias("value"))
+    return values.groupBy("admin_code", "base_ts", "offset").agg(
+        F.max_by("value", F.struct(order, "value")).alias("value")
     )
 
 
