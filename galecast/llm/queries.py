@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from galecast.llm import bitplanes, exact_dedup, mixing, packing
+from galecast.llm import bitplanes, exact_dedup, language, mixing, packing, quality, topk
 from galecast.llm.session import ready
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -24,10 +24,30 @@ def fold(folds: int) -> Column:
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % folds
 
 
+def held_out(condition: Column) -> Column:
+    return F.coalesce(condition, F.lit(False)).alias("held_out")
+
+
+def _columns(rows: list[tuple]) -> tuple[list, list]:
+    return [r[0] for r in rows], [r[1] for r in rows]
+
+
+def op1_kd_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = ready(spark).read.parquet(f"{sf_dir}/embeddings.parquet")
+    return topk.top_k(topk.integer_vectors(table), F.col("vec_id") % 50 == 0)
+
+
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir), WORD_TOKENIZER)
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
+    model = language.fit(*_columns(language.training_sample(docs, fold(5) != 0)))
+    found = language.identify(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", held_out(fold(5) == 0), "lang_pred", "score")
+
+
 def op5_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = bitplanes.write_ids(documents(spark, sf_dir), BYTE_TOKENIZER)
     return bitplanes.read_spans(spark, path)
@@ -41,6 +61,13 @@ def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir)).drop("source")
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    net = quality.fit(*_columns(quality.training_sample(docs, labels, fold(5) != 0)))
+    return quality.score_quality(docs, net).select("doc_id", held_out(fold(5) == 0), "score", "predicted")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
@@ -84,5 +111,17 @@ FROM p LEFT JOIN k ON p.doc_id IS NOT DISTINCT FROM k.doc_id AND p.rank = k.rank
 """
 
 
+OP1_SQL = """
+WITH v AS (
+  SELECT vec_id, [floor(x::DOUBLE * 256) for x in embedding] AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len([x for x in embedding if x IS NULL OR isnan(x) OR isinf(x)]) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 50 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op7_exact_dedup": OP7_SQL, "op8_mix_sources": OP8_SQL}
+    return {"op1_kd_top_k": OP1_SQL, "op7_exact_dedup": OP7_SQL, "op8_mix_sources": OP8_SQL}
