@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from galecast.llm import bitplanes, exact_dedup, language, mixing, packing, quality, topk
+from galecast.llm import bitplanes, exact_dedup, language, mixing, ngram_join, packing, quality, topk
 from galecast.llm.session import ready
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -68,6 +68,10 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_quality(docs, net).select("doc_id", held_out(fold(5) == 0), "score", "predicted")
 
 
+def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similar_groups(documents(spark, sf_dir), n_words=4, similarity=85)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
@@ -123,5 +127,22 @@ SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= 5
 """
 
 
+OP10_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+s AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN []::VARCHAR[] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+         ELSE [w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] || ' ' || w[i + 3] for i in range(1, len(w) - 2)] END) AS s
+  FROM w),
+e AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM s),
+l AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM e a JOIN e b ON a.g = b.g AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+r AS (SELECT doc_id, doc_id AS reached FROM s UNION SELECT r.doc_id, l.b FROM r JOIN l ON r.reached = l.a)
+SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, min(r.reached) AS component_id FROM s JOIN r USING (doc_id) GROUP BY s.doc_id, s.s
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_kd_top_k": OP1_SQL, "op7_exact_dedup": OP7_SQL, "op8_mix_sources": OP8_SQL}
+    return {"op1_kd_top_k": OP1_SQL, "op7_exact_dedup": OP7_SQL, "op8_mix_sources": OP8_SQL, "op10_ngram_join": OP10_SQL}
