@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from galecast.llm import bitplanes, exact_dedup, language, mixing, ngram_join, packing, quality, topk
+from galecast.llm import bitplanes, brown, exact_dedup, language, mixing, ngram_join, packing, quality, topk
 from galecast.llm.session import ready
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -41,6 +41,11 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir), WORD_TOKENIZER)
 
 
+def op3_class_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = brown.class_scores(documents(spark, sf_dir), fold(7) != 2)
+    return scored.withColumn("held_out", held_out(fold(7) == 2))
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
     model = language.fit(*_columns(language.training_sample(docs, fold(5) != 0)))
