@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from galecast.llm import bitplanes, brown, exact_dedup, language, mixing, ngram_join, packing, quality, topk
+from galecast.llm import bitplanes, brown, exact_dedup, language, licenses, mixing, ngram_join, packing, quality, topk
 from galecast.llm.session import ready
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -58,6 +58,11 @@ def op5_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bitplanes.read_spans(spark, path)
 
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return licenses.scan(docs, licenses.train(docs))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(documents(spark, sf_dir))
 
