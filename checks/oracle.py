@@ -300,14 +300,13 @@ POINTS = f"points AS ({newest('track', 'storm, time', ['seq', 'lat', 'lon', 'win
 HOURLY = f"""span AS (SELECT storm, unnest(generate_series(min(time), max(time), INTERVAL 1 HOUR)) AS time FROM points GROUP BY storm),
 {three('hourly', 'span', 'points', inside=True)}"""
 ALIGN_TARGETS = """wanted AS (
-  SELECT storm, unnest(generate_series((SELECT max(ts) FROM hours) - INTERVAL 71 HOUR, (SELECT max(ts) FROM hours), INTERVAL 1 HOUR)) AS time
-  FROM (SELECT DISTINCT storm FROM fx_track))"""
+  SELECT storm, ts AS time FROM (SELECT DISTINCT storm FROM fx_track), hours)"""
 
 ONE_TRACK = f"""one AS (SELECT 0 AS storm, seq, time, lat, lon, wind FROM track),
 points AS ({newest('one', 'time', ['seq', 'lat', 'lon', 'wind'])}),
 {HOURLY},
-six AS (SELECT DISTINCT 0 AS storm, date_trunc('hour', ts) AS time FROM (SELECT ts FROM hours ORDER BY ts DESC LIMIT 6)),
-{three('positions', 'six', 'hourly')}"""
+targets AS (SELECT DISTINCT 0 AS storm, ts AS time FROM hours),
+{three('positions', 'targets', 'hourly')}"""
 GRID = f"""grid AS (SELECT nx, ny, lat, lon FROM (
   SELECT *, row_number() OVER (PARTITION BY nx, ny ORDER BY admin_code, lat, lon) AS rk FROM fx_regions) WHERE rk = 1)"""
 
@@ -412,7 +411,7 @@ def oracle_sql() -> dict[str, str]:
     cells = f"""CAST(trunc({ra} * sin({theta}) + 43 + 0.5) AS INT) AS nx, CAST(trunc({ro} - {ra} * cos({theta}) + 136 + 0.5) AS INT) AS ny"""
     sql["grid_assign"] = f"{cte('fx_regions')} SELECT admin_code, {cells} FROM (SELECT admin_code, lat, lon FROM fx_regions)"
     first_point = """(SELECT * EXCLUDE (rk) FROM (SELECT *, row_number() OVER (PARTITION BY admin_code
-        ORDER BY admin_name, lat, lon) AS rk FROM fx_points WHERE lat IS NOT NULL) WHERE rk = 1)"""
+        ORDER BY lat IS NULL OR lon IS NULL, admin_name, lat, lon) AS rk FROM fx_points) WHERE rk = 1)"""
     sql["region_dimension"] = f"""{cte('fx_points')} SELECT admin_code, admin_name, lat, lon, {cells},
       substring(admin_code, 1, 5) AS SIG_CD FROM {first_point}"""
     sql["grid_unique"] = f"""{cte('fx_points')}, placed AS (SELECT admin_code, lat, lon, {cells} FROM fx_points WHERE lat IS NOT NULL)

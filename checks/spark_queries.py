@@ -195,8 +195,7 @@ def feeds_union(t: Tables) -> DataFrame:
 
 
 def region_dimension(t: Tables) -> DataFrame:
-    placed = t("fx_points").where(F.col("lat").isNotNull())
-    return regions.region_dimension(placed)
+    return regions.region_dimension(t("fx_points"))
 
 
 def grid_assign(t: Tables) -> DataFrame:
@@ -283,8 +282,7 @@ def forecast_hours(t: Tables) -> DataFrame:
 
 
 def track_align(t: Tables) -> DataFrame:
-    hours = slots.last_hours(forecast_hours(t), clock.now_clock(), 72)
-    wanted = hours.agg(F.collect_set("ts")).scalar()
+    wanted = forecast_hours(t).agg(F.collect_set("ts")).scalar()
     storms = t("fx_track").select("storm").distinct().withColumn("time", F.explode(wanted))
     df = rounded(storm.align_track(storm_hourly(t), storms, ["storm"]), "lat", "lon", "wind")
     return df.select("storm", hour_text("time").alias("time"), "lat", "lon", "wind")
@@ -300,7 +298,7 @@ def interp_series(t: Tables) -> DataFrame:
 
 def storm_distance(t: Tables) -> DataFrame:
     feed = storm.build_storm_feed(
-        regions.unique_grid(t("fx_regions")), track(t), slots.newest_hours(forecast_hours(t)), ["seq"]
+        regions.unique_grid(t("fx_regions")), track(t), slots.hours_or_last(forecast_hours(t), clock.now_clock()), ["seq"]
     )
     return rounded(feed, "TY_DISTANCE_KM", "TY_MAX_WIND")
 

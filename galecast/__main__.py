@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from galecast.functions.clock import now_clock, run_hour
 from galecast.plans import alerts, dimensions, features, gold, session, silver
 from galecast.sources.schemas import REGIONS
-from galecast.sources.tables import read_dimension
+from galecast.sources.tables import read_dimension, read_table
 
 
 def arguments() -> argparse.ArgumentParser:
@@ -83,10 +83,10 @@ def main(argv: list[str] | None = None) -> None:
     elif a.job == "export":
         gold.run_export(spark, a.latest, a.daily, a.out_latest, a.out_daily, fmt)
     elif a.job == "alert":
-        lines = alerts.alert_lines(spark.read.format(fmt).load(a.latest))
+        lines = alerts.alert_lines(read_table(spark, a.latest, fmt))
         lines.orderBy("part", F.desc("line")).select("line").write.mode("overwrite").text(a.out)
     elif a.job == "features":
-        newest = gold.newest_per_region(spark.read.format(fmt).load(a.silver))
+        newest = gold.newest_per_region(read_table(spark, a.silver, fmt))
         points = read_dimension(spark, a.admin_map, REGIONS)
         features.write_features(features.geojson_features(newest, points), a.out)
 

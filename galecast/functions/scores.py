@@ -163,8 +163,10 @@ def percentile_scale(value: Column, low: Column, high: Column) -> Column:
     """Place of ``value`` between two percentiles of its run, 0..1.
 
     Null percentiles mean a run without any value: every row is 0. A run
-    without spread tells only whether the value lies above it.
+    without spread tells only whether the value lies above it. An infinite value
+    counts as missing.
     """
+    value = F.when(F.abs(value) < float("inf"), value)
     spread = high - low
     flat = F.when(value > low, 1.0).otherwise(0.0)
     return (

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from galecast.functions.clock import date_text, time_text
-from galecast.functions.numeric import nan_to_null
+from galecast.functions.numeric import as_number, nan_to_null
 from galecast.functions.precip import mm_search
 
 # Columns that are numbers in every feed.
@@ -33,7 +33,7 @@ def canonicalize(
     def fixed(name: str):
         c = F.col(name)
         if name in ("nx", "ny"):
-            return c.try_cast("int")
+            return as_number(df, name).try_cast("int")
         if name in ("fcstDate", "baseDate"):
             return date_text(c)
         if name in ("fcstTime", "baseTime"):

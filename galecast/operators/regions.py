@@ -43,7 +43,7 @@ def assign_cells(points: DataFrame) -> DataFrame:
 
 
 def region_dimension(points: DataFrame) -> DataFrame:
-    """One row per region code, with its cell and its short code.
+    """One row per region code, with its cell and its short code; rows with a point come first.
 
     The short code is there only when some code is long enough for it.
     """
@@ -53,7 +53,8 @@ def region_dimension(points: DataFrame) -> DataFrame:
         F.col("lat").cast("double").alias("lat"),
         F.col("lon").cast("double").alias("lon"),
     )
-    regions = first_per_key(typed, ["admin_code"])
+    unplaced = F.col("lat").isNull() | F.col("lon").isNull()
+    regions = first_per_key(typed.withColumn("_unplaced", unplaced), ["admin_code"], ["_unplaced"]).drop("_unplaced")
     longest = typed.agg(F.max(F.length("admin_code"))).scalar()
     return assign_cells(regions).withColumn(
         "SIG_CD",

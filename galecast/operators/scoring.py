@@ -78,7 +78,9 @@ def rain_hazard(settings: S.RainSettings = S.RainSettings()) -> Hazard:
 
 def _heat_inputs(df: DataFrame) -> Columns:
     temperature = as_number(df, "T1H")
-    if "_has_t1h" in df.columns:
+    if "T1H" not in df.columns:
+        temperature = as_number(df, "TMP")
+    elif "_has_t1h" in df.columns:
         temperature = F.when(F.col("_has_t1h"), temperature).otherwise(as_number(df, "TMP"))
     return {
         "temperature": temperature, "humidity": as_number(df, "REH"), "wind": as_number(df, "WSD")
@@ -86,7 +88,7 @@ def _heat_inputs(df: DataFrame) -> Columns:
 
 
 def _heat_statistics(df: DataFrame, scope: Sequence[str]) -> DataFrame | None:
-    """Whether the run has any T1H; TMP stands in only where it has none."""
+    """Whether the run has any T1H; TMP stands in only where it has none, or where there is no such column."""
     if not {"T1H", "TMP"} <= set(df.columns):
         return None
     return df.groupBy(*scope).agg((F.count(as_number(df, "T1H")) > 0).alias("_has_t1h"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from galecast.functions.clock import forecast_clock
 from galecast.functions.scores import risk_level
-from galecast.sources.tables import write_table
+from galecast.sources.tables import read_table, write_table
 
 LATEST_COLUMNS = (
     "admin_names", "fcst_ts", "dt", "R_total",
@@ -74,7 +74,7 @@ def export_daily(gold_daily: DataFrame) -> DataFrame:
 
 
 def run_latest(spark: SparkSession, silver: str, gold: str, table_format: str = "parquet") -> None:
-    rows = spark.read.format(table_format).load(silver)
+    rows = read_table(spark, silver, table_format)
     write_table(latest(rows), gold, table_format=table_format)
 
 
@@ -83,7 +83,7 @@ def run_daily(
     dates: tuple[str, str] | None = None,
 ) -> None:
     """All dates, or only those from and to ``yyyyMMdd``; other dates stay as they are."""
-    rows = spark.read.format(table_format).load(silver)
+    rows = read_table(spark, silver, table_format)
     if dates:
         rows = rows.where(F.col("fcstDate").between(*dates))
     write_table(daily(rows), gold, ["date"], table_format=table_format)
@@ -94,6 +94,6 @@ def run_export(
     table_format: str = "parquet",
 ) -> None:
     """Narrow Parquet copies of both tables, replaced as a whole."""
-    write_table(export_latest(spark.read.format(table_format).load(gold_latest)), out_latest)
-    rows = export_daily(spark.read.format(table_format).load(gold_daily))
+    write_table(export_latest(read_table(spark, gold_latest, table_format)), out_latest)
+    rows = export_daily(read_table(spark, gold_daily, table_format))
     rows.hint("rebalance", "date").write.mode("overwrite").partitionBy("date").parquet(out_daily)

@@ -40,16 +40,18 @@ def triage(responses: DataFrame, text: str = "text") -> DataFrame:
     """Add ``status`` and ``item_text``.
 
     ``good``, ``no_data`` (skip and try an older base), ``error`` (the service
-    refused) or ``not_json``. One scan serves all outcomes.
+    refused), ``unreadable`` (a good code, but no items that can be read) or
+    ``not_json``. One scan serves all outcomes.
     """
     parsed = responses.withColumn("_r", F.from_json(F.col(text), ENVELOPE)["response"])
     code, message = F.col("_r.header.resultCode"), F.col("_r.header.resultMsg")
     no_data = F.contains(F.coalesce(message, F.lit("")), F.lit(NO_DATA)) | (
         F.coalesce(code, F.lit("")) == NO_DATA
     )
+    readable = F.get_json_object(as_list(F.col("_r.body.items.item")), "$[0]").isNotNull()
     status = (
         F.when(F.col("_r").isNull(), "not_json")
-        .when(code == GOOD_CODE, "good")
+        .when(code == GOOD_CODE, F.when(readable, "good").otherwise("unreadable"))
         .when(no_data, "no_data")
         .otherwise("error")
     )
@@ -67,15 +69,16 @@ def explode_items(
     triaged: DataFrame, schema: T.StructType = ITEM, keep: tuple[str, ...] = (), only_good: bool = True
 ) -> DataFrame:
     """Item rows in response order (``pos``), with the ``keep`` columns of their response."""
-    rows = triaged.where(F.col("status") == "good") if only_good else triaged
     items = F.from_json(as_list(F.col("item_text")), T.ArrayType(schema))
-    exploded = rows.select(*keep, F.posexplode(items).alias("pos", "item"))
+    # Not a filter: it would be pushed below the envelope's projection and parse every text again.
+    wanted = F.when(F.col("status") == "good", items) if only_good else items
+    exploded = triaged.select(*keep, F.posexplode(wanted).alias("pos", "item"))
     return exploded.where(F.col("item").isNotNull()).select(*keep, "pos", "item.*")
 
 
 def quarantine(triaged: DataFrame) -> DataFrame:
     """The responses that gave neither items nor a plain "no data"."""
-    return triaged.where(F.col("status").isin("error", "not_json", "quota"))
+    return triaged.where(F.col("status").isin("error", "not_json", "quota", "unreadable"))
 
 
 def fill_cells(items: DataFrame, nx: Column, ny: Column) -> DataFrame:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Sequence
 
@@ -17,15 +16,10 @@ RUN_COLUMN = "dt"
 
 
 def shared_folder(spark: SparkSession, purpose: str) -> str:
-    """A new folder under the one the cluster names for checkpoints.
-
-    Only a local session may go without that setting; it gets a temporary one.
-    """
+    """A new folder under the one the cluster names for checkpoints, else under the warehouse."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        root = tempfile.mkdtemp(prefix="galecast-")
+        root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/scratch"
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
@@ -40,17 +34,28 @@ def scan_run(
     """Rows of one feed for one run or several; None when there is no such run.
 
     Only a path that does not exist counts as absent. Any other fault of the
-    read is raised. One run lists one folder, not the whole table.
+    read is raised. One run lists one folder, not the whole table. Whole
+    numbers are read at 64 bits, which files may have, and then narrowed to the
+    declared type; a number too large for it becomes null.
     """
     declared = FEEDS.get(feed) if schema is None else schema
     reader = spark.read.format(table_format).option("basePath", f"{root}/{feed}")
     if declared is not None:
-        reader = reader.schema(T.StructType([*declared.fields, T.StructField(RUN_COLUMN, T.StringType())]))
+        run = T.StructField(RUN_COLUMN, T.StringType())
+        wide = [T.StructField(f.name, T.LongType() if f.dataType == T.IntegerType() else f.dataType) for f in declared.fields]
+        reader = reader.schema(T.StructType([*wide, run]))
+
+    def narrowed(df: DataFrame) -> DataFrame:
+        if declared is None:
+            return df
+        whole = [f.name for f in declared.fields if f.dataType == T.IntegerType()]
+        return df.withColumns({c: F.col(c).try_cast("int") for c in whole}) if whole else df
+
     runs = [run_dt] if isinstance(run_dt, str) else list(run_dt)
     try:
         if len(runs) == 1:
-            return reader.load(f"{root}/{feed}/{RUN_COLUMN}={runs[0]}")
-        return reader.load(f"{root}/{feed}").where(F.col(RUN_COLUMN).isin(*runs))
+            return narrowed(reader.load(f"{root}/{feed}/{RUN_COLUMN}={runs[0]}"))
+        return narrowed(reader.load(f"{root}/{feed}").where(F.col(RUN_COLUMN).isin(*runs)))
     except AnalysisException as fault:
         if fault.getCondition() == "PATH_NOT_FOUND":
             return None
@@ -58,11 +63,21 @@ def scan_run(
 
 
 def scan_feeds(spark: SparkSession, root: str, run_dt: str | Sequence[str]) -> dict[str, DataFrame | None]:
-    """All feeds of a run; the base feed must be there."""
-    found = {feed: scan_run(spark, root, feed, run_dt) for feed in FEEDS}
-    if found[BASE_FEED] is None:
-        raise FileNotFoundError(f"no {BASE_FEED} for run {run_dt} under {root}")
-    return found
+    """All feeds of a run or several; each run must have the base feed."""
+    runs = [run_dt] if isinstance(run_dt, str) else list(run_dt)
+    missing = [run for run in runs if scan_run(spark, root, BASE_FEED, run) is None]
+    if missing:
+        raise FileNotFoundError(f"no {BASE_FEED} for run {', '.join(missing)} under {root}")
+    return {feed: scan_run(spark, root, feed, run_dt) for feed in FEEDS}
+
+
+def read_table(spark: SparkSession, path: str, table_format: str = "parquet") -> DataFrame:
+    """A stored table whose run column is text, whatever its values look like as a partition."""
+    schema = spark.read.format(table_format).load(path).schema
+    if table_format != "parquet" or RUN_COLUMN not in schema.names:
+        return spark.read.format(table_format).load(path)
+    text = [T.StructField(f.name, T.StringType()) if f.name == RUN_COLUMN else f for f in schema.fields]
+    return spark.read.schema(T.StructType(text)).parquet(path)
 
 
 def read_dimension(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:

@@ -56,8 +56,8 @@ def landed(spark, tmp_path):
 def test_responses_become_items(spark, tmp_path):
     path = landed(spark, tmp_path)
     triaged = responses.triage(responses.read_responses(spark, f"{path}/*/*"))
-    assert sorted(r.status for r in triaged.collect()) == ["error", "good", "good", "good", "no_data", "not_json"]
-    assert responses.quarantine(triaged).count() == 2
+    assert sorted(r.status for r in triaged.collect()) == ["error", "good", "good", "no_data", "not_json", "unreadable"]
+    assert responses.quarantine(triaged).count() == 3
     items = responses.explode_items(triaged, keep=("file",))
     nx, ny = responses.request_cell(F.col("file"))
     got = rows(responses.fill_cells(items, nx, ny).select("pos", "nx", "ny", "category", "fcstValue"))
