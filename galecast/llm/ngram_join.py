@@ -3,11 +3,14 @@
 1. Every text becomes a set of 64-bit shingle hashes. Texts with equal sets
    are one node; the links of copies are not spelled out.
 2. Two sets that are similar enough share a shingle among the first few of
-   either, in any order that is the same for all (prefix filter). Taking rare
-   shingles first, which a fixed-size sketch of all shingle counts tells apart,
-   keeps passages and phrases of many documents out of these few. Nodes that
-   share such a shingle and could be similar by size are joined to clusters.
-   So all links lie within clusters.
+   either, in any order that is the same for all (prefix filter). Shingles
+   come first whose rarest word is rare: a shingle is in no more documents than
+   each of its words is, so passages and phrases of many documents stay out of
+   these few. Word counts are kept in a table of fixed size, where words may
+   share a slot; that only makes the order less sharp. The first few are taken
+   long enough that similar sets share several of them, so nodes that share
+   fewer with nodes of fitting size drop out. The others are joined to clusters
+   by the shingles they share. So all links lie within clusters.
 3. Within a cluster a signature tree holds the OR of its documents' bitmaps
    and their range of sizes at every node. Walking two trees at once, a pair of
    nodes is left when the largest overlap that bitmaps and sizes allow is too
@@ -27,6 +30,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,8 +40,9 @@ from galecast.llm.textblocks import LOWER_VALUES, mixed, span_hashes, text_block
 
 N_WORDS = 5
 SIMILARITY = 80  # hundredths
-SKETCH = 1 << 20
-PAGE = 1 << 14
+WORD_SLOTS = 1 << 22
+PAGE = 1 << 12
+TASKS_PER_SUM = 32
 FLUSH = 1 << 20
 NODES_PER_BUCKET = 8192
 SLICE = 2048
@@ -47,36 +52,48 @@ MAP_PAGE = 1 << 15
 _STEP, _SHORT = np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F)
 
 
-def shingle_sets(data: np.ndarray, off: np.ndarray, n_words: int) -> Iterator[np.ndarray]:
-    """Sorted distinct shingle hashes of every text of a block, A-Z lower-cased.
+def word_slots(hashes: np.ndarray) -> np.ndarray:
+    return (hashes & np.uint64(WORD_SLOTS - 1)).astype(np.int64)
 
-    A text with fewer words has its whole sequence as its one shingle; one
-    without words has none.
+
+def shingle_sets(data: np.ndarray, off: np.ndarray, n_words: int, levels: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray | None]]:
+    """Sorted distinct shingle hashes of every text of a block, A-Z lower-cased, and the level of the rarest word of each.
+
+    ``levels``: magnitude of the count in every word slot. A text with fewer
+    words has its whole sequence as its one shingle; one without has none.
     """
     starts, ends, rows = words(data, off)
     h = span_hashes(data, starts, ends, LOWER_VALUES)
     n_texts = len(off) - 1
-    if len(h) >= n_words:
-        whole = h[: len(h) - n_words + 1].copy()
-        for j in range(1, n_words):
-            whole *= _STEP
-            whole += h[j : len(h) - n_words + 1 + j]
-        inside = rows[: len(whole)] == rows[n_words - 1 :]
-        shingles, owner = mixed(whole[inside]), rows[: len(whole)][inside]
-    else:
-        shingles, owner = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    n = max(0, len(h) - n_words + 1)
+    whole, inside = h[:n].copy(), np.zeros(0, bool)
+    own = None if levels is None else levels[word_slots(h)]
+    least = None if own is None else own[:n].copy()
+    for j in range(1, n_words):
+        whole *= _STEP
+        whole += h[j : n + j]
+        if least is not None:
+            np.minimum(least, own[j : n + j], out=least)
+    if n:
+        inside = rows[:n] == rows[n_words - 1 :]
+    shingles, owner = mixed(whole[inside]), rows[:n][inside]
+    least = None if least is None else least[inside]
     cuts = np.searchsorted(owner, np.arange(n_texts + 1))
     first_word = np.searchsorted(rows, np.arange(n_texts + 1))
     for i in range(n_texts):
-        if cuts[i + 1] > cuts[i]:
-            yield np.unique(shingles[cuts[i] : cuts[i + 1]])
+        a, b = cuts[i], cuts[i + 1]
+        if b > a and least is None:
+            yield np.unique(shingles[a:b]), None
+        elif b > a:
+            found, first = np.unique(shingles[a:b], return_index=True)
+            yield found, least[a:b][first]
         elif first_word[i + 1] > first_word[i]:
             value = np.array([first_word[i + 1] - first_word[i]], np.uint64) * _SHORT
             for word in h[first_word[i] : first_word[i + 1]]:
                 value = value * _STEP + word
-            yield mixed(value)
+            yield mixed(value), np.zeros(1, np.uint8)
         else:
-            yield np.zeros(0, np.uint64)
+            yield np.zeros(0, np.uint64), np.zeros(0, np.uint8)
 
 
 def set_digest(shingles: np.ndarray) -> int:
@@ -85,55 +102,75 @@ def set_digest(shingles: np.ndarray) -> int:
     return int(mixed(np.array([total], np.uint64)).view(np.int64)[0])
 
 
+def shared_at_least(n):
+    """How many of their first shingles similar sets share, as looked for in a set of ``n``."""
+    return 1 + n // 32
+
+
 def prefix_length(n: int, similarity: int) -> int:
-    """How many first shingles of a set of ``n`` one must look at."""
-    return n - -(-similarity * n // 100) + 1
+    """How many first shingles of a set of ``n`` hold as many common ones.
+
+    A similar set lacks at most ``n`` minus ceil(similarity * n) of them; so
+    the first common shingles are within that many and their own number, for
+    either set.
+    """
+    return min(n, n - -(-similarity * n // 100) + shared_at_least(n))
 
 
-# ---- 1: sets, and how common shingles are --------------------------------------------
+# ---- 1: sets, and how common words are -----------------------------------------------
 
-SETS = "doc_id long, n_shingles long, node long, page int, counts binary"
+SETS = "doc_id long, n_shingles long, node long, page int, slots binary, counts binary, some int"
 _SETS_ARROW = pa.schema([
-    ("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("node", pa.int64()), ("page", pa.int32()), ("counts", pa.binary())
+    ("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("node", pa.int64()), ("page", pa.int32()), ("slots", pa.binary()), ("counts", pa.binary()), ("some", pa.int32())
 ])
 
 
 def _describe(n_words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(SKETCH, np.int64)
+        counts, some = np.zeros(WORD_SLOTS, np.int64), TaskContext.get().partitionId() // TASKS_PER_SUM
         for batch, data, off in text_blocks(batches):
-            sets = list(shingle_sets(data, off, n_words))
-            counts += np.bincount((np.concatenate(sets) & np.uint64(SKETCH - 1)).astype(np.int64), minlength=SKETCH)
-            n = [len(s) for s in sets]
+            starts, ends, _rows = words(data, off)
+            slots, n = np.unique(word_slots(span_hashes(data, starts, ends, LOWER_VALUES)), return_counts=True)
+            counts[slots] += n
+            sets = [s for s, _ in shingle_sets(data, off, n_words)]
+            n_shingles = [len(s) for s in sets]
             node = [set_digest(s) if len(s) else None for s in sets]
-            none = pa.nulls(len(sets))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(node, pa.int64()), none.cast(pa.int32()), none.cast(pa.binary())],
-                schema=_SETS_ARROW,
-            )
-        if counts.any():
-            pages = counts.reshape(-1, PAGE)
-            kind = np.uint32 if counts.max() > 65535 else np.uint16
-            none = pa.nulls(len(pages), pa.int64())
+            empty = [pa.nulls(len(sets), f.type) for f in list(_SETS_ARROW)[3:]]
             yield pa.RecordBatch.from_arrays(
-                [none, none, none, pa.array(range(len(pages)), pa.int32()), pa.array([p.astype(kind).tobytes() for p in pages])],
-                schema=_SETS_ARROW,
+                [batch.column("doc_id"), pa.array(n_shingles, pa.int64()), pa.array(node, pa.int64()), *empty], schema=_SETS_ARROW
             )
+        pages = [(i, np.flatnonzero(p), p) for i, p in enumerate(counts.reshape(-1, PAGE))]
+        pages = [(i, at.astype(np.uint16).tobytes(), p[at].tobytes(), some) for i, at, p in pages if len(at)]
+        if pages:
+            empty = [pa.nulls(len(pages), f.type) for f in list(_SETS_ARROW)[:3]]
+            yield pa.RecordBatch.from_arrays([*empty, *[pa.array(c, f.type) for c, f in zip(zip(*pages), list(_SETS_ARROW)[3:])]], schema=_SETS_ARROW)
 
     return run
 
 
 def _page_levels(rows: pd.DataFrame) -> pd.DataFrame:
+    return pd.DataFrame({"page": rows["page"].iloc[:1], "levels": [np.frexp(_page_sum(rows))[1].astype(np.uint8).tobytes()]})
+
+
+def _page_sum(rows: pd.DataFrame) -> np.ndarray:
     total = np.zeros(PAGE, np.int64)
-    for raw in rows["counts"]:
-        total += np.frombuffer(raw, np.uint16 if len(raw) == 2 * PAGE else np.uint32)
-    return pd.DataFrame({"page": rows["page"].iloc[:1], "levels": [np.frexp(total)[1].astype(np.uint8).tobytes()]})
+    for slots, counts in zip(rows["slots"], rows["counts"]):
+        total[np.frombuffer(slots, np.uint16)] += np.frombuffer(counts, np.int64)
+    return total
+
+
+def _summed_pages(rows: pd.DataFrame) -> pd.DataFrame:
+    total = _page_sum(rows)
+    at = np.flatnonzero(total)
+    return pd.DataFrame({"page": rows["page"].iloc[:1], "slots": [at.astype(np.uint16).tobytes()], "counts": [total[at].tobytes()]})
 
 
 def _levels(described: DataFrame) -> np.ndarray:
-    """Magnitude of the count in every slot of the sketch: ``SKETCH`` bytes at any input size."""
-    pages = described.where("page is not null").select("page", "counts").groupBy("page").applyInPandas(_page_levels, "page int, levels binary")
-    out = np.zeros(SKETCH, np.uint8)
+    """Magnitude of the count in every word slot: ``WORD_SLOTS`` bytes at any input size."""
+    parts = described.where("page is not null").select("page", "slots", "counts", "some")
+    parts = parts.groupBy("page", "some").applyInPandas(_summed_pages, "page int, slots binary, counts binary")
+    pages = parts.groupBy("page").applyInPandas(_page_levels, "page int, levels binary")
+    out = np.zeros(WORD_SLOTS, np.uint8)
     for row in pages.collect():
         out[row["page"] * PAGE : (row["page"] + 1) * PAGE] = np.frombuffer(row["levels"], np.uint8)
     return out
@@ -145,27 +182,36 @@ POSTINGS = "bucket int, keys binary, nodes binary, sizes binary"
 _POSTINGS_ARROW = pa.schema([("bucket", pa.int32()), ("keys", pa.binary()), ("nodes", pa.binary()), ("sizes", pa.binary())])
 
 
-def _prefixes(n_words: int, similarity: int, held_levels, bucket_bits: int):
+def _top_bits(values: np.ndarray, bits: int) -> np.ndarray:
+    return (values.astype(np.uint64) >> np.uint64(64 - bits)).astype(np.int64)
+
+
+def _packed(place: np.ndarray, keys: np.ndarray, nodes: np.ndarray, sizes: np.ndarray) -> tuple:
+    """Columns of POSTINGS rows: each place once, with its postings as arrays of bytes."""
+    order = np.argsort(place, kind="stable")
+    present, at = np.unique(place[order], return_index=True)
+    spans = list(zip(at.tolist(), [*at[1:].tolist(), len(place)]))
+    return (present.astype(np.int32), *[[x[order][a:b].tobytes() for a, b in spans] for x in (keys, nodes, sizes.astype(np.int32))])
+
+
+def _unpacked(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    kinds = (("keys", np.uint64), ("nodes", np.int64), ("sizes", np.int32))
+    keys, nodes, sizes = (np.frombuffer(b"".join(rows[c]), kind) for c, kind in kinds)
+    return keys, nodes, sizes.astype(np.int64)
+
+
+def _prefixes(n_words: int, similarity: int, held_levels, bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         levels = held_levels.value
         keys, nodes, sizes, n_waiting, met = [], [], [], 0, set()
 
-        def flush() -> Iterator[pa.RecordBatch]:
-            k = np.concatenate(keys)
-            v = np.repeat(np.array(nodes, np.int64), [len(x) for x in keys])
-            s = np.repeat(np.array(sizes, np.int32), [len(x) for x in keys])
-            bucket = (k >> np.uint64(64 - bucket_bits)).astype(np.int64) if bucket_bits else np.zeros(len(k), np.int64)
-            order = np.argsort(bucket, kind="stable")
-            k, v, s, bucket = k[order], v[order], s[order], bucket[order]
-            present, at = np.unique(bucket, return_index=True)
-            spans = list(zip(at.tolist(), [*at[1:].tolist(), len(k)]))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(present, pa.int32()), *[pa.array([x[a:b].tobytes() for a, b in spans], pa.binary()) for x in (k, v, s)]],
-                schema=_POSTINGS_ARROW,
-            )
+        def flush() -> pa.RecordBatch:
+            k, each = np.concatenate(keys), [len(x) for x in keys]
+            columns = _packed(_top_bits(k, bits), k, np.repeat(np.array(nodes, np.int64), each), np.repeat(np.array(sizes, np.int64), each))
+            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _POSTINGS_ARROW)], schema=_POSTINGS_ARROW)
 
         for _, data, off in text_blocks(batches):
-            for found in shingle_sets(data, off, n_words):
+            for found, level in shingle_sets(data, off, n_words, levels):
                 if not len(found):
                     continue
                 node = set_digest(found)
@@ -174,37 +220,70 @@ def _prefixes(n_words: int, similarity: int, held_levels, bucket_bits: int):
                 if len(met) < FLUSH:  # only saves repeats
                     met.add(node)
                 p = prefix_length(len(found), similarity)
-                order = (levels[(found & np.uint64(SKETCH - 1)).astype(np.int64)].astype(np.uint64) << np.uint64(56)) | (found >> np.uint64(8))
+                order = (level.astype(np.uint64) << np.uint64(56)) | (found >> np.uint64(8))
                 first = np.argpartition(order, p - 1)[:p] if p < len(found) else slice(None)
                 keys.append(found[first])
                 nodes.append(node)
                 sizes.append(len(found))
                 n_waiting += p
                 if n_waiting >= FLUSH:
-                    yield from flush()
+                    yield flush()
                     keys, nodes, sizes, n_waiting = [], [], [], 0
         if keys:
-            yield from flush()
+            yield flush()
+
+    return run
+
+
+def _of_several(rows: pd.DataFrame, similarity: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Postings by key, then size, and whether each and the next share the key and could be similar by size.
+
+    Between two nodes that could be similar lie only such, so neighbours tell.
+    """
+    keys, nodes, sizes = _unpacked(rows)
+    by_key = np.argsort(keys)
+    same = keys[by_key][1:] == keys[by_key][:-1]
+    twice = np.zeros(len(keys), bool)
+    twice[1:] |= same
+    twice[:-1] |= same
+    pick = by_key[twice]
+    pick = pick[np.lexsort((nodes[pick], sizes[pick], keys[pick]))]
+    keys, nodes, sizes = keys[pick], nodes[pick], sizes[pick]
+    once = np.ones(len(keys), bool)  # copies of one node come from several tasks
+    once[1:] = (keys[1:] != keys[:-1]) | (nodes[1:] != nodes[:-1])
+    keys, nodes, sizes = keys[once], nodes[once], sizes[once]
+    return keys, nodes, sizes, (keys[1:] == keys[:-1]) & (100 * sizes[:-1] >= similarity * sizes[1:])
+
+
+def _shared_postings(similarity: int, bits: int):
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        """Postings whose shingle another fitting node has, packed by node."""
+        keys, nodes, sizes, near = _of_several(rows, similarity)
+        shared = np.zeros(len(keys), bool)
+        shared[1:] |= near
+        shared[:-1] |= near
+        columns = _packed(_top_bits(nodes[shared], bits), keys[shared], nodes[shared], sizes[shared])
+        return pd.DataFrame(dict(zip(("bucket", "keys", "nodes", "sizes"), columns)))
+
+    return run
+
+
+def _kept_postings(bits: int):
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        """Postings of nodes that share enough, packed by shingle again."""
+        keys, nodes, sizes = _unpacked(rows)
+        _, where, n = np.unique(nodes, return_inverse=True, return_counts=True)
+        keep = n[where] >= shared_at_least(sizes)
+        columns = _packed(_top_bits(keys[keep], bits), keys[keep], nodes[keep], sizes[keep])
+        return pd.DataFrame(dict(zip(("bucket", "keys", "nodes", "sizes"), columns)))
 
     return run
 
 
-def _shared(similarity: int):
+def _neighbours(similarity: int):
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         """Pairs of neighbours by size among the nodes of a shingle; a gap in size that rules out a link cuts the chain."""
-        keys = np.frombuffer(b"".join(rows["keys"]), np.uint64)
-        nodes = np.frombuffer(b"".join(rows["nodes"]), np.int64)
-        sizes = np.frombuffer(b"".join(rows["sizes"]), np.int32).astype(np.int64)
-        by_key = np.argsort(keys)
-        twice = np.zeros(len(keys), bool)
-        same = keys[by_key][1:] == keys[by_key][:-1]
-        twice[1:] |= same
-        twice[:-1] |= same
-        pick = by_key[twice]
-        keys, nodes, sizes = keys[pick], nodes[pick], sizes[pick]
-        order = np.lexsort((nodes, sizes, keys))
-        keys, nodes, sizes = keys[order], nodes[order], sizes[order]
-        near = (keys[1:] == keys[:-1]) & (nodes[1:] != nodes[:-1]) & (100 * sizes[:-1] >= similarity * sizes[1:])
+        _, nodes, _, near = _of_several(rows, similarity)
         pairs = np.unique(np.stack([nodes[:-1][near], nodes[1:][near]], axis=1), axis=0) if near.any() else np.zeros((0, 2), np.int64)
         return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
 
@@ -317,7 +396,7 @@ def _wanted_sets(n_words: int, held_map):
         wanted, met = held_map.value, set()
         for _, data, off in text_blocks(batches):
             rows = []
-            for found in shingle_sets(data, off, n_words):
+            for found, _ in shingle_sets(data, off, n_words):
                 if not len(found):
                     continue
                 node = set_digest(found)
@@ -376,9 +455,11 @@ def similar_groups(docs: DataFrame, n_words: int = N_WORDS, similarity: int = SI
     levels = context.broadcast(_levels(described))
 
     n_rows = rows.count()
-    bucket_bits = max(3, (n_rows // NODES_PER_BUCKET).bit_length())
-    postings = texts.select("text").mapInArrow(_prefixes(n_words, similarity, levels, bucket_bits), POSTINGS)
-    clusters = written(components(postings.groupBy("bucket").applyInPandas(_shared(similarity), "a long, b long")), "clusters")
+    bits = max(3, (n_rows // NODES_PER_BUCKET).bit_length())
+    postings = texts.select("text").mapInArrow(_prefixes(n_words, similarity, levels, bits), POSTINGS)
+    shared = postings.groupBy("bucket").applyInPandas(_shared_postings(similarity, bits), POSTINGS)
+    kept = shared.groupBy("bucket").applyInPandas(_kept_postings(bits), POSTINGS)
+    clusters = written(components(kept.groupBy("bucket").applyInPandas(_neighbours(similarity), "a long, b long")), "clusters")
 
     wanted = context.broadcast(_node_map(clusters))
     sets = texts.select("text").mapInArrow(_wanted_sets(n_words, wanted), SET_ROWS)
