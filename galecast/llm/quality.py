@@ -66,7 +66,7 @@ class QualityNet:
 
     def _responses(self, data: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
         padded = np.append(data, np.zeros(WIDTH, np.uint8))
-        out = self.tables[0][padded[start]]
+        out = self.tables[0][_byte_at(padded, start, stop)]
         for k in range(1, WIDTH):
             out += self.tables[k][_byte_at(padded, start + k, stop)]
         return out
