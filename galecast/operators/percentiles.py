@@ -2,8 +2,10 @@
 
 Spark's ``percentile`` keeps all distinct values of a group in one buffer. A
 run may hold a third of the table, so the values are counted first, spread over
-all tasks by ``(scope, value)``; then only the slices of the value range in
-which a wanted rank lies are sorted.
+all tasks by ``(scope, value)``; then only the slices of the values in which a
+wanted rank lies are sorted. The edges of the slices are approximate
+percentiles of the distinct values, a sketch of fixed size per scope, so an
+outlier does not put all other values in one slice.
 """
 
 from __future__ import annotations
@@ -15,9 +17,10 @@ from pyspark.sql import functions as F
 
 from galecast.operators.keys import splittable
 
-# Slices of each scope's value range. Also the most rows any one window over a
-# scope's slice totals can have.
-SLICES = 1 << 16
+# Slices of each scope's distinct values. Also the most rows any one window over
+# a scope's slice totals can have.
+SLICES = 256
+EDGE_ACCURACY = 10_000
 
 
 # The usual scope: the run hour, yyyyMMddHH.
@@ -27,19 +30,24 @@ RUN = ("dt",)
 def join_scope(df: DataFrame, table: DataFrame, scope: Sequence[str], how: str = "left") -> DataFrame:
     """Add a table with one row per scope to a table of any size.
 
-    By run hour the small side has one row per hour whatever the input (8,766 a
-    year, under 1 MB) and is broadcast, so a run that holds much of the data is
-    not shuffled by its run. With no scope columns it is a single row, which the
-    plan takes in as a value. For other scopes Spark chooses the join by size
-    and splits full partitions.
+    With no scope columns it is a single row, which the plan takes in as a value.
+    Otherwise Spark chooses the join by size: the table is broadcast while it is
+    below the threshold, and beyond it full partitions are split.
     """
     scope = list(scope)
     if not scope:
         names = table.columns
         row = df.withColumn("_row", table.select(F.struct(*names)).scalar())
         return row.select(*df.columns, *[F.col("_row").getField(n).alias(n) for n in names])
-    small = F.broadcast(table) if tuple(scope) == RUN else splittable(table, scope)
-    return df.join(small, scope, how)
+    return df.join(splittable(table, scope), scope, how)
+
+
+def sliced_values(counted: DataFrame, scope: Sequence[str]) -> DataFrame:
+    """Distinct values ``_v`` with counts ``_n``, in slices of about equally many values; adds ``_size`` of the scope."""
+    edges = F.percentile_approx("_v", [i / SLICES for i in range(SLICES)], EDGE_ACCURACY)
+    span = counted.groupBy(*scope).agg(edges.alias("_edges"), F.sum("_n").alias("_size"))
+    below = F.size(F.filter("_edges", lambda e: e <= F.col("_v")))
+    return join_scope(counted, span, scope, "inner").withColumn("_slice", below).drop("_edges")
 
 
 def scope_percentiles(
@@ -56,13 +64,7 @@ def scope_percentiles(
     counted = df.select(*scope, F.when(finite, value).alias("_v")).where("_v IS NOT NULL")
     counted = counted.groupBy(*scope, "_v").agg(F.count("*").alias("_n"))
 
-    span = counted.groupBy(*scope).agg(
-        F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.sum("_n").alias("_size")
-    )
-    place = F.floor((F.col("_v") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * SLICES)
-    sliced = join_scope(counted, span, scope, "inner").withColumn(
-        "_slice", F.when(F.col("_hi") > F.col("_lo"), F.least(place, F.lit(SLICES - 1))).otherwise(0)
-    )
+    sliced = sliced_values(counted, scope)
 
     # First rank of every slice; at most SLICES rows per scope.
     upto = Window.partitionBy(*scope).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
@@ -91,8 +93,7 @@ def scope_percentiles(
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     # At most two slices per percentile and scope.
-    small = wanted if scope and tuple(scope) != RUN else F.broadcast(wanted)
-    ordered = sliced.join(small, [*scope, "_slice"]).withColumn(
+    ordered = sliced.join(splittable(wanted, [*scope, "_slice"]), [*scope, "_slice"]).withColumn(
         "_upto", F.col("_before") + F.sum("_n").over(running)
     )
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from galecast.functions.scores import percentile_scale
 from galecast.operators import regions, scoring
 from galecast.operators.canonical import canonicalize
+from galecast.operators.percentiles import sliced_values
 from galecast.sources import responses, tables
 from galecast.streaming import ingest
 
@@ -25,6 +26,13 @@ def test_infinite_values_score_as_missing(spark):
     assert [r.s is None for r in scaled.collect()] == [True, True, True, False]
 
 
+def test_an_outlier_does_not_fill_one_slice(spark):
+    counted = spark.range(20_000).select(F.lit("r").alias("dt"), (F.col("id") * 0.003).alias("_v"), F.lit(1).alias("_n"))
+    counted = counted.unionByName(spark.createDataFrame([("r", 1e9, 1)], "dt string, _v double, _n int"))
+    slices = [r["count"] for r in sliced_values(counted, ["dt"]).groupBy("_slice").count().collect()]
+    assert sum(slices) == 20_001 and max(slices) < 400
+
+
 def test_temperature_stands_in_where_there_is_no_t1h_column(spark):
     rows = spark.createDataFrame([("r", 38.0, 50.0, 2.0)], "dt string, TMP double, REH double, WSD double")
     heat = {"heat": scoring.HAZARDS["heat"]}
