@@ -351,6 +351,7 @@ def oracle_sql() -> dict[str, str]:
     )
     sql["response_triage"] = f"""{cte('fx_responses')} SELECT event_id,
       CASE WHEN kind IN ('single', 'list') THEN 'good' ELSE kind END AS status FROM fx_responses"""
+    sql["response_quarantine"] = f"SELECT * FROM ({sql['response_triage']}) WHERE status IN ('error', 'not_json', 'quota', 'unreadable')"
     sql["raw_items_explode"] = f"""{cte('fx_responses')}
       SELECT event_id, 0 AS pos, nx, ny, fcstDate AS baseDate, '0500' AS baseTime, fcstDate, fcstTime, category, fcstValue
         FROM fx_responses WHERE kind IN ('single', 'list')
@@ -492,6 +493,7 @@ def oracle_sql() -> dict[str, str]:
     sql["gold_latest"] = gold_sql(f"SELECT {latest} FROM newest", NEWEST_REGION)
     daily = f"date, admin_names, {r6s('r_total_avg', 'r_total_max')}, obs_cnt, max_time"
     sql["gold_daily"] = gold_sql(f"SELECT {daily} FROM daily", DAILY)
+    sql |= {"silver_written": sql["silver_build"], "gold_written": sql["gold_latest"], "gold_daily_written": sql["gold_daily"]}
     sql["export_latest"] = gold_sql(f"SELECT admin_names, fcst_ts, {r6s('R_total')}, risk_level FROM newest", NEWEST_REGION)
     sql["export_daily"] = sql["gold_daily"]
     sql["alert_rows"] = gold_sql(f"SELECT {latest} FROM newest WHERE R_total >= 0.6", NEWEST_REGION)

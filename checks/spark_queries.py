@@ -19,7 +19,7 @@ from galecast.operators.keys import newest_per_key
 from galecast.operators.percentiles import RUN, join_scope, scope_percentiles
 from galecast.plans import alerts, features, gold, silver
 from galecast.sources import responses
-from galecast.sources.tables import land_feed, scan_run, shared_folder
+from galecast.sources.tables import land_feed, read_table, scan_run, shared_folder, write_table
 from galecast.streaming import daily as stream_daily
 from galecast.streaming import dedupe as stream_dedupe
 from galecast.streaming import ingest as stream_ingest
@@ -78,6 +78,11 @@ def response_triage(t: Tables) -> DataFrame:
     return triaged.select("event_id", "status")
 
 
+def response_quarantine(t: Tables) -> DataFrame:
+    refused = responses.quarantine(responses.triage(t("fx_responses").select("event_id", "text")))
+    return refused.select("event_id", "status")
+
+
 def raw_items_explode(t: Tables) -> DataFrame:
     asked = t("fx_responses").select(
         "event_id", F.col("nx").alias("asked_nx"), F.col("ny").alias("asked_ny"), "text"
@@ -394,6 +399,28 @@ def silver_backfill(t: Tables) -> DataFrame:
     )
 
 
+def silver_table(t: Tables) -> str:
+    path = shared_folder(t.spark, "silver")
+    write_table(silver_rows(t), path, ["dt"])
+    return path
+
+
+def silver_written(t: Tables) -> DataFrame:
+    return rounded(read_table(t.spark, silver_table(t)).drop("ingested_at"), *SCORES)
+
+
+def gold_written(t: Tables) -> DataFrame:
+    path = shared_folder(t.spark, "gold")
+    gold.run_latest(t.spark, silver_table(t), path)
+    return rounded(read_table(t.spark, path), *SCORES)
+
+
+def gold_daily_written(t: Tables) -> DataFrame:
+    path = shared_folder(t.spark, "gold")
+    gold.run_daily(t.spark, silver_table(t), path)
+    return rounded(read_table(t.spark, path), "r_total_avg", "r_total_max")
+
+
 def gold_latest_rows(t: Tables) -> DataFrame:
     return gold.latest(silver_rows(t))
 
@@ -500,6 +527,7 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "scan_run_partition": scan_run_partition,
     "bronze_partitioned": bronze_partitioned,
     "response_triage": response_triage,
+    "response_quarantine": response_quarantine,
     "raw_items_explode": raw_items_explode,
     "call_list_clean": call_list_clean,
     "region_map_clean": region_map_clean,
@@ -551,6 +579,9 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "uv_hourly": uv_hourly,
     "silver_build": silver_build,
     "silver_backfill": silver_backfill,
+    "silver_written": silver_written,
+    "gold_written": gold_written,
+    "gold_daily_written": gold_daily_written,
     "gold_latest": gold_latest,
     "gold_daily": gold_daily,
     "export_latest": export_latest,
