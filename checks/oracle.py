@@ -518,7 +518,8 @@ def oracle_sql() -> dict[str, str]:
     sql["stream_bronze_ingest"] = f"""{cte('fx_responses')}
       SELECT event_id, 0 AS pos, fcstDate, fcstTime, category, fcstValue, fcstDate || '05' AS dt FROM fx_responses WHERE kind IN ('single', 'list')
       UNION ALL SELECT event_id, 1, fcstDate, fcstTime, 'SKY', sky, fcstDate || '05' FROM fx_responses WHERE kind = 'list'"""
-    sql["stream_dedupe_items"] = f"{cte('fx_items')} SELECT DISTINCT {KEYS}, category FROM fx_items"
+    sql["stream_dedupe_items"] = f"""{cte('fx_items')} SELECT * EXCLUDE (rk) FROM (
+      SELECT {KEYS}, category, fcstValue, row_number() OVER (PARTITION BY {KEYS}, category ORDER BY seq DESC, fcstValue DESC) AS rk FROM fx_items) WHERE rk = 1"""
     sql["stream_daily_stats"] = f"""{cte('fx_base')}, silver AS (
         SELECT fcstDate, fcstTime, CAST(nx AS VARCHAR) || '-' || CAST(ny AS VARCHAR) AS admin_names, T1H / 40.0 AS R_total FROM fx_base),
       {DAILY} SELECT {daily} FROM daily"""

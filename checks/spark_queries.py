@@ -504,13 +504,10 @@ def stream_bronze_ingest(t: Tables) -> DataFrame:
 def stream_dedupe_items(t: Tables) -> DataFrame:
     root = shared_folder(t.spark, "stream")
     keys = ("nx", "ny", "fcstDate", "fcstTime", "category")
-    items = streamed(t, "fx_items", "events").withColumn(
-        "at", clock.on_axis(clock.forecast_clock(F.col("fcstDate"), F.col("fcstTime")))
-    )
-    once = stream_dedupe.drop_repeats(items, "at", "60 days").select(*keys)
-    writer = once.writeStream.option("checkpointLocation", f"{root}/progress").option("path", f"{root}/table")
-    writer.format("parquet").trigger(availableNow=True).start().awaitTermination()
-    return t.spark.read.parquet(f"{root}/table")
+    items = streamed(t, "fx_items", "events")
+    stream_dedupe.append_items(items, f"{root}/table", f"{root}/progress").awaitTermination()
+    stored = t.spark.read.schema(items.schema).parquet(f"{root}/table")
+    return stream_dedupe.newest_items(stored, ["seq"], keys).select(*keys, "fcstValue")
 
 
 def stream_daily_stats(t: Tables) -> DataFrame:

@@ -5,14 +5,20 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql.streaming import StreamingQuery
 
 from galecast.operators.coalesce import KEYS
+from galecast.operators.keys import newest_per_key
 
 
 def drop_repeats(
     stream: DataFrame, event_time: str, delay: str = "2 days", keys: Sequence[str] = (*KEYS, "category")
 ) -> DataFrame:
-    """One item per key as long as repeats come within ``delay`` of each other.
+    """The first item per key as long as repeats come within ``delay`` of each other.
+
+    Rows behind the watermark are dropped, and of repeats the first to arrive
+    stays. Where the newest value must win, or nothing may be lost, use
+    ``append_items`` and ``newest_items``.
 
     ``event_time`` is a timestamp column, such as ``clock.on_axis`` of the valid time.
 
@@ -20,3 +26,17 @@ def drop_repeats(
     the keys of one delay, not by the length of the stream.
     """
     return stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(keys))
+
+
+def append_items(stream: DataFrame, path: str, checkpoint: str, once: bool = True) -> StreamingQuery:
+    """Store every item as it arrives, late or repeated; each batch is committed once."""
+    writer = stream.writeStream.format("parquet").option("checkpointLocation", checkpoint).option("path", path)
+    writer = writer.outputMode("append")
+    return (writer.trigger(availableNow=True) if once else writer).start()
+
+
+def newest_items(
+    stored: DataFrame, order_by: Sequence[str], keys: Sequence[str] = (*KEYS, "category")
+) -> DataFrame:
+    """One item per key of what ``append_items`` stored: the newest, as in the batch jobs."""
+    return newest_per_key(stored, keys, order_by)

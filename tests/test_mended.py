@@ -12,7 +12,7 @@ from galecast.operators import regions, scoring
 from galecast.operators.canonical import canonicalize
 from galecast.operators.percentiles import sliced_values
 from galecast.sources import responses, tables
-from galecast.streaming import ingest
+from galecast.streaming import dedupe, ingest
 
 
 def test_cells_written_as_decimals_keep_their_key(spark):
@@ -105,3 +105,19 @@ def test_run_column_of_a_stored_table_is_text(spark, tmp_path):
     path = str(tmp_path / "t")
     tables.write_table(spark.createDataFrame([("2025080103", 1)], "dt string, v int"), path, ["dt"])
     assert dict(tables.read_table(spark, path).dtypes)["dt"] == "string"
+
+
+def test_newest_item_wins_and_late_items_stay(spark, tmp_path):
+    schema = "nx int, ny int, fcstDate string, fcstTime string, category string, fcstValue string, seq long"
+    landed, table = str(tmp_path / "in"), str(tmp_path / "table")
+
+    def arrive(*rows):
+        spark.createDataFrame(list(rows), schema).coalesce(1).write.mode("append").parquet(landed)
+        stream = spark.readStream.schema(schema).parquet(landed)
+        dedupe.append_items(stream, table, str(tmp_path / "progress")).awaitTermination()
+        stored = spark.read.schema(schema).parquet(table)
+        return {(r.fcstDate, r.fcstValue) for r in dedupe.newest_items(stored, ["seq"]).collect()}
+
+    assert arrive((1, 1, "20250810", "0600", "T1H", "new", 5), (1, 1, "20250810", "0600", "T1H", "old", 4)) == {("20250810", "new")}
+    got = arrive((1, 1, "20250801", "0600", "T1H", "late", 1), (1, 1, "20250810", "0600", "T1H", "older", 3))
+    assert got == {("20250810", "new"), ("20250801", "late")}
