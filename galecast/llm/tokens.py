@@ -87,7 +87,7 @@ class ChunkEncoder:
     Bytes that are no UTF-8 count as U+FFFD.
     """
 
-    def __init__(self, path: str, spaces_matter: bool, remembered: int = 500_000):
+    def __init__(self, path: str, spaces_matter: bool, remembered: int = 200_000):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.spaces_matter = spaces_matter
