@@ -16,6 +16,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from galecast.llm.session import written
+
 WORD = "[^\\x20\\x09-\\x0D]+"
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -80,8 +82,9 @@ def mix(
     rows = docs.select(
         "doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"), key.alias("key")
     ).withColumn("b1", F.substring("key", 1, 2)).withColumn("b2", F.substring("key", 3, 2))
+    rows = written(rows, "sizes")  # texts are read once
     inner = rows.groupBy("source", "b1", "b2").agg(F.sum("size").alias("words"))
-    targets = source_targets(rows, weights, share, epochs)
+    targets = written(source_targets(rows, weights, share, epochs), "targets")
 
     outer = inner.groupBy("source", "b1").agg(F.sum("words").alias("words"))
     outer = _running(outer, ["source"], ["b1"], "words", "end1").withColumn("start1", F.col("end1") - F.col("words"))
@@ -92,7 +95,7 @@ def mix(
     inner = _matched(inner, targets, ["source"]).drop("words", "end2", "start1", "start2")
     placed = _matched(rows, inner, ["source", "b1", "b2"])
     placed = _running(placed, ["rank", "b1", "b2"], ["key", "doc_id", "size"], "size", "within")
-    placed = placed.withColumn("end", F.col("start") + F.col("within"))
+    placed = written(placed.withColumn("end", F.col("start") + F.col("within")), "placed")
 
     def finish(epoch: Column) -> Column:
         return (F.col("end") + epoch * F.col("source_size")) / F.col("target")
