@@ -6,6 +6,11 @@ presences, over the spectrum of the landmarks. Nyström landmarks turn it into
 features, and kernel ridge regression, one language versus the rest, is fitted
 on a bounded, hashed sample of labelled rows. Texts are scored block by block:
 presences times landmarks times weights, two matrix products.
+
+The values of a row have a fixed sum, so the largest one always claims a text.
+Whether a text is in its language at all is told by its fluency, the mean
+log-probability of its letters after the two before, against a threshold set
+on labelled rows that were not learned from.
 """
 
 from __future__ import annotations
@@ -15,6 +20,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,11 +32,14 @@ LANDMARKS_PER_LANGUAGE = 24
 MOST_LANGUAGES = 200
 RIDGE = 1e-3
 UNDETERMINED = "und"
-REJECT_BELOW = 0.5
+UNSEEN = -4.0
+SLACK = 4.0  # three deviations of one 3-gram
+CLEAN_SHARE = 0.01
 BLOCK_TEXTS = 256
 _N_CODES = 256 + (1 << 16) + (1 << 24)
 _fold = np.arange(256, dtype=np.uint8)
 _fold[ord("A") : ord("Z") + 1] += 32
+_letter = np.array([c if c >= 128 or chr(c).isalpha() else ord(" ") for c in range(256)], np.uint32)
 
 
 def gram_codes(data: np.ndarray, off: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -114,6 +123,90 @@ def fit(texts: list[str], langs: list[str], landmarks_per_language: int = LANDMA
     return LanguageModel(languages, grams, landmarks, (root @ solved).astype(np.float32), (target_mean - mean @ solved).astype(np.float32))
 
 
+def letter_trigrams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(text number, code) of the 3-grams of lower-cased bytes within texts that end in a letter or a byte beyond ASCII; other bytes are blanks."""
+    data, off = text_buffers(pc.utf8_lower(texts))
+    if len(data) < 3:
+        return np.zeros(0, np.int64), np.zeros(0, np.uint32)
+    b = _letter[data]
+    row = np.repeat(np.arange(len(off) - 1), np.diff(off))
+    code = (b[:-2] << 16) | (b[1:-1] << 8) | b[2:]
+    use = (row[:-2] == row[2:]) & (b[2:] != ord(" "))
+    return row[:-2][use], code[use]
+
+
+@dataclass(frozen=True)
+class Fluency:
+    """``logs``: per 3-gram and language log10 of its last byte after its first two, and a last row for unseen ones; ``least``: thresholds."""
+
+    grams: np.ndarray
+    logs: np.ndarray
+    least: np.ndarray
+
+    def column_of(self) -> np.ndarray:
+        """Row + 1 of every 3-gram, 0 for unseen ones, whose row is the last; untouched pages take no memory."""
+        table = np.zeros(1 << 24, np.int32)
+        table[self.grams] = np.arange(1, len(self.grams) + 1)
+        return table
+
+    def values(self, texts: pa.Array, language: np.ndarray, column_of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Mean over the 3-grams of every text under its language, and their number; 0 and 0 where there are none."""
+        row, code = letter_trigrams(texts)
+        n = np.bincount(row, minlength=len(texts))
+        total = np.bincount(row, weights=self.logs[column_of[code] - 1, language[row]], minlength=len(texts))
+        return total / np.maximum(n, 1), n
+
+    def fluent(self, texts: pa.Array, language: np.ndarray, column_of: np.ndarray) -> np.ndarray:
+        """Not below the threshold by more than chance explains in so short a text."""
+        value, n = self.values(texts, language, column_of)
+        return (n == 0) | (value >= self.least[language] - SLACK / np.sqrt(np.maximum(n, 1)))
+
+
+def fit_fluency(languages: list[str], learned: list[tuple[str, str]], held_out: list[tuple[str, str]]) -> Fluency:
+    """Counts 3-grams of ``learned`` and sets one threshold a language on ``held_out``, both (text, lang).
+
+    It lies halfway between what nearly all held-out texts reach and what
+    nearly none do once their letters are shuffled, and never above the former.
+    A language without held-out texts has the lowest threshold of the others.
+    """
+    at = {x: k for k, x in enumerate(languages)}
+    counted = []
+    for x in languages:
+        _, code = letter_trigrams(pa.array([t for t, y in learned if y == x], pa.string()))
+        counted.append(np.unique(code, return_counts=True))
+    grams = np.unique(np.concatenate([c for c, _ in counted])) if counted else np.zeros(0, np.uint32)
+    logs = np.full((len(grams) + 1, len(languages)), UNSEEN, np.float32)
+    for k, (code, n) in enumerate(counted):
+        _, prefix = np.unique(code >> 8, return_inverse=True)
+        logs[np.searchsorted(grams, code), k] = np.log10(n / np.bincount(prefix, weights=n)[prefix]) if len(code) else 0
+    logs = np.maximum(logs, UNSEEN)
+    bare = Fluency(grams, logs, np.full(len(languages), -np.inf))
+    table, rng = bare.column_of(), np.random.default_rng(7)
+    for x, k in at.items():
+        texts = [t for t, y in held_out if y == x]
+        given, shuffled = [pa.array(ts, pa.string()) for ts in (texts, [_shuffled(t, rng) for t in texts])]
+        clean, n = bare.values(given, np.full(len(texts), k), table)
+        clean, n = clean[n > 0], n[n > 0]
+        if len(clean):
+            slack = SLACK / np.sqrt(n)
+            junk, m = bare.values(shuffled, np.full(len(texts), k), table)
+            low, high = np.quantile(clean + slack, CLEAN_SHARE), np.quantile(junk[m > 0], 1 - CLEAN_SHARE)
+            bare.least[k] = min(low, (low + high) / 2)
+    known = bare.least[np.isfinite(bare.least)]
+    if len(known):
+        bare.least[~np.isfinite(bare.least)] = known.min()
+    return bare
+
+
+def _shuffled(text: str, rng: np.random.Generator) -> str:
+    """The same letters in places of letters, in another order."""
+    places = [i for i, c in enumerate(text) if c.isalpha()]
+    out = list(text)
+    for i, j in zip(places, rng.permutation(places).tolist()):
+        out[i] = text[j]
+    return "".join(out)
+
+
 def training_sample(docs: DataFrame, fits: Column, per_language: int = SAMPLE_PER_LANGUAGE) -> list[tuple[str, str]]:
     """About ``per_language`` hashed (text, lang) of every language, at most twice as many, in a fixed order.
 
@@ -130,42 +223,48 @@ def training_sample(docs: DataFrame, fits: Column, per_language: int = SAMPLE_PE
     return [(r["text"], r["lang"]) for r in rows]
 
 
-def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
-    """All columns of ``docs`` and lang_pred, score.
+def identify(docs: DataFrame, model: LanguageModel, fluency: Fluency | None = None) -> DataFrame:
+    """All columns of ``docs`` and lang_pred, score; with ``fluency``, which has the languages of ``model``, also fluent.
 
     ``score`` (0 to 1) is the value of the chosen language, 0.5 where no
     language is more likely than not. Null texts, texts without a letter, and
-    all texts if no language was learned, are ``und`` with score 0.
+    all texts if no language was learned, are ``und`` with score 0 and not fluent.
     """
     spark = ready(docs.sparkSession)
-    held = spark.sparkContext.broadcast(model)  # landmarks x n-grams: bounded by the sample
+    held = spark.sparkContext.broadcast((model, fluency))  # landmarks x n-grams: bounded by the sample
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = held.value
+        model, fluency = held.value
         table = model.column_of()
+        trigrams = fluency.column_of() if fluency else None
         for batch in batches:
             data, off = text_buffers(batch.column("_text"))
-            names, scores = [], []
+            names, scores, fluent = [], [], []
             for i in range(0, batch.num_rows, BLOCK_TEXTS):
                 part = off[i : i + BLOCK_TEXTS + 1]
                 values = model.decide(model.presences(data[part[0] : part[-1]], part - part[0], table))
                 best = values.argmax(axis=1)
                 names += [model.languages[k] for k in best]
+                if fluency:
+                    fluent.append(fluency.fluent(batch.column("_text").slice(i, BLOCK_TEXTS), best, trigrams))
                 scores.append(np.clip((values[np.arange(len(best)), best] + 1) / 2, 0, 1).astype(np.float64))
             names, scores = np.array(names, object), np.concatenate(scores) if scores else np.zeros(0)
             lettered = batch.column("_letter").to_numpy(zero_copy_only=False)
             names[~lettered], scores[~lettered] = UNDETERMINED, 0.0
-            yield pa.RecordBatch.from_arrays(
-                [*[batch.column(c) for c in kept], pa.array(names, pa.string()), pa.array(scores)], names=[*kept, "lang_pred", "score"]
-            )
+            arrays, added = [pa.array(names, pa.string()), pa.array(scores)], ["lang_pred", "score"]
+            if fluency:
+                arrays.append(pa.array((np.concatenate(fluent) if fluent else np.zeros(0, bool)) & lettered))
+                added.append("fluent")
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], *arrays], names=[*kept, *added])
 
     if not model.languages:
-        return docs.withColumns({"lang_pred": F.lit(UNDETERMINED), "score": F.lit(0.0)})
+        none = {"lang_pred": F.lit(UNDETERMINED), "score": F.lit(0.0)}
+        return docs.withColumns(none | ({"fluent": F.lit(False)} if fluency else {}))
     kept = [f"_c{i}" for i in range(len(docs.columns))]  # own names: those of ``docs`` may clash
     rows = docs.toDF(*kept)
     at = kept[docs.columns.index("text")]
     lettered = F.coalesce(F.col(at).rlike(r"\p{L}"), F.lit(False))
     rows = rows.withColumns({"_text": F.coalesce(F.col(at), F.lit("")), "_letter": lettered})
     schema = ", ".join(f"{c} {f.dataType.simpleString()}" for c, f in zip(kept, docs.schema.fields))
-    found = rows.mapInArrow(score, f"{schema}, lang_pred string, score double")
+    found = rows.mapInArrow(score, f"{schema}, lang_pred string, score double" + (", fluent boolean" if fluency else ""))
     return found.withColumnsRenamed(dict(zip(kept, docs.columns)))

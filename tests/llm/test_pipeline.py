@@ -1,9 +1,11 @@
 from __future__ import annotations
 
+import random
 from collections import Counter
 
 import corpus_pipeline
 from galecast.llm import mixing
+from tests.llm.conftest import sentence
 from tests.llm.test_dedup_and_mix import brute_groups
 from tests.llm.test_search_and_output import WORD, brute_ids
 
@@ -66,3 +68,16 @@ def test_whole_run(spark):
     rows = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
     fills = rows.groupBy("sequence_id").sum("length").collect()
     assert fills and max(r[1] for r in fills) <= 4096
+
+
+def test_gibberish_goes_and_clean_texts_of_every_language_stay(spark):
+    rng = random.Random(8)
+    clean = [(i, sentence(rng, "en" if i % 2 else "de", rng.randint(8, 60)), "en" if i % 2 else "de") for i in range(400)]
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    junk = [" ".join("".join(rng.choices(letters, k=rng.randint(2, 9))) for _ in range(n)) for n in (8, 20, 40, 200)]
+    junk += ["Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan", "Все люди рождаются свободными и равными"]
+    rows = clean + [(1000 + i, t, None) for i, t in enumerate(junk)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    stayed = {r.doc_id for r in corpus_pipeline.identified_language(spark, docs, "").collect()}
+    assert not {i for i in stayed if i >= 1000}
+    assert len(stayed) >= 0.98 * len(clean)
