@@ -13,6 +13,7 @@ from __future__ import annotations
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -28,7 +29,7 @@ CAPACITY = 4096
 SHARD_DOCS = 8192
 TAIL_SHARDS = 512
 SEARCH_STEPS = 20_000
-FILLINGS = 8
+OPEN_FILLINGS = 64
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PLACED = PIECES + ", sequence_id long, offset long, tail boolean"
 _PIECES_ARROW = pa.schema([
@@ -80,51 +81,96 @@ def best_fit(lengths: list[int], capacity: int) -> list[list[int]]:
     return bins
 
 
-def undominated_fillings(sizes: _Sizes, room: int, limit: int = FILLINGS) -> list[tuple[int, ...]]:
-    """Ways to fill ``room``, fullest first.
+def _spread(bits: int, width: int) -> int:
+    """Every set bit and the ``width`` bits above it."""
+    have = 0
+    while have < width:
+        step = min(have + 1, width - have)
+        bits |= bits << step
+        have += step
+    return bits
+
+
+def _dominated(filling: tuple[int, ...], room: int, sizes: _Sizes) -> bool:
+    """Whether a piece left outside fits as well, or in place of a smaller one or of several whose sum is no larger."""
+    slack = room - sum(filling)
+    outside = sizes.present
+    for n in set(filling):
+        if sizes.count[n] == filling.count(n):
+            outside &= ~(1 << n)
+    if outside & ((2 << slack) - 1):
+        return True
+    one = several = 0  # sums of one piece of the filling, of two or more
+    for n in filling:
+        several |= (several | one) << n
+        one |= 1 << n
+    larger = _spread(one << 1, slack - 1) if slack else 0
+    return bool(outside & (larger | _spread(several, slack)))
+
 
-    A filling is left out if one piece that fits could take the place of
-    several of its pieces (their sum is no larger), for then the smaller ones
-    are worth more outside. The search goes down in size and ends at an exact
-    filling, which dominates by sum.
+def undominated_fillings(sizes: _Sizes, room: int) -> Iterator[tuple[int, ...] | None]:
+    """All ways to fill ``room`` that no other way dominates, fullest first, larger pieces first; None for each one left out.
+
+    Sums that the smaller sizes reach are known for every size, so the walk
+    from the largest size down has no dead end. ``sizes`` must be as at the
+    start whenever the next one is asked for.
     """
     top = sizes.largest(room)
     if top <= 0:
-        return [()]
-    found: list[tuple[int, ...]] = [(top,)]
+        yield ()
+        return
     if top == room:
-        return found
-    steps = 0
-
-    def extend(chosen: tuple[int, ...], left: int, at_most: int) -> bool:
-        nonlocal steps
-        n = sizes.largest(min(left, at_most))
-        while n > 0:
-            steps += 1
-            if steps > 16 * limit:
-                return False
-            if sizes.count[n] > chosen.count(n):
-                more = (*chosen, n)
-                if len(more) > 1 and room - left + n > top:  # else ``top`` alone dominates
-                    found.append(more)
-                if left == n:
-                    return False
-                if len(more) < 4 and not extend(more, left - n, n):
-                    return False
-            n = sizes.largest(n - 1)
-        return True
-
-    extend((), room, top)
-    return sorted(set(found), key=lambda f: (-sum(f), len(f)))[:limit]
+        yield (top,)
+        return
+    found, reached, left = [], [1], sizes.present & ((2 << room) - 1)
+    limit = (2 << room) - 1
+    while left:
+        n = (left & -left).bit_length() - 1
+        left &= left - 1
+        sums, copies, step = reached[-1], min(sizes.count[n], room // n), 1
+        while copies:
+            step = min(step, copies)
+            sums |= (sums << n * step) & limit
+            copies -= step
+            step *= 2
+        found.append(n)
+        reached.append(sums)
+
+    def ways(i: int, rest: int) -> Iterator[tuple[int, ...]]:
+        """Of the first ``i`` sizes, with sum ``rest``."""
+        if not rest:
+            yield ()
+            return
+        while i:
+            n = found[i - 1]
+            below = reached[i - 1]
+            for copies in range(min(sizes.count[n], rest // n), 0, -1):
+                if below >> (rest - n * copies) & 1:
+                    for more in ways(i - 1, rest - n * copies):
+                        yield (n,) * copies + more
+            if not below >> rest & 1:
+                return
+            i -= 1
+
+    sums = reached[-1]
+    while sums > 1:
+        total = sums.bit_length() - 1
+        sums ^= 1 << total
+        for filling in ways(len(found), total):
+            yield None if _dominated(filling, room, sizes) else filling
 
 
 def bin_completion(lengths: list[int], capacity: int = CAPACITY, steps: int = SEARCH_STEPS) -> list[list[int]]:
-    """Few bins of ``capacity`` for ``lengths``; the fewest unless ``steps`` run out, then the best found."""
+    """Few bins of ``capacity`` for ``lengths``; the fewest unless ``steps`` run out, then the best found.
+
+    A step is a filling looked at, dominated ones included, or a turn back.
+    """
     best = best_fit(lengths, capacity)
     total = sum(lengths)
     bound = -(-total // capacity)
     sizes = _Sizes(lengths)
-    path: list[tuple[int, list[tuple[int, ...]]]] = []  # largest piece, fillings not tried yet
+    # Per bin: its largest piece, the fillings to come (None: dropped to save memory), how many were looked at.
+    path: list[list] = []
     bins: list[list[int]] = []
     waste = 0
 
@@ -135,33 +181,45 @@ def bin_completion(lengths: list[int], capacity: int = CAPACITY, steps: int = SE
         for n in last:
             sizes.add(n)
 
+    def next_filling() -> tuple[int, ...] | None:
+        """The next filling of the last bin of the path; None where there is no other."""
+        nonlocal steps
+        level = path[-1]
+        sizes.take(level[0])
+        if level[1] is None:
+            level[1] = islice(undominated_fillings(sizes, capacity - level[0]), level[2], None)
+        filling = None
+        for filling in level[1]:
+            level[2] += 1
+            steps -= 1
+            if filling is not None or steps <= 0:
+                break
+        sizes.add(level[0])
+        return filling
+
     while len(best) > bound and steps > 0:
-        steps -= 1
         top = sizes.largest(capacity)
         if top <= 0:
             best = [list(b) for b in bins]
-            choices: list[tuple[int, ...]] = []
-        elif waste > (len(best) - 1) * capacity - total:
-            choices = []
-        else:
-            sizes.take(top)
-            choices = undominated_fillings(sizes, capacity - top)
-            sizes.add(top)
-        if choices:
-            path.append((top, choices))
-        else:
-            while path and not path[-1][1]:
+        elif waste <= (len(best) - 1) * capacity - total:
+            path.append([top, None, 0])
+            if len(path) > OPEN_FILLINGS:
+                path[-1 - OPEN_FILLINGS][1] = None
+        filling = next_filling() if len(path) > len(bins) else None
+        while filling is None and steps > 0:
+            steps -= 1
+            if len(path) > len(bins):
                 path.pop()
-                undo()
             if not path:
-                break
+                return best
             undo()
-        top, choices = path[-1]
-        filling = (top, *choices.pop(0))
-        for n in filling:
+            filling = next_filling()
+        if filling is None:
+            break
+        for n in (path[-1][0], *filling):
             sizes.take(n)
-        bins.append(list(filling))
-        waste += capacity - sum(filling)
+        bins.append([path[-1][0], *filling])
+        waste += capacity - sum(bins[-1])
     return best
 
 

@@ -130,6 +130,43 @@ def test_bin_completion_finds_the_fewest_bins():
     assert len(hard) == fewest_bins(lengths, 61)
 
 
+def test_bin_completion_of_many_pieces_a_bin():
+    rng = np.random.default_rng(5)
+    better = 0
+    for _ in range(60):  # cut from full bins, so the fewest are known
+        lengths = []
+        for k in rng.integers(6, 13, 4).tolist():
+            lengths += (14 + rng.multinomial(200 - 14 * k, np.ones(k) / k)).tolist()
+        bins = packing.bin_completion(lengths, 200)
+        assert sorted(n for b in bins for n in b) == sorted(lengths) and max(map(sum, bins)) <= 200
+        assert len(bins) == 4
+        better += len(packing.best_fit(lengths, 200)) > 4
+    assert better > 30  # best fit decreasing needs one more
+    lengths = [29, 25, 23, 21, 18, 17, 15, 14, 13, 12, 12, 11, 9, 8, 7, 6, 6, 5, 5, 4]
+    assert len(packing.bin_completion(lengths, 90)) == fewest_bins(lengths, 90)
+
+
+def test_every_filling_that_no_other_dominates_is_found():
+    rng = np.random.default_rng(6)
+    for _ in range(40):
+        lengths, room = rng.integers(3, 14, 9).tolist(), 40
+        ways = {tuple(sorted((lengths[i] for i in range(9) if k >> i & 1), reverse=True)) for k in range(512)}
+        ways = {w for w in ways if sum(w) <= room}
+
+        def beaten(w: tuple) -> bool:
+            outside = list(lengths)
+            for n in w:
+                outside.remove(n)
+            parts = [[w[i] for i in range(len(w)) if k >> i & 1] for k in range(1 << len(w))]
+            return any(
+                sum(p) <= n and sum(w) - sum(p) + n <= room and (len(p) != 1 or n > p[0]) for p in parts for n in outside
+            )
+
+        got = [f for f in packing.undominated_fillings(packing._Sizes(lengths), room) if f is not None]
+        assert len(got) == len(set(got)) and set(got) == {w for w in ways if not beaten(w)}
+        assert [sum(f) for f in got] == sorted((sum(f) for f in got), reverse=True)
+
+
 def test_empty_and_single_packings():
     assert packing.bin_completion([], 10) == []
     assert packing.bin_completion([10], 10) == [[10]]
