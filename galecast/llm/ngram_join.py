@@ -31,7 +31,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from galecast.llm.components import components
@@ -119,9 +119,9 @@ def prefix_length(n: int, similarity: int) -> int:
 
 # ---- 1: sets, and how common words are -----------------------------------------------
 
-SETS = "doc_id long, n_shingles long, node long, page int, slots binary, counts binary, some int"
+SETS = "doc_id long, n_shingles long, node long, text_hash long, page int, slots binary, counts binary, some int"
 _SETS_ARROW = pa.schema([
-    ("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("node", pa.int64()), ("page", pa.int32()), ("slots", pa.binary()), ("counts", pa.binary()), ("some", pa.int32())
+    ("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("node", pa.int64()), ("text_hash", pa.int64()), ("page", pa.int32()), ("slots", pa.binary()), ("counts", pa.binary()), ("some", pa.int32())
 ])
 
 
@@ -135,15 +135,15 @@ def _describe(n_words: int):
             sets = [s for s, _ in shingle_sets(data, off, n_words)]
             n_shingles = [len(s) for s in sets]
             node = [set_digest(s) if len(s) else None for s in sets]
-            empty = [pa.nulls(len(sets), f.type) for f in list(_SETS_ARROW)[3:]]
+            empty = [pa.nulls(len(sets), f.type) for f in list(_SETS_ARROW)[4:]]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(n_shingles, pa.int64()), pa.array(node, pa.int64()), *empty], schema=_SETS_ARROW
+                [batch.column("doc_id"), pa.array(n_shingles, pa.int64()), pa.array(node, pa.int64()), batch.column("text_hash"), *empty], schema=_SETS_ARROW
             )
         pages = [(i, np.flatnonzero(p), p) for i, p in enumerate(counts.reshape(-1, PAGE))]
         pages = [(i, at.astype(np.uint16).tobytes(), p[at].tobytes(), some) for i, at, p in pages if len(at)]
         if pages:
-            empty = [pa.nulls(len(pages), f.type) for f in list(_SETS_ARROW)[:3]]
-            yield pa.RecordBatch.from_arrays([*empty, *[pa.array(c, f.type) for c, f in zip(zip(*pages), list(_SETS_ARROW)[3:])]], schema=_SETS_ARROW)
+            empty = [pa.nulls(len(pages), f.type) for f in list(_SETS_ARROW)[:4]]
+            yield pa.RecordBatch.from_arrays([*empty, *[pa.array(c, f.type) for c, f in zip(zip(*pages), list(_SETS_ARROW)[4:])]], schema=_SETS_ARROW)
 
     return run
 
@@ -447,11 +447,22 @@ def similar_groups(docs: DataFrame, n_words: int = N_WORDS, similarity: int = SI
     Rows that repeat an id are nodes of their own; null ids are passed over
     where another id is reachable. An empty table gives no rows.
     """
+    return _hashed_groups(docs, n_words, similarity).drop("text_hash")
+
+
+def _text_hash(text: Column) -> Column:
+    """Tells rows that repeat an id from those with equal texts."""
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
+def _hashed_groups(docs: DataFrame, n_words: int, similarity: int) -> DataFrame:
+    """As ``similar_groups``, with the text_hash of every row."""
     spark = ready(docs.sparkSession)
     context = spark.sparkContext
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    described = written(texts.mapInArrow(_describe(n_words), SETS), "shingles")
-    rows = described.where("page is null").select("doc_id", "n_shingles", "node")
+    hashed = texts.withColumn("text_hash", _text_hash(F.col("text")))
+    described = written(hashed.mapInArrow(_describe(n_words), SETS), "shingles")
+    rows = described.where("page is null").select("doc_id", "n_shingles", "node", "text_hash")
     levels = context.broadcast(_levels(described))
 
     n_rows = rows.count()
@@ -480,12 +491,16 @@ def similar_groups(docs: DataFrame, n_words: int = N_WORDS, similarity: int = SI
     )
     ids = classed.groupBy("component").agg(F.min("least").alias("component_id"))
     node_ids = classed.join(ids, "component").select("node", "component_id")
-    found = rows.where("node is not null").join(node_ids, "node").select("doc_id", "n_shingles", "component_id")
-    alone = rows.where("node is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    found = rows.where("node is not null").join(node_ids, "node").select("doc_id", "n_shingles", "component_id", "text_hash")
+    alone = rows.where("node is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), "text_hash")
     return found.unionByName(alone)
 
 
 def one_of_each_group(docs: DataFrame, n_words: int = N_WORDS, similarity: int = SIMILARITY) -> DataFrame:
-    """The rows of ``docs`` that are the smallest id of their group, with all their columns; rows with null ids stay."""
-    dropped = similar_groups(docs, n_words, similarity).where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(dropped, F.col("doc_id") == F.col("_gone"), "left_anti")
+    """The rows of ``docs`` that are the smallest id of their group, with all their columns; rows with null ids stay.
+
+    Of rows that share an id, those whose text is in another group are judged by that group.
+    """
+    dropped = _hashed_groups(docs, n_words, similarity).where("doc_id <> component_id")
+    gone = dropped.select(F.col("doc_id").alias("_gone"), F.col("text_hash").alias("_gone_hash")).distinct()
+    return docs.join(gone, (F.col("doc_id") == F.col("_gone")) & (_text_hash(F.col("text")) == F.col("_gone_hash")), "left_anti")

@@ -98,6 +98,14 @@ def test_similar_groups_in_slices(spark, monkeypatch):
     assert kept == sorted({r[2] for r in got})
 
 
+def test_another_text_under_a_dropped_id_stays(spark):
+    base = " ".join(f"w{i}" for i in range(60))
+    rows = [(3, base), (5, base + " end"), (5, "quite another text under the same number"), (7, None), (None, base)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = [tuple(r) for r in ngram_join.one_of_each_group(docs).collect()]
+    assert sorted(kept, key=str) == sorted([rows[0], rows[2], rows[3], rows[4]], key=str)
+
+
 def test_components(spark):
     rng = random.Random(2)
     links = [(i, i + 1) for i in range(100, 160)] + [(rng.randrange(60), rng.randrange(60)) for _ in range(30)] + [(7, 7)]
