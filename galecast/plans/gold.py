@@ -42,22 +42,21 @@ def calendar_date(text: Column) -> Column:
     return F.regexp_replace(text, r"^(\d{4})(\d{2})(\d{2})$", "$1-$2-$3").try_cast("date")
 
 
-def daily(silver: DataFrame, region: str = "admin_names") -> DataFrame:
-    """Mean, maximum, count and time of the maximum per date and region.
-
-    First by hour, in fixed-width hash aggregation over all rows; then over the
-    at most one row per hour that is left. Of equal maxima the later time counts.
-    """
+def hourly(silver: DataFrame, region: str = "admin_names") -> DataFrame:
+    """Sum, counts and maximum per date, region and time, in fixed-width hash aggregation over all rows."""
     dated = silver.where(F.col(region).isNotNull()).select(
         calendar_date(F.col("fcstDate")).alias("date"), region, "fcstTime", "R_total"
     )
-    hourly = dated.groupBy("date", region, "fcstTime").agg(
+    return dated.groupBy("date", region, "fcstTime").agg(
         F.sum("R_total").alias("_sum"),
         F.count("R_total").alias("_known"),
         F.max("R_total").alias("_max"),
         F.count("*").alias("_rows"),
     )
-    return hourly.groupBy("date", region).agg(
+
+
+def daily_of_hours(hours: DataFrame, region: str = "admin_names") -> DataFrame:
+    return hours.groupBy("date", region).agg(
         F.try_divide(F.sum("_sum"), F.sum("_known")).alias("r_total_avg"),
         F.max("_max").alias("r_total_max"),
         F.sum("_rows").alias("obs_cnt"),
@@ -65,6 +64,15 @@ def daily(silver: DataFrame, region: str = "admin_names") -> DataFrame:
     )
 
 
+def daily(silver: DataFrame, region: str = "admin_names") -> DataFrame:
+    """Mean, maximum, count and time of the maximum per date and region.
+
+    First by hour, over all rows; then over the at most one row per hour that
+    is left. Of equal maxima the later time counts.
+    """
+    return daily_of_hours(hourly(silver, region), region)
+
+
 def export_latest(gold_latest: DataFrame) -> DataFrame:
     return gold_latest.select(*LATEST_EXPORT)
 

@@ -1,77 +1,56 @@
-"""Daily statistics kept up to date while scored rows arrive."""
+"""Daily statistics kept up to date while scored rows arrive.
+
+Every batch stores its hourly sums under its own number, and the days it
+touches are folded from the sums of all batches. So a row counts however late
+it comes, and a batch that is run again replaces what it stored before.
+"""
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from galecast.functions.clock import forecast_clock, on_axis
-from galecast.plans.gold import DAILY_EXPORT
+from galecast.plans.gold import DAILY_EXPORT, daily_of_hours, hourly
 from galecast.sources.tables import write_table
 
+HOURS = "date date, admin_names string, fcstTime string, _sum double, _known long, _max double, _rows long, batch long"
 
-def daily_stream(scored: DataFrame, delay: str = "2 days", region: str = "admin_names") -> DataFrame:
-    """As the batch table, per day of the wall clock; days close once ``delay`` has passed."""
-    clock = forecast_clock(F.col("fcstDate"), F.col("fcstTime"))
-    timed = (
-        scored.where(F.col(region).isNotNull())
-        .withColumn("_at", on_axis(clock))
-        .withWatermark("_at", delay)
-    )
-    grouped = timed.groupBy(F.window("_at", "1 day"), region).agg(
-        F.avg("R_total").alias("r_total_avg"),
-        F.max("R_total").alias("r_total_max"),
-        F.max(F.struct("R_total", "fcstTime"))["fcstTime"].alias("max_time"),
-        F.count("*").alias("obs_cnt"),
-    )
-    day = F.date_add(
-        F.lit("1970-01-01").cast("date"), F.floor(F.unix_seconds("window.start") / 86400).cast("int")
-    )
-    return grouped.select(
-        day.alias("date"), F.col(region).alias("admin_names"),
-        "r_total_avg", "r_total_max", "max_time", "obs_cnt",
-    )
 
+def hours_path(path: str) -> str:
+    """Where the hourly sums of the table at ``path`` are kept, by batch and date."""
+    return path.rstrip("/") + "_hours"
 
-def stored_days(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException as fault:
-        if fault.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
 
+def add_batch(batch: DataFrame, number: int, path: str, region: str = "admin_names") -> None:
+    """Store the hourly sums of ``batch`` and write the days it touches anew; other dates are not read.
 
-def upsert_days(batch: DataFrame, path: str) -> None:
-    """Replace the changed region rows of the touched dates; other dates are not read.
-
-    The same batch written twice gives the same table.
+    The same batch added twice gives the same table.
+    """
+    spark, hours = batch.sparkSession, hours_path(path)
+    sums = hourly(batch, region).withColumnRenamed(region, "admin_names").withColumn("batch", F.lit(number).cast("long"))
+    typed = sums.select(*[F.col(f.split()[0]).cast(f.split()[1]).alias(f.split()[0]) for f in HOURS.split(", ")])
+    write_table(typed, hours, ["batch", "date"])
+    stored = spark.read.schema(HOURS).parquet(hours)
+    dates = [r["date"] for r in stored.where(F.col("batch") == number).select("date").distinct().collect()]  # one row a day of the batch
+    if not dates:
+        return
+    known = [d for d in dates if d is not None]
+    touched = F.col("date").isin(known) if known else F.lit(False)
+    if None in dates:
+        touched = touched | F.col("date").isNull()
+    write_table(daily_of_hours(stored.where(touched), "admin_names").select(*DAILY_EXPORT), path, ["date"])
+
+
+def keep_daily(scored: DataFrame, path: str, checkpoint: str, region: str = "admin_names", once: bool = True) -> StreamingQuery:
+    """As the batch table, per day of the wall clock, whatever the order in which rows arrive.
+
+    A table without hourly sums has to be started anew from its source.
     """
-    spark = batch.sparkSession
-    keys = ["date", "admin_names"]
-    # Used three times below; without this each use would run the stream's aggregation again.
-    batch = batch.select(*DAILY_EXPORT).persist()
-    rows = batch
-    stored = stored_days(spark, path)
-    if stored is not None:
-        kept = stored.join(batch.select("date").distinct(), "date", "left_semi").join(
-            batch.select(*keys), keys, "left_anti"
-        )
-        rows = kept.select(*DAILY_EXPORT).unionByName(batch)
-    write_table(rows, path, ["date"])
-    batch.unpersist()
-
-
-def keep_daily(
-    scored: DataFrame, path: str, checkpoint: str, delay: str = "2 days", once: bool = True
-) -> StreamingQuery:
     writer = (
-        daily_stream(scored, delay)
-        .writeStream.outputMode("update")
+        scored.writeStream.outputMode("append")
         .option("checkpointLocation", checkpoint)
-        .foreachBatch(lambda batch, _: upsert_days(batch, path))
+        .foreachBatch(lambda batch, number: add_batch(batch, number, path, region))
     )
     if once:
         writer = writer.trigger(availableNow=True)

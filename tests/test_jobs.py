@@ -372,3 +372,21 @@ def test_daily_stream_equals_the_batch(spark, tmp_path):
     want = rows(gold.export_daily(gold.daily(silver_table(spark))))
     assert [g[:2] + g[3:] for g in got] == [w[:2] + w[3:] for w in want]
     assert [g[2] for g in got] == [None if w[2] is None else pytest.approx(w[2]) for w in want]
+
+
+def test_daily_stream_counts_rows_that_come_late(spark, tmp_path):
+    source, table = str(tmp_path / "in"), str(tmp_path / "daily")
+    schema = "admin_names string, fcstDate string, fcstTime string, R_total double"
+    batches = [
+        [("A", "20250801", "0300", 0.2), ("A", "20250810", "0000", 0.5)],
+        [("A", "20250801", "0400", 0.6), ("B", "20250731", "2300", None)],
+        [("B", "20250820", "0000", 0.1)],
+        [("A", "20250801", "0300", 0.4)],
+    ]
+    for batch in batches:
+        spark.createDataFrame(batch, schema).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(schema).parquet(source)
+        stream_daily.keep_daily(stream, table, str(tmp_path / "progress")).awaitTermination()
+    stream_daily.add_batch(spark.createDataFrame(batches[3], schema), 3, table)  # run again after a failure
+    everything = spark.createDataFrame([r for b in batches for r in b], schema)
+    assert rows(spark.read.parquet(table).select(*gold.DAILY_EXPORT)) == rows(gold.export_daily(gold.daily(everything)))
