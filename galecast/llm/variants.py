@@ -143,7 +143,8 @@ def near_words(words: DataFrame, slice_size: int = SLICE) -> DataFrame:
     low, high = F.least("slice", "other"), F.greatest("slice", "other")
     unit = F.when(F.col("slices") == 1, F.pmod("affix", F.lit(units))).otherwise(F.xxhash64("affix", low, high))
     work = work.select("word", "n", "affix", "suffix", "longer", "slice", low.alias("low"), high.alias("high"), unit.alias("unit"))
-    return work.groupBy("unit").applyInPandas(_unit_pairs, PAIRS)
+    # Dealt by number: the rows are small, the work on them is not.
+    return work.repartition(units, "unit").groupBy("unit").applyInPandas(_unit_pairs, PAIRS)
 
 
 def _roots(forms: DataFrame) -> DataFrame:
