@@ -3,7 +3,8 @@
 A tokenizer splits text before it merges, and never merges across white space.
 So a text's ids are those of its chunks, one after another, and a chunk that
 occurs again need not be merged again. ``tests/llm`` compares with encoding
-whole texts.
+whole texts. Special tokens of the file that a text spells out have their own
+ids, as when whole texts are encoded with the file as it is.
 """
 
 from __future__ import annotations
@@ -89,7 +90,7 @@ class ChunkEncoder:
 
     def __init__(self, path: str, spaces_matter: bool, remembered: int = 200_000):
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.specials = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.spaces_matter = spaces_matter
         self.remembered = remembered
         self.young: dict[bytes, bytes] = {}
@@ -116,12 +117,34 @@ class ChunkEncoder:
             self.old, self.young = young, {}
         return found
 
+    def _chunks(self, data: np.ndarray, off: np.ndarray, raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Spans to encode one by one, with their texts; a special token is a span, and texts are cut around it."""
+        chunks = spaced_chunks if self.spaces_matter else word_chunks
+        found = []
+        for special in self.specials:
+            at = raw.find(special)
+            while at >= 0:
+                text = int(np.searchsorted(off, at, "right")) - 1
+                if at + len(special) <= off[text + 1]:
+                    found.append((at, at + len(special)))
+                at = raw.find(special, at + len(special))
+        if not found:
+            return chunks(data, off)
+        begins, stops = np.array(sorted(found), np.int64).T
+        starts, ends, _ = chunks(data, np.unique(np.concatenate([off, begins, stops])))
+        before = np.searchsorted(begins, starts, "right") - 1
+        plain = (before < 0) | (starts >= stops[before])
+        starts, ends = np.concatenate([starts[plain], begins]), np.concatenate([ends[plain], stops])
+        order = np.argsort(starts)
+        return starts[order], ends[order], np.searchsorted(off, starts[order], "right") - 1
+
     def encode(self, data: np.ndarray, off: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts of a block, each with its end id, and n + 1 offsets into them."""
-        starts, ends, rows = (spaced_chunks if self.spaces_matter else word_chunks)(data, off)
+        raw = data.tobytes()
+        starts, ends, rows = self._chunks(data, off, raw)
         values = BYTE_VALUES if self.spaces_matter else LOWER_VALUES
         _, first, inverse = np.unique(span_hashes(data, starts, ends, values), return_index=True, return_inverse=True)
-        raw = data.tobytes() if self.spaces_matter else data.tobytes().lower()
+        raw = raw if self.spaces_matter else raw.lower()
         ids = self._known([raw[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist())])
         sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
         flat = np.frombuffer(b"".join(ids), "<u4")
