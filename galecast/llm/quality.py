@@ -1,7 +1,7 @@
 """Quality scores from a small convolutional network over bytes, in numpy.
 
 A text is cut into overlapping chunks that cover it whole. Filters of
-``WIDTH`` bytes slide over every chunk with ``STRIDE``; the largest response of
+``WIDTH`` bytes slide over every chunk byte by byte; the largest response of
 each filter in a chunk is its feature, the features are averaged over the
 chunks, and a logistic unit makes one probability of them. As the input is
 one byte of 256 at each place, a filter is a table of 256 numbers per place,
@@ -24,19 +24,19 @@ from galecast.llm.textblocks import text_blocks, text_buffers
 SAMPLE = 1600
 FILTERS = 16
 WIDTH = 6
-STRIDE = 2
 CHUNK = 256
 OVERLAP = 32
+CHUNKS_AT_ONCE = 1024
 EPOCHS = 14
 PREDICT_FROM = 0.3
 
 
-def windows(off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Window starts, first window of every chunk, and text of every chunk.
+def chunks_of(off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Begin, size and text of every chunk.
 
     Chunks of ``CHUNK`` bytes begin every ``CHUNK - OVERLAP`` bytes; the last
     one ends with the text, so with an overlap of more than a filter's width no
-    window is missed. A text shorter than a filter has one window, padded.
+    window is missed. An empty text has one chunk.
     """
     length = np.diff(off)
     step = CHUNK - OVERLAP
@@ -44,11 +44,14 @@ def windows(off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     text = np.repeat(np.arange(len(length)), chunks)
     number = np.arange(len(text)) - np.repeat(np.cumsum(chunks) - chunks, chunks)
     begin = off[:-1][text] + number * step
-    size = np.minimum(CHUNK, off[1:][text] - begin)
-    count = np.maximum(1, (size - WIDTH) // STRIDE + 1)
+    return begin, np.minimum(CHUNK, off[1:][text] - begin), text
+
+
+def windows(begin: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Window starts and the first window of every chunk: one at every byte. A text shorter than a filter has one, padded."""
+    count = np.maximum(1, size - WIDTH + 1)
     first = np.cumsum(count) - count
-    start = np.repeat(begin - STRIDE * first, count) + STRIDE * np.arange(count.sum())
-    return start, first, text
+    return np.repeat(begin - first, count) + np.arange(count.sum()), first
 
 
 @dataclass
@@ -73,8 +76,13 @@ class QualityNet:
 
     def features(self, data: np.ndarray, off: np.ndarray) -> np.ndarray:
         """Mean over chunks of max-pooled, rectified responses; (texts, filters)."""
-        start, first, text = windows(off)
-        pooled = np.maximum(self.chunk_maxima(data, start, first, _text_end(off, first, text, len(start))) + self.bias, 0)
+        begin, size, text = chunks_of(off)
+        pooled = np.empty((len(text), FILTERS), np.float32)
+        for i in range(0, len(text), CHUNKS_AT_ONCE):  # a long text takes the same work memory as many short ones
+            part = slice(i, i + CHUNKS_AT_ONCE)
+            start, first = windows(begin[part], size[part])
+            best = self.chunk_maxima(data, start, first, _text_end(off, first, text[part], len(start)))
+            pooled[part] = np.maximum(best + self.bias, 0)
         n = np.bincount(text, minlength=len(off) - 1)
         total = np.add.reduceat(pooled, np.cumsum(n) - n, axis=0)
         return total / n[:, None]
@@ -116,7 +124,8 @@ def fit(texts: list[str], labels: list[int], epochs: int = EPOCHS, seed: int = 7
         for i in range(0, len(order), batch):
             pick = order[i : i + batch]
             data, off = text_buffers(pa.array([texts[j] for j in pick], pa.string()))
-            start, first, text = windows(off)
+            begin, size, text = chunks_of(off)
+            start, first = windows(begin, size)
             stop = _text_end(off, first, text, len(start))
             padded = np.append(data, np.zeros(WIDTH, np.uint8))
             raw = net._responses(data, start, stop)

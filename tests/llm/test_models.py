@@ -62,7 +62,7 @@ def plain_features(net: quality.QualityNet, text: bytes) -> np.ndarray:
     pooled = []
     for c in chunks:
         best = np.full(quality.FILTERS, -np.inf)
-        for a in range(0, max(1, len(c) - quality.WIDTH + 1), quality.STRIDE):
+        for a in range(max(1, len(c) - quality.WIDTH + 1)):
             window = (c[a : a + quality.WIDTH] + bytes(quality.WIDTH))[: quality.WIDTH]
             best = np.maximum(best, sum(net.tables[k][window[k]] for k in range(quality.WIDTH)))
         pooled.append(np.maximum(best + net.bias, 0))
@@ -80,6 +80,17 @@ def test_convolution_matches_a_plain_one_and_covers_whole_texts():
         assert np.allclose(net.features(alone, bounds)[0], got[i], atol=1e-5)
 
 
+def test_every_byte_is_seen():
+    net = quality.fit(["aa bb cc", "!!## $$"], [1, 0], epochs=1)
+    net.tables[:, ord("#"), :] = 50
+    for n in (1, 5, 6, 7, 255, 256, 257, 470, 480, 481, 1001):
+        plain = net.score(*text_buffers(pa.array(["e" * n])))[0]
+        texts = ["e" * i + "#" + "e" * (n - i - 1) for i in range(n)]
+        found = net.features(*text_buffers(pa.array(texts)))
+        assert (found > net.features(*text_buffers(pa.array(["e" * n])))).any(axis=1).all(), n
+        assert not np.isnan(plain)
+
+
 def test_quality_of_held_out_rows(spark, no_docs):
     rng = random.Random(4)
     docs, labels = [], []
