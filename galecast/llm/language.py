@@ -36,25 +36,37 @@ UNSEEN = -4.0
 SLACK = 4.0  # three deviations of one 3-gram
 CLEAN_SHARE = 0.01
 BLOCK_TEXTS = 256
+BLOCK_BYTES = 1 << 19
 _N_CODES = 256 + (1 << 16) + (1 << 24)
 _fold = np.arange(256, dtype=np.uint8)
 _fold[ord("A") : ord("Z") + 1] += 32
 _letter = np.array([c if c >= 128 or chr(c).isalpha() else ord(" ") for c in range(256)], np.uint32)
 
 
+def _windows(data: np.ndarray, off: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+    """Bytes and text numbers of at most ``BLOCK_BYTES`` places and the two behind them, and the number of places.
+
+    A long text takes the same work memory as many short ones.
+    """
+    for start in range(0, len(data), BLOCK_BYTES):
+        stop = min(start + BLOCK_BYTES + 2, len(data))
+        row = np.repeat(np.arange(len(off) - 1, dtype=np.int32), np.diff(np.clip(off, start, stop)))
+        yield data[start:stop], row, min(BLOCK_BYTES, stop - start)
+
+
 def gram_codes(data: np.ndarray, off: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(text number, code) of all 1-, 2- and 3-grams of lower-cased bytes within texts, one n at a time."""
-    b = _fold[data].astype(np.uint32)
-    row = np.repeat(np.arange(len(off) - 1), np.diff(off))
-    yield row, b
-    if len(b) > 1:
-        two = (b[:-1] << 8) | b[1:]
-        inside = row[:-1] == row[1:]
-        yield row[:-1][inside], two[inside] + np.uint32(256)
-        if len(b) > 2:
-            three = (two[:-1] << 8) | b[2:]
-            inside = row[:-2] == row[2:]
-            yield row[:-2][inside], three[inside] + np.uint32(256 + (1 << 16))
+    for part, row, n in _windows(data, off):
+        b = _fold[part].astype(np.uint32)
+        yield row[:n], b[:n]
+        if len(b) > 1:
+            two = (b[:-1] << 8) | b[1:]
+            inside = (row[:-1] == row[1:])[:n]
+            yield row[: len(inside)][inside], two[:n][inside] + np.uint32(256)
+            if len(b) > 2:
+                three = (two[:-1] << 8) | b[2:]
+                inside = (row[:-2] == row[2:])[:n]
+                yield row[: len(inside)][inside], three[:n][inside] + np.uint32(256 + (1 << 16))
 
 
 @dataclass(frozen=True)
@@ -69,7 +81,7 @@ class LanguageModel:
 
     def column_of(self) -> np.ndarray:
         """Column + 1 of every n-gram code, 0 for the others; untouched pages take no memory."""
-        table = np.zeros(_N_CODES, np.int32)
+        table = np.zeros(_N_CODES, np.uint16 if len(self.grams) < 1 << 16 else np.uint32)
         table[self.grams] = np.arange(1, len(self.grams) + 1)
         return table
 
@@ -77,7 +89,7 @@ class LanguageModel:
         out = np.zeros((len(off) - 1, len(self.grams) + 1), np.float32)
         flat = out.reshape(-1)
         for row, code in gram_codes(data, off):
-            flat[row * out.shape[1] + column_of[code]] = 1
+            flat[row.astype(np.int64) * out.shape[1] + column_of[code]] = 1
         return out[:, 1:]
 
     def kernel(self, present: np.ndarray) -> np.ndarray:
@@ -123,16 +135,13 @@ def fit(texts: list[str], langs: list[str], landmarks_per_language: int = LANDMA
     return LanguageModel(languages, grams, landmarks, (root @ solved).astype(np.float32), (target_mean - mean @ solved).astype(np.float32))
 
 
-def letter_trigrams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(text number, code) of the 3-grams of lower-cased bytes within texts that end in a letter or a byte beyond ASCII; other bytes are blanks."""
-    data, off = text_buffers(pc.utf8_lower(texts))
-    if len(data) < 3:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint32)
-    b = _letter[data]
-    row = np.repeat(np.arange(len(off) - 1), np.diff(off))
-    code = (b[:-2] << 16) | (b[1:-1] << 8) | b[2:]
-    use = (row[:-2] == row[2:]) & (b[2:] != ord(" "))
-    return row[:-2][use], code[use]
+def letter_trigrams(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(text number, code) of the 3-grams of lower-cased bytes within texts that end in a letter or a byte beyond ASCII, in parts; other bytes are blanks."""
+    for part, row, n in _windows(*text_buffers(pc.utf8_lower(texts))):
+        b = _letter[part]
+        code = (b[:-2] << 16) | (b[1:-1] << 8) | b[2:]
+        use = (row[:-2] == row[2:]) & (b[2:] != ord(" "))
+        yield row[:-2][use], code[use]
 
 
 @dataclass(frozen=True)
@@ -145,15 +154,17 @@ class Fluency:
 
     def column_of(self) -> np.ndarray:
         """Row + 1 of every 3-gram, 0 for unseen ones, whose row is the last; untouched pages take no memory."""
-        table = np.zeros(1 << 24, np.int32)
+        table = np.zeros(1 << 24, np.uint16 if len(self.grams) < 1 << 16 else np.uint32)
         table[self.grams] = np.arange(1, len(self.grams) + 1)
         return table
 
     def values(self, texts: pa.Array, language: np.ndarray, column_of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Mean over the 3-grams of every text under its language, and their number; 0 and 0 where there are none."""
-        row, code = letter_trigrams(texts)
-        n = np.bincount(row, minlength=len(texts))
-        total = np.bincount(row, weights=self.logs[column_of[code] - 1, language[row]], minlength=len(texts))
+        n, total = np.zeros(len(texts), np.int64), np.zeros(len(texts))
+        for row, code in letter_trigrams(texts):
+            n += np.bincount(row, minlength=len(texts))
+            column = column_of[code].astype(np.int32) - 1
+            total += np.bincount(row, weights=self.logs[column, language[row]], minlength=len(texts))
         return total / np.maximum(n, 1), n
 
     def fluent(self, texts: pa.Array, language: np.ndarray, column_of: np.ndarray) -> np.ndarray:
@@ -172,8 +183,8 @@ def fit_fluency(languages: list[str], learned: list[tuple[str, str]], held_out:
     at = {x: k for k, x in enumerate(languages)}
     counted = []
     for x in languages:
-        _, code = letter_trigrams(pa.array([t for t, y in learned if y == x], pa.string()))
-        counted.append(np.unique(code, return_counts=True))
+        codes = [code for _, code in letter_trigrams(pa.array([t for t, y in learned if y == x], pa.string()))]
+        counted.append(np.unique(np.concatenate([np.zeros(0, np.uint32), *codes]), return_counts=True))
     grams = np.unique(np.concatenate([c for c, _ in counted])) if counted else np.zeros(0, np.uint32)
     logs = np.full((len(grams) + 1, len(languages)), UNSEEN, np.float32)
     for k, (code, n) in enumerate(counted):
@@ -237,23 +248,16 @@ def identify(docs: DataFrame, model: LanguageModel, fluency: Fluency | None = No
         model, fluency = held.value
         table = model.column_of()
         trigrams = fluency.column_of() if fluency else None
-        for batch in batches:
-            data, off = text_buffers(batch.column("_text"))
-            names, scores, fluent = [], [], []
-            for i in range(0, batch.num_rows, BLOCK_TEXTS):
-                part = off[i : i + BLOCK_TEXTS + 1]
-                values = model.decide(model.presences(data[part[0] : part[-1]], part - part[0], table))
-                best = values.argmax(axis=1)
-                names += [model.languages[k] for k in best]
-                if fluency:
-                    fluent.append(fluency.fluent(batch.column("_text").slice(i, BLOCK_TEXTS), best, trigrams))
-                scores.append(np.clip((values[np.arange(len(best)), best] + 1) / 2, 0, 1).astype(np.float64))
-            names, scores = np.array(names, object), np.concatenate(scores) if scores else np.zeros(0)
+        for batch, data, off in text_blocks(batches, "_text", BLOCK_BYTES, BLOCK_TEXTS):
+            values = model.decide(model.presences(data, off, table))
+            best = values.argmax(axis=1)
+            names = np.array([model.languages[k] for k in best], object)
+            scores = np.clip((values[np.arange(len(best)), best] + 1) / 2, 0, 1).astype(np.float64)
             lettered = batch.column("_letter").to_numpy(zero_copy_only=False)
             names[~lettered], scores[~lettered] = UNDETERMINED, 0.0
             arrays, added = [pa.array(names, pa.string()), pa.array(scores)], ["lang_pred", "score"]
             if fluency:
-                arrays.append(pa.array((np.concatenate(fluent) if fluent else np.zeros(0, bool)) & lettered))
+                arrays.append(pa.array(fluency.fluent(batch.column("_text"), best, trigrams) & lettered))
                 added.append("fluent")
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], *arrays], names=[*kept, *added])
 

@@ -35,6 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from galecast.llm.components import components
+from galecast.llm.exact_dedup import comparable, marked_pages, with_flag
 from galecast.llm.session import ready, written
 from galecast.llm.textblocks import LOWER_VALUES, mixed, span_hashes, text_blocks, words
 
@@ -447,7 +448,7 @@ def similar_groups(docs: DataFrame, n_words: int = N_WORDS, similarity: int = SI
     Rows that repeat an id are nodes of their own; null ids are passed over
     where another id is reachable. An empty table gives no rows.
     """
-    return _hashed_groups(docs, n_words, similarity).drop("text_hash")
+    return _hashed_groups(docs, n_words, similarity).drop("text_hash", "component")
 
 
 def _text_hash(text: Column) -> Column:
@@ -456,7 +457,7 @@ def _text_hash(text: Column) -> Column:
 
 
 def _hashed_groups(docs: DataFrame, n_words: int, similarity: int) -> DataFrame:
-    """As ``similar_groups``, with the text_hash of every row."""
+    """As ``similar_groups``, with the text_hash of every row and the component of its words, null without words."""
     spark = ready(docs.sparkSession)
     context = spark.sparkContext
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
@@ -471,6 +472,7 @@ def _hashed_groups(docs: DataFrame, n_words: int, similarity: int) -> DataFrame:
     shared = postings.groupBy("bucket").applyInPandas(_shared_postings(similarity, bits), POSTINGS)
     kept = shared.groupBy("bucket").applyInPandas(_kept_postings(bits), POSTINGS)
     clusters = written(components(kept.groupBy("bucket").applyInPandas(_neighbours(similarity), "a long, b long")), "clusters")
+    levels.destroy()  # workers that stay for later stages need not hold it
 
     wanted = context.broadcast(_node_map(clusters))
     sets = texts.select("text").mapInArrow(_wanted_sets(n_words, wanted), SET_ROWS)
@@ -489,18 +491,36 @@ def _hashed_groups(docs: DataFrame, n_words: int, similarity: int) -> DataFrame:
     classed = written(
         nodes.join(linked, "node", "left").select("node", F.coalesce("component", "node").alias("component"), "least"), "classes"
     )
+    wanted.destroy()
     ids = classed.groupBy("component").agg(F.min("least").alias("component_id"))
-    node_ids = classed.join(ids, "component").select("node", "component_id")
-    found = rows.where("node is not null").join(node_ids, "node").select("doc_id", "n_shingles", "component_id", "text_hash")
-    alone = rows.where("node is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), "text_hash")
+    node_ids = classed.join(ids, "component").select("node", "component_id", "component")
+    found = rows.where("node is not null").join(node_ids, "node").select("doc_id", "n_shingles", "component_id", "text_hash", "component")
+    alone = rows.where("node is null").select(
+        "doc_id", "n_shingles", F.col("doc_id").alias("component_id"), "text_hash", F.lit(None).cast("long").alias("component")
+    )
     return found.unionByName(alone)
 
 
 def one_of_each_group(docs: DataFrame, n_words: int = N_WORDS, similarity: int = SIMILARITY) -> DataFrame:
-    """The rows of ``docs`` that are the smallest id of their group, with all their columns; rows with null ids stay.
+    """The rows of ``docs`` that stay, with all their columns: exactly one of each group of linked or equal sets.
 
-    Of rows that share an id, those whose text is in another group are judged by that group.
+    It is the one with the smallest id; null ids come last, and of rows that
+    repeat the id one stays. Texts without words all stay. Rows that share an
+    id are judged by the group of their own text. Only texts that may have a
+    partner, told by a bitmap of 1 MB, are shuffled.
     """
-    dropped = _hashed_groups(docs, n_words, similarity).where("doc_id <> component_id")
-    gone = dropped.select(F.col("doc_id").alias("_gone"), F.col("text_hash").alias("_gone_hash")).distinct()
-    return docs.join(gone, (F.col("doc_id") == F.col("_gone")) & (_text_hash(F.col("text")) == F.col("_gone_hash")), "left_anti")
+    members = written(_hashed_groups(docs, n_words, similarity).where("component is not null").select("text_hash", "component"), "members")
+    shared = members.groupBy("component").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("component")
+    groups = written(members.join(shared, "component").select(F.col("text_hash").alias("_partner_hash"), F.col("component").alias("_group")).distinct(), "groups")
+
+    own = [f"_d{i}" for i in range(len(docs.columns))]  # own names: those of ``docs`` may clash
+    named = dict(zip(docs.columns, own))
+    rows = docs.toDF(*own).withColumn("_hash", _text_hash(F.col(named["text"])))
+    rows = with_flag(rows, marked_pages(groups.select(F.col("_partner_hash").alias("_hash")), ["_hash"]), ["_hash"], "_maybe")
+    placed = rows.where("_maybe").join(groups, F.col("_hash") == F.col("_partner_hash"), "left")
+    order = F.struct(F.col(named["doc_id"]).isNull(), F.col(named["doc_id"]), F.xxhash64(*[named[c] for c in comparable(docs)]))
+    kept = placed.where("_group is not null").groupBy("_group").agg(F.min_by(F.struct(*own), order).alias("_row")).select("_row.*")
+    return (
+        rows.where(~F.col("_maybe")).select(*own).unionByName(placed.where("_group is null").select(*own))
+        .unionByName(kept).toDF(*docs.columns)
+    )

@@ -5,7 +5,9 @@ from __future__ import annotations
 import os
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 import galecast
 
@@ -38,3 +40,16 @@ def ready(spark: SparkSession) -> SparkSession:
     if root not in known.split(os.pathsep):
         environment["PYTHONPATH"] = os.pathsep.join(x for x in (known, root) if x)
     return spark
+
+
+def with_row_keys(docs: DataFrame, name: str) -> DataFrame:
+    """``docs`` and a long column ``name`` that tells its rows apart, the same at every reading.
+
+    It is the place of the row in its file; rows that come from no file are
+    stored first.
+    """
+    place = F.xxhash64("_metadata.file_path", "_metadata.row_index").alias(name)
+    try:
+        return docs.select("*", place)
+    except AnalysisException:
+        return written(docs, "keyed").select("*", place)

@@ -44,15 +44,15 @@ def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def text_blocks(
-    batches: Iterable[pa.RecordBatch], text: str = "text", size: int = BLOCK_BYTES
+    batches: Iterable[pa.RecordBatch], text: str = "text", size: int = BLOCK_BYTES, rows: int = BLOCK_ROWS
 ) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
-    """Rows with their bytes and offsets, about ``size`` bytes at a time; a longer text is a block of its own."""
+    """Rows with their bytes and offsets, about ``size`` bytes and ``rows`` rows at a time; a longer text is a block of its own."""
     for batch in batches:
         data, off = text_buffers(batch.column(text))
         i, n = 0, batch.num_rows
         while i < n:
             j = int(np.searchsorted(off, off[i] + size, "right")) - 1
-            j = min(max(j, i + 1), i + BLOCK_ROWS, n)
+            j = min(max(j, i + 1), i + rows, n)
             yield batch.slice(i, j - i), data[off[i] : off[j]], off[i : j + 1] - off[i]
             i = j
 

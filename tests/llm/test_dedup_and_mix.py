@@ -26,7 +26,18 @@ def test_exact_duplicates(odd_docs, odd_rows):
     assert sorted(got, key=NULLS_LAST) == sorted(want, key=NULLS_LAST)
     kept = exact_dedup.drop_exact_duplicates(odd_docs)
     assert kept.columns == odd_docs.columns
-    assert sorted((r.doc_id for r in kept.collect()), key=lambda x: (x is None, x or 0)) == sorted((w[0] for w in want if w[3]), key=lambda x: (x is None, x or 0))
+    stayed = sorted(((r.doc_id, r.text or "") for r in kept.collect()), key=NULLS_LAST)
+    assert stayed == sorted(((max((i for i in ids if i is not None), default=None), t) for t, ids in groups.items()), key=NULLS_LAST)
+
+
+def test_one_row_of_repeated_rows_and_of_null_ids_stays(spark):
+    near = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, "same")] * 3 + [(None, "lost")] * 3 + [(4, near), (4, near), (4, near + " a"), (None, near + " b"), (None, None), (None, ""), (9, "other")]
+    docs = spark.createDataFrame([(*r, {"a": i}) for i, r in enumerate(rows)], "doc_id long, text string, extra map<string,int>").repartition(4)
+    exact = sorted(((r.doc_id, r.text or "") for r in exact_dedup.drop_exact_duplicates(docs).collect()), key=NULLS_LAST)
+    assert exact == sorted([(1, "same"), (None, "lost"), (4, near), (4, near + " a"), (None, near + " b"), (None, ""), (9, "other")], key=NULLS_LAST)
+    apart = sorted(((r.doc_id, (r.text or "")[:5]) for r in ngram_join.one_of_each_group(docs).collect()), key=NULLS_LAST)
+    assert apart == sorted([(1, "same"), (None, "lost"), (4, "w0 w1"), (None, ""), (None, ""), (9, "other")], key=NULLS_LAST)
 
 
 def test_texts_that_share_length_and_prefix_differ(spark):
@@ -103,7 +114,7 @@ def test_another_text_under_a_dropped_id_stays(spark):
     rows = [(3, base), (5, base + " end"), (5, "quite another text under the same number"), (7, None), (None, base)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     kept = [tuple(r) for r in ngram_join.one_of_each_group(docs).collect()]
-    assert sorted(kept, key=str) == sorted([rows[0], rows[2], rows[3], rows[4]], key=str)
+    assert sorted(kept, key=str) == sorted([rows[0], rows[2], rows[3]], key=str)  # the equal text without an id goes
 
 
 def test_components(spark):
@@ -153,4 +164,34 @@ def test_mix(odd_docs, odd_rows):
     assert sorted(map(str, rows)) == sorted(map(str, mixing.mix(odd_docs.repartition(7)).collect()))
     mixed = mixing.mixed_documents(odd_docs)
     assert mixed.columns == odd_docs.columns
-    assert 0 < mixed.count() <= 2 * len(odd_rows)
+    out: dict = {}
+    for r in mixed.collect():
+        key = (r.source, r.doc_id, r.text)
+        out[key] = out.get(key, 0) + 1
+    have: dict = {}
+    for r in odd_rows:
+        key = (r[3], r[0], r[1])
+        have[key] = have.get(key, 0) + 1
+    assert out and all(size(k[2]) > 0 and n <= 2 * have[k] for k, n in out.items())
+    for s in sizes:
+        words = sum(size(k[2]) * n for k, n in out.items() if k[0] == s)
+        assert targets[s] - 2 * largest[s] - 1 <= words <= targets[s] + largest[s] + 1
+    once = {(r.source, r.doc_id): r.taken // r.size for r in rows if r.size and r.doc_id is not None and have.get((r.source, r.doc_id, next(x[1] for x in odd_rows if x[0] == r.doc_id))) == 1}
+    assert once and all(sum(n for k, n in out.items() if k[:2] == key) == n for key, n in once.items())
+
+
+def test_mixing_one_id_three_thousand_times(spark):
+    rows = [(7, "a b c", "big")] * 3000 + [(i, "x y z", "small") for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    target = {r.source: r.target for r in mixing.mix(docs).collect()}
+    words: dict = {}
+    for r in mixing.mixed_documents(docs).collect():
+        words[r.source] = words.get(r.source, 0) + 3
+    assert target["big"] < 18_000 and all(abs(words[s] - target[s]) <= 6 for s in target)
+
+
+def test_no_whole_text_is_shuffled_to_mix(spark, tmp_path):
+    spark.range(50).selectExpr("id AS doc_id", "concat('word ', id) AS text", "'s' AS source").write.parquet(str(tmp_path / "d"))
+    plan = mixing.mixed_documents(spark.read.parquet(str(tmp_path / "d")))._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan or "BroadcastNestedLoopJoin" in plan
+    assert plan.count("Scan parquet") == 2

@@ -36,11 +36,13 @@ def test_stages_against_brute_force(spark, odd_docs, tmp_path):
     largest: dict = {}
     for r in spoken:
         largest[r.text] = max(largest.get(r.text, -1), -1 if r.doc_id is None else r.doc_id)
-    assert plain(unique) == plain([r for r in spoken if (-1 if r.doc_id is None else r.doc_id) == largest[r.text]])
+    assert Counter((-1 if r.doc_id is None else r.doc_id, r.text) for r in unique) == Counter((i, t) for t, i in largest.items())
+    assert not plain(unique) - plain(spoken)
 
     groups = brute_groups([(r.doc_id, r.text) for r in unique], 5, 80)
     wanted = Counter(g[0] for g in groups if g[0] is None or g[0] == g[2])
     assert Counter(r.doc_id for r in apart) == wanted
+    assert not plain(apart) - plain(unique)
 
     times = Counter(r.doc_id for r in mixed)
     taken: dict = {}
