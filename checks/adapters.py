@@ -147,6 +147,56 @@ FROM (
     FROM {{events}}
   ) a
 ) b""",
+    # Responses of all services as landed by three polls.
+    "fx_landed": f"""
+SELECT seq, service, dt, nx, ny, area, asked, kind, day, base_time, fcst_time, c1, v1, c2, v2, track_time, lat, lon, wind,
+  CASE kind WHEN 'not_json' THEN 'busy'
+    WHEN 'quota' THEN '<r><cmmMsgHeader><returnAuthMsg>LIMITED_NUMBER_OF_SERVICE_REQUESTS_EXCEEDS_ERROR</returnAuthMsg></cmmMsgHeader></r>'
+    WHEN 'xml' THEN '<response><header><resultCode>00</resultCode></header><body><items><item><h0>' || v1 || '</h0><h3>' || v2
+      || '</h3></item></items></body></response>'
+    ELSE replace(replace(CASE kind
+      WHEN 'no_data' THEN '«"response":«"header":«"resultCode":"03","resultMsg":"NO_DATA"»»»'
+      WHEN 'error' THEN '«"response":«"header":«"resultCode":"22","resultMsg":"LIMIT"»»»'
+      ELSE '«"response":«"header":«"resultCode":"00","resultMsg":"NORMAL_SERVICE"»,"body":«"items":«"item":' || items || '»»»»'
+      END, '«', '{{{{'), '»', '}}}}') END AS text
+FROM (
+  SELECT *, CASE service
+    WHEN 'uv' THEN '«"code":"A07","h0":"' || v1 || '","h3":"' || v2 || '"»'
+    WHEN 'typhoon' THEN '[«"typTm":"' || track_time || '","typLat":"' || CAST(lat AS string) || '","typLon":"' || CAST(lon AS string)
+      || '","typWs":"' || CAST(wind AS string) || '"»]'
+    ELSE '[«"baseDate":"' || day || '","baseTime":"' || base_time || '","category":"' || c1 || '","nx":' || CAST(nx AS string)
+      || ',"ny":' || CAST(ny AS string) || CASE WHEN service = 'ultra_nowcast' THEN ',"obsrValue":"' || v1
+        ELSE ',"fcstDate":"' || day || '","fcstTime":"' || fcst_time || '","fcstValue":"' || v1 END
+      || '"»,«"baseDate":"' || day || '","baseTime":"' || base_time || '","category":"' || c2
+      || CASE WHEN service = 'ultra_nowcast' THEN '","obsrValue":"' || v2
+        ELSE '","fcstDate":"' || day || '","fcstTime":"' || fcst_time || '","fcstValue":"' || v2 END || '"»]' END AS items
+  FROM (
+    SELECT *, CASE service WHEN 'ultra_nowcast' THEN lpad(CAST(16 - k % 6 AS string), 2, '0') || '00'
+        WHEN 'ultra_shortfcst' THEN lpad(CAST(16 - k % 6 AS string), 2, '0') || '30' ELSE '1400' END AS base_time,
+      lpad(CAST(14 + CAST(floor(seq / 7) AS int) % 9 AS string), 2, '0') || '00' AS fcst_time,
+      CASE WHEN service = 'uv' THEN CAST(seq % 11 AS string) WHEN c1 <> 'PCP' THEN CAST(seq % 50 AS string)
+        WHEN seq % 4 = 0 THEN '강수없음' WHEN seq % 4 = 1 THEN '1mm 미만' ELSE CAST(seq % 30 AS string) || '.5mm' END AS v1,
+      CASE WHEN service = 'uv' THEN CAST(seq % 7 AS string) ELSE CAST(1 + seq % 4 AS string) END AS v2,
+      day || lpad(CAST(CAST(floor(seq / 11) AS int) % 24 AS string), 2, '0') || '20' AS track_time,
+      20e0 + (seq % 200) * 5e-2 AS lat, 130e0 - (seq % 90) * 1e-1 AS lon, CAST(15 + seq % 30 AS double) AS wind,
+      CASE WHEN seq % 20 = 2 THEN CASE WHEN service = 'uv' THEN 'quota' ELSE 'not_json' END WHEN seq % 15 = 1 THEN 'no_data'
+        WHEN seq % 25 = 3 THEN 'error' WHEN service = 'uv' AND seq % 2 = 0 THEN 'xml' ELSE 'list' END AS kind,
+      CASE service WHEN 'uv' THEN CAST(20250800 + day_number + CAST(floor((16 - k % 60) / 24) AS int) AS string)
+        || lpad(CAST(((16 - k % 60) % 24 + 24) % 24 AS string), 2, '0') END AS asked
+    FROM (
+      SELECT event_id AS seq, CAST(40 + user_id % 20 AS int) AS nx, CAST(60 + CAST(floor(user_id / 20) AS int) % 3 AS int) AS ny,
+        lpad(CAST(1 + user_id % 200 AS string), 10, '0') AS area, CAST(floor(event_id / 15) AS int) AS k,
+        CAST(5 + (event_id % 3) * 10 AS int) AS day_number, CAST(20250805 + (event_id % 3) * 10 AS string) AS day,
+        CAST(20250805 + (event_id % 3) * 10 AS string) || '16' AS dt,
+        CASE CAST(floor(event_id / 3) AS int) % 5 WHEN 0 THEN 'ultra_nowcast' WHEN 1 THEN 'ultra_shortfcst' WHEN 2 THEN 'short_fcst'
+          WHEN 3 THEN 'typhoon' ELSE 'uv' END AS service,
+        CASE CAST(floor(event_id / 45) AS int) % 8 WHEN 0 THEN 'T1H' WHEN 1 THEN 'RN1' WHEN 2 THEN 'REH' WHEN 3 THEN 'WSD'
+          WHEN 4 THEN 'PTY' WHEN 5 THEN 'PCP' WHEN 6 THEN 'TMP' ELSE 'UUU' END AS c1,
+        CASE CAST(floor(event_id / 45) AS int) % 3 WHEN 0 THEN 'SKY' WHEN 1 THEN 'POP' ELSE 'VEC' END AS c2
+      FROM {{events}}
+    ) a
+  ) b
+) c""",
     # Amounts as text, in every dialect.
     "fx_amounts": f"""
 SELECT event_id, CASE event_id % 18

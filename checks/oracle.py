@@ -337,6 +337,34 @@ def uv_based(anchor: str) -> str:
 based AS (SELECT * FROM inside WHERE (admin_code, base_ts) IN (SELECT admin_code, max(base_ts) FROM inside GROUP BY admin_code))"""
 
 
+# Items of landed responses, and what each run asks for at its hour.
+LANDED_ITEMS = f"""asked AS (SELECT *, strptime(dt, '%Y%m%d%H') AS now FROM fx_landed WHERE kind IN ('list', 'xml')),
+items AS (
+  SELECT seq, 0 AS pos, service, dt, now, nx, ny, day AS baseDate, base_time AS baseTime, day AS fcstDate, fcst_time AS fcstTime, c1 AS category, v1 AS value FROM asked
+  UNION ALL SELECT seq, 1, service, dt, now, nx, ny, day, base_time, day, fcst_time, c2, v2 FROM asked),
+timed AS (SELECT *, {at('baseDate', 'baseTime')} AS base FROM items)"""
+
+
+def last_values(categories: Sequence[str]) -> str:
+    return ", ".join(f"arg_max(value, seq * 2 + pos) FILTER (WHERE category = '{c}') AS {c}" for c in categories)
+
+
+def newest_items(service: str, newest_base: str, categories: Sequence[str]) -> str:
+    listed = ", ".join(f"'{c}'" for c in categories)
+    return f"""tried AS (SELECT * FROM timed WHERE service = '{service}' AND base BETWEEN {newest_base} - INTERVAL 3 HOUR AND {newest_base}),
+kept AS (SELECT * FROM tried WHERE (dt, nx, ny, base) IN (SELECT (dt, nx, ny, max(base)) FROM tried GROUP BY dt, nx, ny) AND category IN ({listed}))"""
+
+
+ULTRA = ("T1H", "RN1", "SKY", "UUU", "VVV", "REH", "PTY", "LGT", "VEC", "WSD")
+ULTRA_ITEMS = newest_items("ultra_shortfcst", "date_trunc('hour', now - INTERVAL 45 MINUTE) + INTERVAL 30 MINUTE", ULTRA)
+RUN_HOURS = f"""run_hours AS (
+  SELECT dt, ts FROM (
+    SELECT dt, ts, row_number() OVER (PARTITION BY dt ORDER BY ts DESC) AS rk
+    FROM (SELECT DISTINCT dt, {at('fcstDate', 'fcstTime')} AS ts FROM kept)) WHERE rk <= 6)"""
+CALLS = """calls AS (SELECT * EXCLUDE (rk) FROM (
+  SELECT *, row_number() OVER (PARTITION BY nx, ny ORDER BY admin_code) AS rk FROM fx_regions) WHERE rk = 1)"""
+
+
 def text12(x: str) -> str:
     return f"strftime({x}, '%Y%m%d%H%M')"
 
@@ -515,6 +543,59 @@ def oracle_sql() -> dict[str, str]:
         FROM newest JOIN fx_regions USING (nx, ny)""",
         NEWEST_REGION,
     )
+    nowcast_columns = ("T1H", "RN1", "UUU", "VVV", "REH", "PTY", "VEC", "WSD")
+    landed = f"{cte('fx_landed', 'fx_regions')}, {LANDED_ITEMS}"
+    sql["bronze_nowcast"] = f"""{landed}, {newest_items('ultra_nowcast', "date_trunc('hour', now - INTERVAL 10 MINUTE)", nowcast_columns)}
+      SELECT dt, nx, ny, baseDate, baseTime, {last_values(nowcast_columns)} FROM kept GROUP BY dt, nx, ny, baseDate, baseTime"""
+    sql["bronze_ultra"] = f"""{landed}, {ULTRA_ITEMS}
+      SELECT dt, {KEYS}, baseDate, baseTime, {last_values(ULTRA)} FROM kept GROUP BY dt, {KEYS}, baseDate, baseTime"""
+    short_value = f"CASE WHEN category = 'PCP' THEN {mm_collector('value')} ELSE {number('value')} END"
+    short_means = {c: f"avg(v) FILTER (WHERE category = '{c}')" for c in ("PCP", "POP", "PTY", "REH", "SKY", "TMP", "WSD")}
+    sql["bronze_short_fcst"] = f"""{landed}, {CALLS}, shorts AS (
+        SELECT *, {short_value} AS v, {at('fcstDate', 'fcstTime')} AS t, date_trunc('day', now) + INTERVAL 14 HOUR AS issued FROM items
+        WHERE service = 'short_fcst' AND category IN ('POP', 'PCP', 'PTY', 'TMP', 'REH', 'WSD', 'SKY')),
+      hits AS (SELECT * FROM shorts WHERE t BETWEEN now AND now + INTERVAL 5 HOUR),
+      kept AS (SELECT * FROM hits UNION ALL SELECT * FROM shorts WHERE t BETWEEN issued + INTERVAL 1 HOUR AND issued + INTERVAL 6 HOUR
+        AND (dt, nx, ny) NOT IN (SELECT (dt, nx, ny) FROM hits)),
+      wide AS (SELECT dt, {KEYS}, CAST(epoch(any_value(t)) AS BIGINT) - 32400 AS valid_ts_kst,
+        {", ".join(f"{r6(short_means[c])} AS {c}" for c in ("PCP", "POP", "REH", "TMP", "WSD"))},
+        {", ".join(f"CAST(floor({short_means[c]}) AS INT) AS {c}" for c in ("PTY", "SKY"))}
+        FROM kept WHERE v IS NOT NULL GROUP BY dt, {KEYS})
+      SELECT CAST(c.admin_code AS BIGINT) AS admin_code, w.* FROM wide w LEFT JOIN calls c USING (nx, ny)"""
+    sql["bronze_uv"] = f"""{landed}, {CALLS}, {ULTRA_ITEMS}, {RUN_HOURS},
+      anchors AS (SELECT dt, min(ts) AS anchor FROM run_hours GROUP BY dt),
+      uv_values AS (SELECT dt, area AS admin_code, seq, strptime(asked, '%Y%m%d%H') AS base_ts, 0 AS "offset", CAST(v1 AS DOUBLE) AS value FROM asked WHERE service = 'uv'
+        UNION ALL SELECT dt, area, seq, strptime(asked, '%Y%m%d%H'), 3, CAST(v2 AS DOUBLE) FROM asked WHERE service = 'uv'),
+      uv_offsets AS (SELECT dt, admin_code, base_ts, "offset", arg_max(value, seq) AS value FROM uv_values
+        WHERE admin_code IN (SELECT admin_code FROM calls) GROUP BY ALL),
+      inside AS (SELECT o.* FROM uv_offsets o JOIN anchors USING (dt) WHERE base_ts BETWEEN anchor - INTERVAL 48 HOUR AND anchor),
+      based AS (SELECT * FROM inside WHERE (dt, admin_code, base_ts) IN (SELECT (dt, admin_code, max(base_ts)) FROM inside GROUP BY dt, admin_code)),
+      knots AS (SELECT dt || admin_code AS storm, base_ts + to_hours("offset") AS time, value FROM based),
+      wanted AS (SELECT DISTINCT dt || admin_code AS storm, ts AS time FROM based JOIN run_hours USING (dt)),
+      {interpolated('filled', 'wanted', 'knots', 'value')}
+      SELECT substring(storm, 1, 10) AS dt, nx, ny, strftime(time, '%Y%m%d') AS fcstDate, strftime(time, '%H%M') AS fcstTime,
+        CAST(greatest(CASE WHEN hour(time) BETWEEN 6 AND 20 THEN round_even(v, 0) ELSE 0 END, 0) AS INT) AS UVI
+      FROM filled JOIN calls ON calls.admin_code = substring(storm, 11)"""
+    sql["bronze_storm"] = f"""{landed}, {ULTRA_ITEMS}, {RUN_HOURS}, {GRID},
+      track AS (SELECT dt AS storm, seq, strptime(track_time, '%Y%m%d%H%M') AS time, lat, lon, wind FROM asked WHERE service = 'typhoon'),
+      {POINTS}, {HOURLY},
+      ends AS (SELECT dt AS storm, max(ts) AS e FROM run_hours GROUP BY dt),
+      targets AS (SELECT storm, unnest(generate_series(e - INTERVAL 5 HOUR, e, INTERVAL 1 HOUR)) AS time FROM ends),
+      {three('positions', 'targets', 'hourly')}
+      SELECT storm AS dt, nx, ny, strftime(time, '%Y%m%d') AS fcstDate, strftime(time, '%H%M') AS fcstTime,
+        {r6(d)} AS TY_DISTANCE_KM, {r6('CASE WHEN p.lat IS NOT NULL THEN p.wind END')} AS TY_MAX_WIND,
+        CASE WHEN p.lat IS NOT NULL THEN 0e0 END AS TY_WARNING
+      FROM grid g, positions p"""
+    status = "CASE WHEN kind IN ('list', 'xml') THEN 'good' ELSE kind END"
+    part = "CASE WHEN kind IN ('list', 'xml') THEN service WHEN kind = 'no_data' THEN 'no_data' ELSE 'quarantine' END"
+    per_item = "CASE WHEN kind NOT IN ('list', 'xml') THEN 0 WHEN service IN ('uv', 'typhoon') THEN 1 ELSE 2 END"
+    sql["bronze_counts"] = f"""{cte('fx_landed')} SELECT dt, {part} AS part, {status} AS status, count(*) AS responses,
+      sum({per_item})::BIGINT AS items FROM fx_landed GROUP BY ALL"""
+    sql["bronze_quarantine"] = f"""{cte('fx_landed')} SELECT seq, service, dt, kind AS status, text FROM fx_landed
+      WHERE kind NOT IN ('list', 'xml', 'no_data')"""
+    sql["bronze_to_gold"] = f"""{landed}, {ULTRA_ITEMS}, {LABELS},
+      rows AS (SELECT DISTINCT dt, {KEYS}, admin_names FROM kept JOIN labels USING (nx, ny) WHERE admin_names IS NOT NULL)
+      SELECT CAST(strptime(fcstDate, '%Y%m%d') AS DATE) AS date, count(DISTINCT admin_names) AS regions, count(*) AS rows FROM rows GROUP BY 1"""
     sql["stream_bronze_ingest"] = f"""{cte('fx_responses')}
       SELECT event_id, 0 AS pos, fcstDate, fcstTime, category, fcstValue, fcstDate || '05' AS dt FROM fx_responses WHERE kind IN ('single', 'list')
       UNION ALL SELECT event_id, 1, fcstDate, fcstTime, 'SKY', sky, fcstDate || '05' FROM fx_responses WHERE kind = 'list'"""

@@ -17,8 +17,9 @@ from galecast.operators.canonical import canonicalize
 from galecast.operators.coalesce import KEYS, coalesce_join
 from galecast.operators.keys import newest_per_key
 from galecast.operators.percentiles import RUN, join_scope, scope_percentiles
-from galecast.plans import alerts, features, gold, silver
+from galecast.plans import alerts, bronze, features, gold, silver
 from galecast.sources import responses
+from galecast.sources.schemas import FEEDS
 from galecast.sources.tables import land_feed, read_table, scan_run, shared_folder, write_table
 from galecast.streaming import daily as stream_daily
 from galecast.streaming import dedupe as stream_dedupe
@@ -491,6 +492,47 @@ def streamed(t: Tables, name: str, given: str) -> DataFrame:
     return t.spark.sql(TABLES[name], **{given: file_stream(t, given)})
 
 
+def collected(t: Tables, *feeds: str) -> str:
+    """Bronze root after the stream of landed responses has been taken in."""
+    root = shared_folder(t.spark, "collect")
+    landed = streamed(t, "fx_landed", "events").select(*bronze.ASKED, "text")
+    calls, grid = regions.unique_calls(t("fx_regions")), regions.unique_grid(t("fx_regions"))
+    bronze.collect(landed, root, f"{root}/progress", calls, grid, feeds).awaitTermination()
+    return root
+
+
+def bronze_feed(name: str, *measures: str) -> Callable[[Tables], DataFrame]:
+    """A feed as silver reads it, over all runs."""
+
+    def query(t: Tables) -> DataFrame:
+        root = collected(t, name)
+        rows = scan_run(t.spark, root, name, ["2025080516", "2025081516", "2025082516"])
+        if "valid_ts_kst" in rows.columns:
+            rows = rows.withColumn("valid_ts_kst", F.unix_seconds("valid_ts_kst"))
+        return rounded(rows, *measures)
+
+    return query
+
+
+def bronze_counts(t: Tables) -> DataFrame:
+    """Responses of every run by the part they are in."""
+    rows = bronze.read_landed(t.spark, collected(t))
+    return rows.groupBy("dt", "part", "status").agg(F.count_distinct("seq").alias("responses"), F.count("item").alias("items"))
+
+
+def bronze_quarantine(t: Tables) -> DataFrame:
+    return bronze.quarantined(t.spark, collected(t)).select("seq", "service", "dt", "status", "text")
+
+
+def bronze_to_gold(t: Tables) -> DataFrame:
+    """Daily statistics of landed responses: bronze, silver and gold one after the other."""
+    root = collected(t, *FEEDS)
+    for run in ("2025080516", "2025081516", "2025082516"):
+        silver.run_silver(t.spark, root, f"{root}/silver", t("fx_regions"), run)
+    gold.run_daily(t.spark, f"{root}/silver", f"{root}/gold")
+    return read_table(t.spark, f"{root}/gold").groupBy("date").agg(F.count("*").alias("regions"), F.sum("obs_cnt").alias("rows"))
+
+
 def stream_bronze_ingest(t: Tables) -> DataFrame:
     root = shared_folder(t.spark, "stream")
     responses_in = streamed(t, "fx_responses", "events").select("event_id", "text")
@@ -588,6 +630,14 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "run_summary": run_summary,
     "feed_summary": feed_summary,
     "geojson_features": geojson_features,
+    "bronze_nowcast": bronze_feed("ultra_nowcast"),
+    "bronze_ultra": bronze_feed("ultra_shortfcst"),
+    "bronze_short_fcst": bronze_feed("short_fcst", "PCP", "POP", "REH", "TMP", "WSD"),
+    "bronze_uv": bronze_feed("uv"),
+    "bronze_storm": bronze_feed("typhoon", "TY_DISTANCE_KM", "TY_MAX_WIND"),
+    "bronze_counts": bronze_counts,
+    "bronze_quarantine": bronze_quarantine,
+    "bronze_to_gold": bronze_to_gold,
     "stream_bronze_ingest": stream_bronze_ingest,
     "stream_dedupe_items": stream_dedupe_items,
     "stream_daily_stats": stream_daily_stats,

@@ -11,8 +11,9 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from galecast.functions.clock import now_clock, run_hour
-from galecast.plans import alerts, dimensions, features, gold, session, silver
-from galecast.sources.schemas import REGIONS
+from galecast.operators.regions import clean_calls
+from galecast.plans import alerts, bronze, dimensions, features, gold, session, silver
+from galecast.sources.schemas import GRID, REGIONS
 from galecast.sources.tables import read_dimension, read_table
 
 
@@ -27,6 +28,13 @@ def arguments() -> argparse.ArgumentParser:
     job.add_argument("--calls", required=True)
     job.add_argument("--grid", required=True)
 
+    job = jobs.add_parser("collect", help="landed responses of all services to bronze feeds, as far as they have arrived")
+    job.add_argument("--landed", required=True, help="folder of service=<s>/dt=<run>/... files")
+    job.add_argument("--bronze", required=True)
+    job.add_argument("--calls", required=True)
+    job.add_argument("--grid", help="without it the storm feed is empty")
+    job.add_argument("--progress", required=True, help="checkpoint folder of the stream")
+
     job = jobs.add_parser("silver", help="feeds of one run hour or several to scored rows")
     job.add_argument("--bronze", required=True)
     job.add_argument("--silver_out", required=True)
@@ -70,6 +78,11 @@ def main(argv: list[str] | None = None) -> None:
     fmt = a.table_format
     if a.job == "dimensions":
         dimensions.run_dimensions(read_dimension(spark, a.points, REGIONS), a.regions, a.calls, a.grid)
+    elif a.job == "collect":
+        calls = clean_calls(read_dimension(spark, a.calls))
+        grid = read_dimension(spark, a.grid, GRID) if a.grid else None
+        responses = bronze.landed_responses(spark, a.landed)
+        bronze.collect(responses, a.bronze, a.progress, calls, grid).awaitTermination()
     elif a.job == "silver":
         runs = a.run_dt or [current_run(spark)]
         silver.run_silver(

@@ -75,6 +75,24 @@ def keep_slots_or_fallback(
     return hits.unionByName(rest)
 
 
+def keep_hours_or_fallback(
+    items: DataFrame, start: Column, fallback: Column, horizon: int = HORIZON_HOURS, cell: Sequence[str] = CELL
+) -> DataFrame:
+    """As ``keep_slots_or_fallback``, for slots that follow from columns of the row: the ``horizon`` full hours from ``start``.
+
+    Any number of polls is served by one plan; ``cell`` then holds the poll.
+    """
+    at = forecast_clock(F.col("fcstDate"), time_text(F.col("fcstTime")))
+
+    def within(first: Column) -> Column:
+        return at.between(first, plus_hours(first, horizon - 1)) & (F.minute(at) == 0)
+
+    hits = items.where(within(start))
+    served = hits.select(*cell).distinct()
+    rest = items.where(within(fallback)).join(served, list(cell), "left_anti").select(*items.columns)
+    return hits.unionByName(rest)
+
+
 def forecast_hours(feed: DataFrame) -> DataFrame:
     """The distinct valid times of one feed, as ``ts``; unreadable ones drop out."""
     if set(SLOT) <= set(feed.columns):

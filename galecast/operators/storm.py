@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -88,14 +88,15 @@ def align_track(hourly: DataFrame, targets: DataFrame, series: Sequence[str] = (
     return interpolate(hourly, targets, series, TRACK_VALUES)
 
 
-def storm_feed(grid: DataFrame, positions: DataFrame) -> DataFrame:
+def storm_feed(grid: DataFrame, positions: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """One row per cell and hour: distance, wind and warning flag; null without a position.
 
     ``positions`` has one row per target hour (``time``), so its list is bounded
-    by the calendar (a year of hours is under 0.5 MB). It goes to the cells as
-    one value, and the cells are read once, without a shuffle.
+    by the calendar (a year of hours is under 0.5 MB), times the runs where
+    ``by`` names them. It goes to the cells as one value, and the cells are read
+    once, without a shuffle.
     """
-    listed = positions.agg(F.array_sort(F.collect_list(F.struct("time", *TRACK_VALUES)))).scalar()
+    listed = positions.agg(F.array_sort(F.collect_list(F.struct(*by, "time", *TRACK_VALUES)))).scalar()
     placed = grid.where(F.col("lat").isNotNull() & F.col("lon").isNotNull()).select(
         F.col("nx").cast("int").alias("nx"),
         F.col("ny").cast("int").alias("ny"),
@@ -106,7 +107,7 @@ def storm_feed(grid: DataFrame, positions: DataFrame) -> DataFrame:
     known = F.col("p.lat").isNotNull() & F.col("p.lon").isNotNull()
     distance = distance_km(F.col("_lat"), F.col("_lon"), F.col("p.lat"), F.col("p.lon"))
     return placed.select(
-        "nx", "ny",
+        *[F.col("p").getField(c).alias(c) for c in by], "nx", "ny",
         *[c.alias(n) for n, c in slot_columns(F.col("p.time")).items()],
         F.when(known, distance).alias("TY_DISTANCE_KM"),
         F.when(known, F.col("p.wind")).alias("TY_MAX_WIND"),
@@ -114,12 +115,25 @@ def storm_feed(grid: DataFrame, positions: DataFrame) -> DataFrame:
     )
 
 
+def empty_storm_feed(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([], STORM_SCHEMA)
+
+
+def storm_feed_of_runs(
+    grid: DataFrame, track: DataFrame, targets: DataFrame, run: str, order_by: Sequence[str] = ()
+) -> DataFrame:
+    """The storm feed of many runs in one plan; ``track`` and ``targets`` (``run``, ``ts``) carry their run."""
+    hourly = hourly_track(one_point_per_time(track, [run], order_by), [run])
+    positions = align_track(hourly, targets.select(run, F.col("ts").alias("time")).distinct(), [run])
+    return storm_feed(grid, positions, [run])
+
+
 def build_storm_feed(
     grid: DataFrame | None, track: DataFrame, targets: DataFrame, order_by: Sequence[str] = ()
 ) -> DataFrame:
     """Track points (all storms form one track) and target hours (``ts``) to the storm feed."""
     if grid is None:
-        return track.sparkSession.createDataFrame([], STORM_SCHEMA)
+        return empty_storm_feed(track.sparkSession)
     hourly = hourly_track(one_point_per_time(track, (), order_by))
     positions = align_track(hourly, targets.select(F.col("ts").alias("time")).distinct())
     return storm_feed(grid, positions)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,7 +19,7 @@ DAYLIGHT_HOURS = (6, 20)
 OFFSET_PATTERN = r"^[hH](\d{1,2})$"
 
 
-def offsets(items: DataFrame, order: str = "seq") -> DataFrame:
+def offsets(items: DataFrame, order: str = "seq", by: Sequence[str] = ()) -> DataFrame:
     """``item`` maps to one value per area, base and hour offset; the later item wins.
 
     Keys ``h0``, ``h3``, ... give the offsets. An item without any of them may
@@ -32,16 +34,16 @@ def offsets(items: DataFrame, order: str = "seq") -> DataFrame:
         single.isNotNull(),
         F.array(F.struct(F.lit("h0").alias("key"), single.cast("string").alias("value"))),
     )
-    entries = items.select("admin_code", "base_ts", order, hourly.alias("_hourly"), alone.alias("_alone"))
+    entries = items.select(*by, "admin_code", "base_ts", order, hourly.alias("_hourly"), alone.alias("_alone"))
     values = entries.select(
-        "admin_code", "base_ts", order,
+        *by, "admin_code", "base_ts", order,
         F.explode(F.when(F.size("_hourly") > 0, F.col("_hourly")).otherwise(F.col("_alone"))).alias("e"),
     ).select(
-        "admin_code", "base_ts", order,
+        *by, "admin_code", "base_ts", order,
         F.regexp_extract("e.key", OFFSET_PATTERN, 1).cast("int").alias("offset"),
         number_from_text(F.col("e.value")).alias("value"),
     )
-    return values.groupBy("admin_code", "base_ts", "offset").agg(
+    return values.groupBy(*by, "admin_code", "base_ts", "offset").agg(
         F.max_by("value", F.struct(order, "value")).alias("value")
     )
 
@@ -64,9 +66,33 @@ def hourly_index(based: DataFrame, targets: DataFrame) -> DataFrame:
     hours = targets.agg(F.array_sort(F.collect_set("ts"))).scalar()
     asked = based.select("admin_code").distinct().withColumn("time", F.explode(hours))
     filled = interpolate(knots, asked, ["admin_code"], ["UVI"])
-    day = F.hour("time").between(*DAYLIGHT_HOURS)
-    index = F.greatest(F.bround(F.when(day, F.col("UVI")).otherwise(0.0)), F.lit(0.0))
-    return filled.select("admin_code", "time", index.cast("int").alias("UVI"))
+    return filled.select("admin_code", "time", daylight_index(F.col("time"), F.col("UVI")).alias("UVI"))
+
+
+def daylight_index(time: Column, value: Column) -> Column:
+    """0 at night, else a whole number that is not negative."""
+    day = F.hour(time).between(*DAYLIGHT_HOURS)
+    return F.greatest(F.bround(F.when(day, value).otherwise(0.0)), F.lit(0.0)).cast("int")
+
+
+def uv_feed_of_runs(
+    items: DataFrame, calls: DataFrame, targets: DataFrame, run: str, order: str = "seq", back_hours: int = LOOKBACK_HOURS
+) -> DataFrame:
+    """The UV feed of many runs in one plan: every run has its own targets (``run``, ``ts``) and the anchor that follows from them."""
+    areas = calls.select("admin_code").distinct()
+    listed = targets.groupBy(run).agg(F.min("ts").alias("_anchor"), F.array_sort(F.collect_set("ts")).alias("_hours"))  # one horizon a run
+    values = offsets(items.join(areas, "admin_code", "left_semi"), order, [run]).join(listed, run)
+    based = asof(values, [run, "admin_code"], "base_ts", F.col("_anchor"), back_hours)
+    knots = based.select(
+        run, "admin_code", plus_hours(F.col("base_ts"), F.col("offset")).alias("time"), F.col("value").alias("UVI")
+    )
+    asked = based.select(run, "admin_code", "_hours").distinct().select(run, "admin_code", F.explode("_hours").alias("time"))
+    filled = interpolate(knots, asked, [run, "admin_code"], ["UVI"])
+    cells = calls.select("admin_code", "nx", "ny")
+    return filled.join(cells, "admin_code").select(
+        run, "nx", "ny", *[c.alias(n) for n, c in slot_columns(F.col("time")).items()],
+        daylight_index(F.col("time"), F.col("UVI")).alias("UVI"),
+    )
 
 
 def fan_out(index: DataFrame, calls: DataFrame) -> DataFrame:

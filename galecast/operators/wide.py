@@ -47,19 +47,22 @@ def pivot_last(
     )
 
 
-def short_forecast_wide(items: DataFrame, categories: Sequence[str] = SHORT_CATEGORIES) -> DataFrame:
+def short_forecast_wide(
+    items: DataFrame, categories: Sequence[str] = SHORT_CATEGORIES, by: Sequence[str] = ()
+) -> DataFrame:
     """Short-range items to wide rows: amounts read from text, code columns as whole numbers.
 
     Categories outside the standard list are ignored, whatever is asked for.
+    ``by`` names further key columns, such as the run.
     """
     wanted = [c for c in SHORT_CATEGORIES if c in categories]
     read = F.when(F.col("category") == "PCP", mm_collector(F.col("fcstValue"))).otherwise(
         number_from_text(F.col("fcstValue"))
     )
-    wide = pivot_mean(items.withColumn("value", read), KEYS, wanted, "value")
+    wide = pivot_mean(items.withColumn("value", read), [*KEYS, *by], wanted, "value")
     instant = zoned_instant(forecast_clock(F.col("fcstDate"), F.col("fcstTime")))
     return wide.select(
-        *KEYS,
+        *KEYS, *by,
         instant.alias("valid_ts_kst"),
         *[
             (F.floor(c).cast("int") if c in CODE_CATEGORIES else F.col(c)).alias(c)
@@ -77,16 +80,18 @@ def with_region_code(wide: DataFrame, calls: DataFrame) -> DataFrame:
     return coded.select("admin_code", *wide.columns)
 
 
-def unique_short_forecast(wide: DataFrame) -> DataFrame:
+def unique_short_forecast(wide: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """One row per region code, cell and hour."""
-    keys = [c for c in ("admin_code", *KEYS) if c in wide.columns]
+    keys = [*by, *[c for c in ("admin_code", *KEYS) if c in wide.columns]]
     return first_per_key(wide, keys)
 
 
-def latest_wide(items: DataFrame, categories: Sequence[str], order: str = "seq") -> DataFrame:
+def latest_wide(
+    items: DataFrame, categories: Sequence[str], order: str = "seq", by: Sequence[str] = ()
+) -> DataFrame:
     """Nowcast or ultra-short items to wide rows with the last reported value as text."""
     value = "obsrValue" if "obsrValue" in items.columns else "fcstValue"
-    keys = [c for c in (*BASE_KEYS, *KEYS) if c in items.columns]
+    keys = [*by, *[c for c in (*BASE_KEYS, *KEYS) if c in items.columns]]
     return pivot_last(items, keys, categories, value, order)
 
 

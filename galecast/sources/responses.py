@@ -125,3 +125,33 @@ def index_items(responses: DataFrame, text: str = "text", keep: tuple[str, ...]
     return parsed.select(
         *keep, status.alias("status"), F.posexplode_outer(items).alias("pos", "item")
     )
+
+
+def parse_items(responses: DataFrame, text: str = "text", keep: tuple[str, ...] = (), xml: Column | bool = False) -> DataFrame:
+    """All responses in one parse: ``keep``, status, pos and item (a map), one row per item.
+
+    Status is as in ``triage``, and ``quota`` where the service's limit was hit.
+    A response that is not good keeps one row without an item, which alone
+    carries its text. Where ``xml`` holds, a text that is no JSON may be XML.
+    """
+    parsed = responses.select(*keep, F.col(text), F.from_json(F.col(text), ENVELOPE)["response"].alias("_r"))
+    may_be_xml = F.lit(xml) if isinstance(xml, bool) else xml
+    parsed = parsed.withColumn("_x", F.when(F.col("_r").isNull() & may_be_xml, F.from_xml(F.col(text), XML_ENVELOPE)))
+    items = F.coalesce(
+        F.from_json(as_list(F.col("_r.body.items.item")), "array<map<string, string>>"), F.col("_x.body.items.item")
+    )
+    parsed = parsed.withColumn("_items", items)
+    code = F.coalesce("_r.header.resultCode", "_x.header.resultCode")
+    message = F.coalesce("_r.header.resultMsg", "_x.header.resultMsg", F.lit(""))
+    complaint = F.coalesce("_x.cmmMsgHeader.returnAuthMsg", "_x.cmmMsgHeader.returnReasonCode", F.lit(""))
+    no_data = F.contains(message, F.lit(NO_DATA)) | (F.coalesce(code, F.lit("")) == NO_DATA)
+    status = (
+        F.when(F.contains(complaint, F.lit(QUOTA)), "quota")
+        .when(code == GOOD_CODE, F.when(F.size("_items") > 0, "good").otherwise("unreadable"))
+        .when(no_data, "no_data")
+        .when(F.col("_r").isNull() & code.isNull(), "not_json")
+        .otherwise("error")
+    )
+    told = parsed.withColumn("status", status)
+    wanted = F.when(F.col("status") == "good", F.col("_items"))
+    return told.select(*keep, "status", F.when(F.col("status") != "good", F.col(text)).alias(text), F.posexplode_outer(wanted).alias("pos", "item"))

@@ -59,6 +59,8 @@ REGIONS = T.StructType(
     + _fields(T.StringType(), "SIG_CD")
 )
 
+GRID = T.StructType(_CELL + _fields(T.DoubleType(), "lat", "lon"))
+
 # Feed names, as they appear in paths.
 BASE_FEED = "ultra_shortfcst"
 FEEDS = {
