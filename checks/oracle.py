@@ -516,6 +516,7 @@ def oracle_sql() -> dict[str, str]:
         CAST(greatest(CASE WHEN hour(time) BETWEEN 6 AND 20 THEN round_even(v, 0) ELSE 0 END, 0) AS INT) AS UVI
       FROM filled JOIN fx_regions USING (admin_code)"""
     sql["silver_build"] = f"{silver_cte()} SELECT * REPLACE ({r6s(*SCORES)}) FROM silver"
+    sql["silver_build_bucketed"] = sql["silver_build"]
     sql["silver_backfill"] = backfill_sql()
     latest = f"admin_names, fcst_ts, dt, {r6s(*SCORES)}, risk_level"
     sql["gold_latest"] = gold_sql(f"SELECT {latest} FROM newest", NEWEST_REGION)

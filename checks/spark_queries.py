@@ -391,6 +391,13 @@ def silver_build(t: Tables) -> DataFrame:
     return rounded(silver_rows(t).drop("ingested_at"), *SCORES)
 
 
+def silver_build_bucketed(t: Tables) -> DataFrame:
+    buckets = int(t.spark.conf.get("spark.sql.shuffle.partitions"))
+    landed = silver.bucketed_feeds(feeds(t), buckets=buckets, order_by=["seq"])
+    rows = silver.build_silver(landed, t("fx_regions"), RUN_DT, order_by=["seq"], landed=True)
+    return rounded(rows.drop("ingested_at"), *SCORES)
+
+
 def silver_backfill(t: Tables) -> DataFrame:
     runs = {
         "ultra_shortfcst": t("fx_base_runs"), "short_fcst": t("fx_vil_runs"), "typhoon": t("fx_ty_runs"),
@@ -617,6 +624,7 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "uv_asof_base": uv_asof_base,
     "uv_hourly": uv_hourly,
     "silver_build": silver_build,
+    "silver_build_bucketed": silver_build_bucketed,
     "silver_backfill": silver_backfill,
     "silver_written": silver_written,
     "gold_written": gold_written,

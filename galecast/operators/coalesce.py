@@ -36,7 +36,8 @@ def _usable(feed: Feed, keys: Sequence[str]) -> bool:
 
 
 def merge_feeds(
-    base: DataFrame, feeds: Sequence[Feed], keys: Sequence[str] = KEYS, unique_base: bool = False
+    base: DataFrame, feeds: Sequence[Feed], keys: Sequence[str] = KEYS, unique_base: bool = False,
+    unique_feeds: bool = False,
 ) -> DataFrame:
     """Left-join the feeds on ``keys``, in order; the base value wins, then the first feed's.
 
@@ -44,6 +45,7 @@ def merge_feeds(
     the base has one row per key: every side is shuffled once, by the same keys,
     for all joins. A base that may repeat a key many times needs a second
     shuffle of the (smaller) feeds, so that Spark can split its full partitions.
+    With ``unique_feeds`` the feeds are known to have one row per key as well.
     """
     usable = [f for f in feeds if _usable(f, keys)]
     joined = base.select(*keys, *[F.col(c).alias(f"base.{c}") for c in base.columns if c not in keys])
@@ -52,7 +54,7 @@ def merge_feeds(
         fill = [c for c in feed.columns if c in feed.rows.columns and c not in keys]
         order = [c for c in feed.order_by if c in feed.rows.columns and c not in keys]
         wanted = list(dict.fromkeys([*keys, *order, *fill]))
-        right = newest_per_key(feed.rows.select(*wanted), keys, order)
+        right = feed.rows if unique_feeds else newest_per_key(feed.rows.select(*wanted), keys, order)
         right = right.select(*keys, *[F.col(c).alias(f"{i}.{c}") for c in fill])
         joined = joined.join(right if unique_base else splittable(right, keys), list(keys), "left")
         for c in fill:

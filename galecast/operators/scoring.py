@@ -8,7 +8,7 @@ estimated), and whether the run has any ``T1H`` at all.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from galecast.functions import scores as S
 from galecast.functions.numeric import as_number, pick_number, variants
 from galecast.functions.precip import mm_column, pick_mm
-from galecast.operators.percentiles import RUN, join_scope, scope_percentiles
+from galecast.operators.percentiles import RUN, join_scope, scope_statistics
 
 UV_COLUMNS = ("UVI", "UV_INDEX", "UV")
 STORM_COLUMNS = ("TY_DISTANCE_KM", "TY_MAX_WIND", "TY_WARNING")
@@ -28,8 +28,19 @@ def _nothing(df: DataFrame) -> Columns:
     return {}
 
 
-def _no_statistics(df: DataFrame, scope: Sequence[str]) -> DataFrame | None:
-    return None
+@dataclass(frozen=True)
+class Statistics:
+    """Numbers of the run: per name the values whose low and high percentile count, and what any row may show.
+
+    They come as ``_<name>_low`` and ``_<name>_high``, and as ``_<flag>`` (true or null).
+    """
+
+    percentiles: Columns = field(default_factory=dict)
+    flags: Columns = field(default_factory=dict)
+
+
+def _no_statistics(df: DataFrame) -> Statistics:
+    return Statistics()
 
 
 @dataclass(frozen=True)
@@ -38,18 +49,13 @@ class Hazard:
 
     ``inputs`` reads what the score needs from the table; it is worked out once
     per row, as columns of their own. ``score`` is made of those columns.
-    ``statistics`` gives the numbers of the run it needs, one row per scope.
+    ``statistics`` names the numbers of the run it needs; those of all hazards
+    are taken in one pass.
     """
 
     score: Callable[[Columns], Column]
     inputs: Callable[[DataFrame], Columns] = _nothing
-    statistics: Callable[[DataFrame, Sequence[str]], DataFrame | None] = _no_statistics
-
-
-def _percentile_range(df: DataFrame, value: Column, scope: Sequence[str], name: str) -> DataFrame:
-    return scope_percentiles(
-        df, value, scope, S.NORMALISE_PERCENTILES, (f"_{name}_low", f"_{name}_high")
-    )
+    statistics: Callable[[DataFrame], Statistics] = _no_statistics
 
 
 # ---- rain ------------------------------------------------------------------
@@ -87,11 +93,11 @@ def _heat_inputs(df: DataFrame) -> Columns:
     }
 
 
-def _heat_statistics(df: DataFrame, scope: Sequence[str]) -> DataFrame | None:
+def _heat_statistics(df: DataFrame) -> Statistics:
     """Whether the run has any T1H; TMP stands in only where it has none, or where there is no such column."""
     if not {"T1H", "TMP"} <= set(df.columns):
-        return None
-    return df.groupBy(*scope).agg((F.count(as_number(df, "T1H")) > 0).alias("_has_t1h"))
+        return Statistics()
+    return Statistics(flags={"has_t1h": as_number(df, "T1H").isNotNull()})
 
 
 # ---- wind ------------------------------------------------------------------
@@ -137,10 +143,10 @@ def _uv_score(c: Columns) -> Column:
     return S.uv_estimate_score(c["sky"], c["warmth"], c["daylight"], c["damping"])
 
 
-def _uv_statistics(df: DataFrame, scope: Sequence[str]) -> DataFrame | None:
+def _uv_statistics(df: DataFrame) -> Statistics:
     if uv_column(df):
-        return None
-    return _percentile_range(df, pick_number(df, ["T1H", "TMP"]), scope, "warm")
+        return Statistics()
+    return Statistics(percentiles={"warm": pick_number(df, ["T1H", "TMP"])})
 
 
 # ---- storm -----------------------------------------------------------------
@@ -168,10 +174,10 @@ def _storm_score(c: Columns) -> Column:
     return S.storm_score(c["distance"], c["strength"], c["warning"])
 
 
-def _storm_statistics(df: DataFrame, scope: Sequence[str]) -> DataFrame | None:
+def _storm_statistics(df: DataFrame) -> Statistics:
     if not _has_storm(df):
-        return None
-    return _percentile_range(df, as_number(df, "TY_MAX_WIND"), scope, "storm")
+        return Statistics()
+    return Statistics(percentiles={"storm": as_number(df, "TY_MAX_WIND")})
 
 
 HAZARDS: Mapping[str, Hazard] = {
@@ -191,11 +197,14 @@ def prepare(
     df: DataFrame, hazards: Mapping[str, Hazard], scope: Sequence[str] = RUN
 ) -> tuple[DataFrame, dict[str, Columns]]:
     """The table with the run's numbers and the inputs of every hazard, and where they are."""
-    ready = df
+    measures, flags = [], {}
     for hazard in hazards.values():
-        table = hazard.statistics(df, scope)
-        if table is not None:
-            ready = join_scope(ready, table, scope)
+        wanted = hazard.statistics(df)
+        measures += [(v, S.NORMALISE_PERCENTILES, (f"_{n}_low", f"_{n}_high")) for n, v in wanted.percentiles.items()]
+        flags |= {f"_{n}": c for n, c in wanted.flags.items()}
+    ready = df
+    if measures or flags:
+        ready = join_scope(df, scope_statistics(df, scope, measures, flags), scope)
     places: dict[str, Columns] = {}
     added: dict[str, Column] = {}
     for name, hazard in hazards.items():

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 from collections.abc import Sequence
 
@@ -23,6 +24,16 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """The rows of ``df`` as a table of their own: worked out once, whatever reads them, and kept when executors are lost.
+
+    It stays in the shared folder until that is cleaned.
+    """
+    path = shared_folder(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def scan_run(
     spark: SparkSession,
     root: str,
@@ -136,3 +147,17 @@ def land_feeds(feeds: dict[str, DataFrame | None], root: str, run_dt: str) -> li
     for name in landed:
         land_feed(feeds[name], root, name, run_dt)
     return landed
+
+
+def bucketed(df: DataFrame, keys: Sequence[str], buckets: int, purpose: str) -> DataFrame:
+    """The rows of ``df`` as a table in ``buckets`` by ``keys``, sorted within them.
+
+    Tables in as many buckets by the same keys are joined and aggregated by
+    them without a shuffle, as often as they are read.
+    """
+    spark = df.sparkSession
+    path = shared_folder(spark, purpose)
+    name = os.path.basename(path).replace("-", "_")
+    rows = df.repartition(buckets, *keys)  # a bucket is one file
+    rows.write.bucketBy(buckets, *keys).sortBy(*keys).option("path", path).saveAsTable(name)
+    return spark.table(name)

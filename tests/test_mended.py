@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from galecast.functions.scores import percentile_scale
 from galecast.operators import regions, scoring
 from galecast.operators.canonical import canonicalize
-from galecast.operators.percentiles import sliced_values
+from galecast.operators.percentiles import value_ranges
 from galecast.sources import responses, tables
 from galecast.streaming import dedupe, ingest
 
@@ -26,11 +26,14 @@ def test_infinite_values_score_as_missing(spark):
     assert [r.s is None for r in scaled.collect()] == [True, True, True, False]
 
 
-def test_an_outlier_does_not_fill_one_slice(spark):
-    counted = spark.range(20_000).select(F.lit("r").alias("dt"), (F.col("id") * 0.003).alias("_v"), F.lit(1).alias("_n"))
-    counted = counted.unionByName(spark.createDataFrame([("r", 1e9, 1)], "dt string, _v double, _n int"))
-    slices = [r["count"] for r in sliced_values(counted, ["dt"]).groupBy("_slice").count().collect()]
-    assert sum(slices) == 20_001 and max(slices) < 400
+def test_an_outlier_does_not_fill_one_interval(spark):
+    counted = spark.range(20_000).select(F.lit("r").alias("dt"), F.lit(0).alias("_m"), (F.col("id") * 0.003).alias("_v"), F.lit(1).alias("_n"))
+    counted = counted.unionByName(spark.createDataFrame([("r", 0, 1e9, 7)], "dt string, _m int, _v double, _n int"))
+    rows = value_ranges(counted, ["dt"], 64).orderBy("_low").collect()
+    assert sum(r["_values"] for r in rows) == 20_001 and max(r["_values"] for r in rows) < 1500
+    assert {r["_size"] for r in rows} == {20_007}
+    assert [r["_before"] for r in rows] == [sum(x["_count"] for x in rows[:i]) for i in range(len(rows))]
+    assert all(a["_high"] < b["_low"] for a, b in zip(rows, rows[1:]))
 
 
 def test_temperature_stands_in_where_there_is_no_t1h_column(spark):

@@ -10,7 +10,8 @@ from galecast.operators.coalesce import Feed, coalesce_join, merge_feeds
 from galecast.operators.keys import newest_per_key
 from galecast.operators.percentiles import scope_percentiles
 from galecast.operators.regions import attach_regions
-from galecast.plans import gold
+from galecast.operators import scoring
+from galecast.plans import gold, silver
 
 
 @contextlib.contextmanager
@@ -114,6 +115,50 @@ def test_daily_reads_only_what_it_needs(spark, tmp_path):
 
 def test_percentiles_count_each_value_once(spark):
     df = spark.range(1000).select(F.lit("r").alias("dt"), (F.col("id") % 7).cast("double").alias("v"))
-    plan = final_plan(scope_percentiles(df, F.col("v"), ["dt"], (0.05, 0.95), ("a", "b")))
-    assert "percentile(" not in plan.lower()  # the exact one; edges come from the sketch
-    assert plan.count("Range (") == 1
+    with settings(spark, **NO_BROADCAST):
+        plan = final_plan(scope_percentiles(df, F.col("v"), ["dt"], (0.05, 0.95), ("a", "b")))
+    assert "percentile" not in plan.lower()
+    assert plan.count("rangepartitioning") == 1
+    # The count, by its hash; the intervals; the values in which a rank lies.
+    assert plan.count("ReusedExchange") == 1 and plan.count("Range (") == 1
+
+
+def test_statistics_of_all_hazards_share_a_count(spark):
+    df = spark.range(1000).select(
+        F.lit("r").alias("dt"), (F.col("id") % 7).cast("double").alias("T1H"), F.lit(1.0).alias("TMP"),
+        (F.col("id") % 11).cast("double").alias("TY_MAX_WIND"), F.lit("0300").alias("fcstTime"),
+    )
+    plan = scoring.score_all(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert len([x for x in plan.splitlines() if "Generate explode" in x]) == 2  # one count, read by ranges and by values
+
+
+def test_bucketed_feeds_are_merged_without_a_shuffle(spark):
+    lower = right_feed(spark).withColumn("baseDate", F.lit("20250801"))
+    feeds = {
+        "ultra_shortfcst": hot(spark), "short_fcst": lower.withColumn("POP", F.lit(1.0)),
+        "typhoon": lower.withColumn("TY_MAX_WIND", F.lit(2.0)), "uv": lower.withColumn("UVI", F.lit(3.0)), "ultra_nowcast": None,
+    }
+    with settings(spark, **NO_BROADCAST):
+        landed = silver.bucketed_feeds(feeds, buckets=4)
+        merged = silver.merge(landed, landed=True)
+        plan = final_plan(merged)
+        assert merged.count() == 500
+    assert plan.count("Exchange hashpartitioning") == 0 and plan.count("SortMergeJoin") == 3
+    assert plan.count("Bucketed: true") == plan.count("FileScan") == 4
+    assert sorted(map(str, merged.collect())) == sorted(map(str, silver.merge(feeds).collect()))
+
+
+def test_silver_reads_every_feed_once(spark, tmp_path, monkeypatch):
+    feeds = {}
+    for name, rows in {"ultra_shortfcst": hot(spark), "short_fcst": right_feed(spark), "typhoon": right_feed(spark).withColumn("TY_MAX_WIND", F.col("WSD")).drop("WSD"), "uv": right_feed(spark).withColumn("UVI", F.lit(3)).drop("WSD")}.items():
+        rows.write.parquet(str(tmp_path / name))
+        feeds[name] = spark.read.parquet(str(tmp_path / name))
+    plans = []
+    kept = silver.stored
+    monkeypatch.setattr(silver, "stored", lambda df, purpose: plans.append(final_plan(df)) or kept(df, purpose))
+    with settings(spark, **NO_BROADCAST):
+        rows = silver.build_silver(feeds, None, "2025080103")
+        final = final_plan(rows)
+    assert len(plans) == 1 and plans[0].count("FileScan") == 4 and plans[0].count("Exchange hashpartitioning") == 4
+    assert all(name not in final for name in ("ultra_shortfcst", "short_fcst", "/uv"))
+    assert "/merged-" in final  # the stored rows, for the numbers of the run and for the scores
