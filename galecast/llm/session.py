@@ -32,8 +32,15 @@ def written(df: DataFrame, name: str, **options: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+ARROW_BYTES = 8 << 20
+
+
 def ready(spark: SparkSession) -> SparkSession:
-    """Lets Python workers import this package from where the driver has it."""
+    """Lets Python workers import this package from where the driver has it, and bounds the bytes of a batch they get.
+
+    Texts may be long: batches bounded by rows alone take much memory on both sides.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES)
     root = os.path.dirname(os.path.dirname(os.path.abspath(galecast.__file__)))
     environment = spark.sparkContext.environment
     known = environment.get("PYTHONPATH", "")
