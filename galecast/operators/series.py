@@ -13,10 +13,11 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from galecast.functions.clock import epoch_seconds, hour_steps
+from galecast.functions.clock import epoch_seconds, hour_steps, plus_hours
+from galecast.operators.percentiles import join_scope
 
 CLAMP = "clamp"
 INSIDE = "inside"
@@ -29,13 +30,14 @@ def interpolate(
     values: Sequence[str],
     time: str = "time",
     edges: str = CLAMP,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """``targets`` (series and time) with the values of ``points``, linear in time.
 
     Before the first and after the last point of a value the nearest one holds
     (``clamp``) or the result is null (``inside``). A series without points is
     null. Points must be unique per series and time. Rows without a series or a
-    time drop out.
+    time drop out. ``carry`` names further columns of the targets to keep.
     """
     if edges not in (CLAMP, INSIDE):
         raise ValueError(f"edges must be {CLAMP!r} or {INSIDE!r}")
@@ -46,8 +48,9 @@ def interpolate(
     ]
     no_knot = [F.lit(None).cast("struct<t:timestamp_ntz,v:double>").alias(v) for v in values]
     asked = F.col("_asked")
-    both = points.select(*series, time, F.lit(False).alias("_asked"), *knot).unionByName(
-        targets.select(*series, time, F.lit(True).alias("_asked"), *no_knot)
+    nothing = [F.lit(None).cast(targets.schema[c].dataType).alias(c) for c in carry]
+    both = points.select(*series, time, F.lit(False).alias("_asked"), *knot, *nothing).unionByName(
+        targets.select(*series, time, F.lit(True).alias("_asked"), *no_knot, *carry)
     ).withColumn("_day", F.col(time).cast("date"))
     # Said here, these filters are the same for both uses of the table, which can
     # then share one shuffle; otherwise Spark adds them on one side only.
@@ -61,7 +64,7 @@ def interpolate(
         Window.partitionBy(*series, "_day").orderBy(F.desc(time), F.desc("_asked")).rowsBetween(*running)
     )
     near = both.select(
-        *series, time, "_day", "_asked",
+        *series, time, "_day", "_asked", *carry,
         *[F.last(v, ignorenulls=True).over(back).alias(f"_p_{v}") for v in values],
         *[F.last(v, ignorenulls=True).over(ahead).alias(f"_n_{v}") for v in values],
     ).where(asked)
@@ -81,7 +84,7 @@ def interpolate(
 
     # Every day is in both.
     placed = near.join(days, [*series, "_day"]).select(
-        *series, time,
+        *series, time, *carry,
         *[F.coalesce(f"_p_{v}", f"_b_{v}").alias(f"_p_{v}") for v in values],
         *[F.coalesce(f"_n_{v}", f"_a_{v}").alias(f"_n_{v}") for v in values],
     )
@@ -96,7 +99,7 @@ def interpolate(
             return F.when(exact | n.isNull(), p["v"]).when(p.isNull(), n["v"]).otherwise(line)
         return F.when(exact, p["v"]).when(p.isNotNull() & n.isNotNull(), line)
 
-    return placed.select(*series, time, *[between(v).alias(v) for v in values])
+    return placed.select(*series, time, *carry, *[between(v).alias(v) for v in values])
 
 
 def resample_hourly(
@@ -109,3 +112,49 @@ def resample_hourly(
     span = points.groupBy(*series).agg(F.min(time).alias("_start"), F.max(time).alias("_end"))
     hours = span.select(*series, F.explode(hour_steps(F.col("_start"), F.col("_end"))).alias(time))
     return interpolate(points, hours, series, values, time, edges=INSIDE)
+
+
+def interpolate_on_hours(
+    points: DataFrame, targets: DataFrame, series: Sequence[str], values: Sequence[str], time: str = "time"
+) -> DataFrame:
+    """``targets`` with the values they have when each series is resampled hourly first, ends held.
+
+    The same as ``interpolate(resample_hourly(points), targets)`` without the
+    hours between: a target lies between two steps of its series, counted from
+    the first point, and only these two are looked up. Steps at which a value is
+    not known are passed over towards the nearest that has it. Targets must be
+    unique per series and time.
+    """
+    series, values = list(series), list(values)
+    known = {v: F.when(F.col(v).isNotNull(), F.col(time)) for v in values}
+    span = points.groupBy(*series).agg(
+        F.min(time).alias("_start"), *[f(c).alias(f"_{n}_{v}") for v, c in known.items() for n, f in (("a", F.min), ("z", F.max))]
+    )
+    hour = 3_600_000_000
+
+    def steps(at: str) -> Column:
+        return F.timestamp_diff("MICROSECOND", F.col("_start"), F.col(at)) / hour
+
+    spanned = join_scope(targets.select(*series, time), span, series)
+    bounds = [steps(time).alias("x"), F.col(time).alias("at")]
+    for v in values:
+        first, last = F.ceil(steps(f"_a_{v}")), F.floor(steps(f"_z_{v}"))
+        below = F.least(F.greatest(F.floor(steps(time)), first), last)
+        there = first <= last
+        bounds += [F.when(there, below).alias(f"lo_{v}"), F.when(there, F.greatest(F.least(below + 1, last), first)).alias(f"hi_{v}")]
+    placed = spanned.select(*series, "_start", F.struct(*bounds).alias("_b"))
+    wanted = F.array_distinct(F.array_compact(F.array(*[F.col(f"_b.{s}_{v}") for v in values for s in ("lo", "hi")])))
+    asked = placed.withColumn("_k", F.explode(F.when(F.size(wanted) > 0, wanted).otherwise(F.array(F.lit(0).cast("long")))))
+    step = plus_hours(F.col("_start"), F.col("_k").cast("int"))
+    asked = asked.select(*series, F.coalesce(step, F.col("_b.at")).alias(time), "_b", "_k")
+    found = interpolate(points, asked, series, values, time, INSIDE, ["_b", "_k"])
+    ends = found.groupBy(*series, "_b").agg(
+        *[F.max(F.when(F.col("_k") == F.col(f"_b.{s}_{v}"), F.col(v))).alias(f"{s}_{v}") for v in values for s in ("lo", "hi")]
+    )
+
+    def between(v: str) -> Column:
+        low, high, share = F.col(f"lo_{v}"), F.col(f"hi_{v}"), F.col("_b.x") - F.col(f"_b.lo_{v}")
+        inside = (share > 0) & (F.col(f"_b.hi_{v}") > F.col(f"_b.lo_{v}"))
+        return F.when(inside, low + (high - low) * share).otherwise(low)
+
+    return ends.select(*series, F.col("_b.at").alias(time), *[between(v).alias(v) for v in values])

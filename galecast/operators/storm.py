@@ -12,7 +12,7 @@ from galecast.functions.clock import YEAR_RANGE, any_clock
 from galecast.functions.geo import distance_km
 from galecast.functions.numeric import as_number
 from galecast.operators.keys import newest_per_key
-from galecast.operators.series import interpolate, resample_hourly
+from galecast.operators.series import interpolate, interpolate_on_hours, resample_hourly
 from galecast.operators.slots import slot_columns
 
 # Names under which the parts of a track may come.
@@ -88,6 +88,11 @@ def align_track(hourly: DataFrame, targets: DataFrame, series: Sequence[str] = (
     return interpolate(hourly, targets, series, TRACK_VALUES)
 
 
+def positions_at(points: DataFrame, targets: DataFrame, series: Sequence[str] = ()) -> DataFrame:
+    """``align_track(hourly_track(points), targets)``, looking up only the hours next to the targets."""
+    return interpolate_on_hours(points, targets, series, TRACK_VALUES)
+
+
 def storm_feed(grid: DataFrame, positions: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """One row per cell and hour: distance, wind and warning flag; null without a position.
 
@@ -123,8 +128,8 @@ def storm_feed_of_runs(
     grid: DataFrame, track: DataFrame, targets: DataFrame, run: str, order_by: Sequence[str] = ()
 ) -> DataFrame:
     """The storm feed of many runs in one plan; ``track`` and ``targets`` (``run``, ``ts``) carry their run."""
-    hourly = hourly_track(one_point_per_time(track, [run], order_by), [run])
-    positions = align_track(hourly, targets.select(run, F.col("ts").alias("time")).distinct(), [run])
+    points = one_point_per_time(track, [run], order_by)
+    positions = positions_at(points, targets.select(run, F.col("ts").alias("time")).distinct(), [run])
     return storm_feed(grid, positions, [run])
 
 
@@ -134,6 +139,5 @@ def build_storm_feed(
     """Track points (all storms form one track) and target hours (``ts``) to the storm feed."""
     if grid is None:
         return empty_storm_feed(track.sparkSession)
-    hourly = hourly_track(one_point_per_time(track, (), order_by))
-    positions = align_track(hourly, targets.select(F.col("ts").alias("time")).distinct())
+    positions = positions_at(one_point_per_time(track, (), order_by), targets.select(F.col("ts").alias("time")).distinct())
     return storm_feed(grid, positions)
