@@ -598,11 +598,43 @@ def oracle_sql() -> dict[str, str]:
       rows AS (SELECT DISTINCT dt, {KEYS}, admin_names FROM kept JOIN labels USING (nx, ny) WHERE admin_names IS NOT NULL)
       SELECT CAST(strptime(fcstDate, '%Y%m%d') AS DATE) AS date, count(DISTINCT admin_names) AS regions, count(*) AS rows FROM rows GROUP BY 1"""
     sql["stream_bronze_ingest"] = f"""{cte('fx_responses')}
-      SELECT event_id, 0 AS pos, fcstDate, fcstTime, category, fcstValue, fcstDate || '05' AS dt FROM fx_responses WHERE kind IN ('single', 'list')
-      UNION ALL SELECT event_id, 1, fcstDate, fcstTime, 'SKY', sky, fcstDate || '05' FROM fx_responses WHERE kind = 'list'"""
+      SELECT event_id, 0 AS pos, nx, ny, fcstDate, fcstTime, category, fcstValue, fcstDate || '05' AS dt FROM fx_responses WHERE kind IN ('single', 'list')
+      UNION ALL SELECT event_id, 1, nx, ny, fcstDate, fcstTime, 'SKY', sky, fcstDate || '05' FROM fx_responses WHERE kind = 'list'"""
+    sql["stream_restarted"] = f"SELECT dt, count(*) AS items FROM ({sql['stream_bronze_ingest']}) GROUP BY dt"
+    sql["stream_quarantine"] = f"""{cte('fx_responses')} SELECT event_id, kind AS status, text FROM fx_responses
+      WHERE kind IN ('error', 'not_json')"""
     sql["stream_dedupe_items"] = f"""{cte('fx_items')} SELECT * EXCLUDE (rk) FROM (
       SELECT {KEYS}, category, fcstValue, row_number() OVER (PARTITION BY {KEYS}, category ORDER BY seq DESC, fcstValue DESC) AS rk FROM fx_items) WHERE rk = 1"""
     sql["stream_daily_stats"] = f"""{cte('fx_base')}, silver AS (
         SELECT fcstDate, fcstTime, CAST(nx AS VARCHAR) || '-' || CAST(ny AS VARCHAR) AS admin_names, T1H / 40.0 AS R_total FROM fx_base),
       {DAILY} SELECT {daily} FROM daily"""
+    sql["stream_append_newest"] = sql["stream_dedupe_items"]
+    sql["stream_drop_repeats"] = f"{cte('fx_items')} SELECT DISTINCT {KEYS}, category FROM fx_items"
+    sql["gold_daily_incremental"] = f"{backfill_sql().rsplit('SELECT * REPLACE', 1)[0].rstrip()}, {DAILY} SELECT {daily} FROM daily"
+    sql["run_summary_observed"] = sql["run_summary"]
+    sql["silver_box"] = f"""{silver_cte()} SELECT {KEYS}, {r6s('R_total')} FROM silver
+      WHERE nx BETWEEN 44 AND 47 AND ny BETWEEN 60 AND 71 AND fcstDate BETWEEN '20250803' AND '20250809'"""
+    sql["asof_polls"] = f"""{cte('fx_items_based')}, timed AS (SELECT *, {at('baseDate', 'baseTime')} AS base FROM fx_items_based),
+      polls AS (SELECT seq AS poll, nx, ny, base + INTERVAL 10 MINUTE AS asked_at FROM timed WHERE baseTime LIKE '%30'),
+      known AS (SELECT nx, ny, base, max(seq) AS seq, arg_max(fcstValue, seq) AS fcstValue FROM timed WHERE baseTime LIKE '%00' GROUP BY nx, ny, base),
+      found AS (SELECT p.*, k.base, k.seq, k.fcstValue FROM polls p ASOF LEFT JOIN known k ON p.nx = k.nx AND p.ny = k.ny AND p.asked_at >= k.base)
+      SELECT poll, nx, ny, CASE WHEN base >= asked_at - INTERVAL 2 HOUR THEN {text12('base')} END AS base_ts,
+        CASE WHEN base >= asked_at - INTERVAL 2 HOUR THEN seq END AS seq, CASE WHEN base >= asked_at - INTERVAL 2 HOUR THEN fcstValue END AS fcstValue FROM found"""
+    sql["latest_forecast_base"] = f"""{cte('fx_items_based', 'fx_poll')}, {NOW},
+      timed AS (SELECT *, {at('baseDate', 'baseTime')} AS b FROM fx_items_based WHERE baseTime LIKE '%30'),
+      newest AS (SELECT date_trunc('hour', ts - INTERVAL 45 MINUTE) + INTERVAL 30 MINUTE AS n FROM now),
+      tries AS (SELECT timed.* FROM timed, newest WHERE b BETWEEN n - INTERVAL 3 HOUR AND n)
+      SELECT nx, ny, baseDate, baseTime, seq, category, fcstValue FROM tries
+      WHERE (nx, ny, b) IN (SELECT (nx, ny, max(b)) FROM tries GROUP BY nx, ny)"""
+    good = "kind IN ('list', 'xml')"
+    sql["xml_items"] = f"""{cte('fx_landed')} SELECT seq, CASE WHEN {good} THEN 'good' WHEN kind = 'quota' THEN 'quota' ELSE 'empty' END AS status,
+      CASE WHEN {good} THEN v1 END AS h0, CASE WHEN {good} THEN v2 END AS h3 FROM fx_landed WHERE service = 'uv'"""
+    sql["csv_dimension"] = f"""{cte('fx_regions')} SELECT admin_code, admin_name, {r6s('lat', 'lon')}, nx, CAST(NULL AS INT) AS ny,
+      CAST(NULL AS VARCHAR) AS SIG_CD FROM fx_regions"""
+    sql["short_fcst_unique"] = f"""{cte('fx_items', 'fx_regions')}, {CALLS}, items AS (SELECT *, {value} AS v FROM fx_items),
+      wide AS (SELECT {KEYS}, CAST(epoch({at('fcstDate', 'fcstTime')}) AS BIGINT) - 32400 AS valid_ts_kst,
+        {r6(means['PCP'])} AS PCP, {r6(means['POP'])} AS POP, CAST(floor({means['PTY']}) AS INT) AS PTY, {r6(means['REH'])} AS REH,
+        CAST(NULL AS INT) AS SKY, {r6(means['TMP'])} AS TMP, {r6(means['WSD'])} AS WSD FROM items WHERE v IS NOT NULL GROUP BY {KEYS})
+      SELECT CAST(c.admin_code AS BIGINT) AS admin_code, w.* FROM wide w LEFT JOIN calls c USING (nx, ny)"""
+    sql["feed_sorted"] = f"{cte('fx_base_runs')} SELECT dt, count(*) AS n_rows, CAST(0 AS BIGINT) AS inversions FROM fx_base_runs GROUP BY dt"
     return sql

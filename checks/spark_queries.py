@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from checks.adapters import Tables
@@ -19,8 +19,10 @@ from galecast.operators.keys import newest_per_key
 from galecast.operators.percentiles import RUN, join_scope, scope_percentiles
 from galecast.plans import alerts, bronze, features, gold, silver
 from galecast.sources import responses
-from galecast.sources.schemas import FEEDS
-from galecast.sources.tables import land_feed, read_table, scan_run, shared_folder, write_table
+from galecast.sources.schemas import FEEDS, REGIONS
+from galecast.sources.tables import (
+    land_feed, read_dimension, read_table, scan_run, shared_folder, stored, write_clustered, write_table,
+)
 from galecast.streaming import daily as stream_daily
 from galecast.streaming import dedupe as stream_dedupe
 from galecast.streaming import ingest as stream_ingest
@@ -540,23 +542,67 @@ def bronze_to_gold(t: Tables) -> DataFrame:
     return read_table(t.spark, f"{root}/gold").groupBy("date").agg(F.count("*").alias("regions"), F.sum("obs_cnt").alias("rows"))
 
 
-def stream_bronze_ingest(t: Tables) -> DataFrame:
-    root = shared_folder(t.spark, "stream")
-    responses_in = streamed(t, "fx_responses", "events").select("event_id", "text")
-    stream_ingest.ingest(responses_in, root, "items", f"{root}/progress", keep=("event_id",)).awaitTermination()
+def asked_responses(t: Tables) -> DataFrame:
+    """Responses with a path that tells the cell asked for."""
+    cell = F.format_string("/nx=%d/ny=%d/r.json", "nx", "ny")
+    return streamed(t, "fx_responses", "events").select("event_id", "text", cell.alias("file"))
+
+
+def ingested(t: Tables, root: str) -> DataFrame:
+    stream_ingest.ingest(asked_responses(t), root, "items", f"{root}/progress", keep=("event_id",)).awaitTermination()
     table = t.spark.read.option("inferSchema", False).parquet(f"{root}/items")
     return table.select(
-        "event_id", "pos", "fcstDate", "fcstTime", "category", "fcstValue", F.col("dt").cast("string").alias("dt")
+        "event_id", "pos", F.col("nx").cast("int").alias("nx"), F.col("ny").cast("int").alias("ny"),
+        "fcstDate", "fcstTime", "category", "fcstValue", F.col("dt").cast("string").alias("dt"),
     )
 
 
+def stream_bronze_ingest(t: Tables) -> DataFrame:
+    return ingested(t, shared_folder(t.spark, "stream"))
+
+
+def stream_restarted(t: Tables) -> DataFrame:
+    """Items per run after the stream was started again with nothing new."""
+    root = shared_folder(t.spark, "stream")
+    ingested(t, root)
+    return ingested(t, root).groupBy("dt").agg(F.count("*").alias("items"))
+
+
+def stream_quarantine(t: Tables) -> DataFrame:
+    root = shared_folder(t.spark, "stream")
+    landed = asked_responses(t).drop("file")
+    stream_ingest.ingest_quarantine(landed, f"{root}/refused", f"{root}/progress").awaitTermination()
+    return t.spark.read.parquet(f"{root}/refused").select("event_id", "status", "text")
+
+
+ITEM_KEYS = ("nx", "ny", "fcstDate", "fcstTime", "category")
+
+
 def stream_dedupe_items(t: Tables) -> DataFrame:
+    """The newest item per key, through the state of the stream."""
+    root = shared_folder(t.spark, "stream")
+    stream_dedupe.keep_newest(streamed(t, "fx_items", "events"), f"{root}/table", f"{root}/progress", ["seq"]).awaitTermination()
+    return read_table(t.spark, f"{root}/table").select(*ITEM_KEYS[:2], F.col("fcstDate").cast("string").alias("fcstDate"), *ITEM_KEYS[3:], "fcstValue")
+
+
+def stream_append_newest(t: Tables) -> DataFrame:
+    """The same from a table of all items, the newest taken on reading."""
     root = shared_folder(t.spark, "stream")
-    keys = ("nx", "ny", "fcstDate", "fcstTime", "category")
     items = streamed(t, "fx_items", "events")
     stream_dedupe.append_items(items, f"{root}/table", f"{root}/progress").awaitTermination()
     stored = t.spark.read.schema(items.schema).parquet(f"{root}/table")
-    return stream_dedupe.newest_items(stored, ["seq"], keys).select(*keys, "fcstValue")
+    return stream_dedupe.newest_items(stored, ["seq"], ITEM_KEYS).select(*ITEM_KEYS, "fcstValue")
+
+
+def stream_drop_repeats(t: Tables) -> DataFrame:
+    """The keys of the items, each once."""
+    root = shared_folder(t.spark, "stream")
+    valid = clock.on_axis(clock.forecast_clock(F.col("fcstDate"), F.col("fcstTime")))
+    items = streamed(t, "fx_items", "events").select(*ITEM_KEYS, valid.alias("at"))
+    once = stream_dedupe.drop_repeats(items, "at", "60 days", ITEM_KEYS)
+    writer = once.writeStream.format("parquet").option("checkpointLocation", f"{root}/progress").option("path", f"{root}/table")
+    writer.trigger(availableNow=True).start().awaitTermination()
+    return t.spark.read.parquet(f"{root}/table").select(*ITEM_KEYS)
 
 
 def stream_daily_stats(t: Tables) -> DataFrame:
@@ -569,6 +615,83 @@ def stream_daily_stats(t: Tables) -> DataFrame:
     return rounded(t.spark.read.parquet(f"{root}/daily"), "r_total_avg", "r_total_max")
 
 
+# ---- kept up to date ---------------------------------------------------------
+
+
+def gold_daily_incremental(t: Tables) -> DataFrame:
+    """Daily statistics of three runs, one of which was written again after the first time."""
+    root = shared_folder(t.spark, "incremental")
+    runs = {"ultra_shortfcst": t("fx_base_runs"), "short_fcst": t("fx_vil_runs"), "typhoon": t("fx_ty_runs")}
+    rows = stored(silver.build_silver(runs, t("fx_regions"), None, order_by=["seq"]).drop("ingested_at"), "silver")
+    again = F.col("dt") == "2025080106"
+    write_table(rows.withColumn("R_total", F.when(again, 2.0).otherwise(F.col("R_total"))), f"{root}/silver", ["dt"])
+    gold.run_daily_incremental(t.spark, f"{root}/silver", f"{root}/gold", f"{root}/partials")
+    write_table(rows.where(again), f"{root}/silver", ["dt"])
+    gold.run_daily_incremental(t.spark, f"{root}/silver", f"{root}/gold", f"{root}/partials")
+    return rounded(read_table(t.spark, f"{root}/gold"), "r_total_avg", "r_total_max")
+
+
+def run_summary_observed(t: Tables) -> DataFrame:
+    """The run summary, counted while the newest rows are written."""
+    counts = gold.run_latest_observed(t.spark, silver_table(t), shared_folder(t.spark, "gold"))
+    return t.spark.createDataFrame([(counts["high_risk"], counts["total"])], "high_risk long, total long")
+
+
+def silver_box(t: Tables) -> DataFrame:
+    """Scored rows of a box of cells and hours, from files in the interleaved order of both."""
+    path = shared_folder(t.spark, "silver")
+    hour = F.timestamp_diff("HOUR", F.lit("2025-01-01").cast("timestamp_ntz"), F.col("fcst_ts"))
+    write_clustered(silver_rows(t), path, [F.col("nx") - 40, F.col("ny") - 60, hour], 64)
+    box = F.col("nx").between(44, 47) & F.col("ny").between(60, 71) & F.col("fcstDate").between("20250803", "20250809")
+    return rounded(t.spark.read.parquet(path).where(box).select(*KEYS, "R_total"), "R_total")
+
+
+def asof_polls(t: Tables) -> DataFrame:
+    """For every poll at ten past a half hour the newest full-hour base of its cell, at most two hours old."""
+    items = t("fx_items_based").withColumn("base_ts", clock.forecast_clock(F.col("baseDate"), F.col("baseTime")))
+    polls = items.where(F.minute("base_ts") == 30).select(F.col("seq").alias("poll"), "nx", "ny", clock.plus_minutes(F.col("base_ts"), 10).alias("at"))
+    known = items.where(F.minute("base_ts") == 0)
+    found = asof.asof_rows(polls, known, ["nx", "ny"], "at", "base_ts", ["seq", "fcstValue"], 2)
+    return found.select("poll", "nx", "ny", hour_text("base_ts").alias("base_ts"), "seq", "fcstValue")
+
+
+def latest_forecast_base(t: Tables) -> DataFrame:
+    newest = clock.forecast_base(clock.compact_clock(F.col("now_text")))
+    kept = asof.latest_base(t("fx_items_based"), t("fx_poll").select(newest).scalar())
+    return kept.select("nx", "ny", "baseDate", "baseTime", "seq", "category", "fcstValue")
+
+
+def xml_items(t: Tables) -> DataFrame:
+    """Index responses in JSON and XML."""
+    landed = t("fx_landed").where("service = 'uv'").select("seq", "text")
+    items = responses.index_items(landed, keep=("seq",))
+    return items.select("seq", "status", F.try_element_at("item", F.lit("h0")).alias("h0"), F.try_element_at("item", F.lit("h3")).alias("h3"))
+
+
+def csv_dimension(t: Tables) -> DataFrame:
+    """Regions through a CSV file with a byte-order mark and other columns than declared."""
+    path = shared_folder(t.spark, "regions") + "/regions.csv"
+    rows = t("fx_regions").withColumnRenamed("admin_code", "\ufeffadmin_code").withColumn("unknown", F.lit("x")).drop("ny")
+    rows.write.option("header", True).csv(path)
+    return rounded(read_dimension(t.spark, path, REGIONS), "lat", "lon")
+
+
+def short_fcst_unique(t: Tables) -> DataFrame:
+    """Short-range rows that came twice, with the region code of their cell."""
+    once = wide.with_region_code(wide.short_forecast_wide(t("fx_items")), regions.unique_calls(t("fx_regions")))
+    kept = wide.unique_short_forecast(once.unionByName(once.withColumn("TMP", F.col("TMP") + 1)))
+    return rounded(kept.withColumn("valid_ts_kst", F.unix_seconds("valid_ts_kst")), "PCP", "POP", "REH", "TMP", "WSD")
+
+
+def feed_sorted(t: Tables) -> DataFrame:
+    """Rows of a landed feed by run, and how many of them come before their predecessor in the file."""
+    files = t.spark.read.schema(t("fx_base_runs").schema).parquet(f"{landed_runs(t)}/ultra_shortfcst")
+    order = F.struct("fcstDate", "fcstTime", "nx", "ny")
+    placed = files.select("dt", F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("at"), order.alias("key"))
+    before = F.lag("key").over(Window.partitionBy("file").orderBy("at"))
+    return placed.withColumn("before", before).groupBy("dt").agg(F.count("*").alias("n_rows"), F.count_if(F.col("key") < F.col("before")).alias("inversions"))
+
+
 QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "scan_run_partition": scan_run_partition,
     "bronze_partitioned": bronze_partitioned,
@@ -647,8 +770,21 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "bronze_quarantine": bronze_quarantine,
     "bronze_to_gold": bronze_to_gold,
     "stream_bronze_ingest": stream_bronze_ingest,
+    "stream_restarted": stream_restarted,
+    "stream_quarantine": stream_quarantine,
     "stream_dedupe_items": stream_dedupe_items,
+    "stream_append_newest": stream_append_newest,
+    "stream_drop_repeats": stream_drop_repeats,
     "stream_daily_stats": stream_daily_stats,
+    "gold_daily_incremental": gold_daily_incremental,
+    "run_summary_observed": run_summary_observed,
+    "silver_box": silver_box,
+    "asof_polls": asof_polls,
+    "latest_forecast_base": latest_forecast_base,
+    "xml_items": xml_items,
+    "csv_dimension": csv_dimension,
+    "short_fcst_unique": short_fcst_unique,
+    "feed_sorted": feed_sorted,
 }
 
 

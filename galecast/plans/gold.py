@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from galecast.functions.clock import forecast_clock
 from galecast.functions.scores import risk_level
-from galecast.sources.tables import read_table, write_table
+from galecast.sources.tables import RUN_COLUMN, read_or_empty, read_table, stored, write_table
 
 LATEST_COLUMNS = (
     "admin_names", "fcst_ts", "dt", "R_total",
@@ -97,6 +97,72 @@ def run_daily(
     write_table(daily(rows), gold, ["date"], table_format=table_format)
 
 
+PARTIALS = (
+    "date date, admin_names string, _sum double, _known long, _top struct<R_total:double,fcstTime:string>, _rows long, stamp long, dt string"
+)
+
+
+def run_inventory(spark: SparkSession, silver: str) -> DataFrame:
+    """dt, stamp: the runs of a stored table and when their newest file was written, from the list of its files alone."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(silver)
+    run = F.regexp_extract("path", rf"/{RUN_COLUMN}=([^/]+)/", 1)
+    return files.select(run.alias(RUN_COLUMN), F.unix_micros("modificationTime").alias("stamp")).groupBy(RUN_COLUMN).agg(F.max("stamp").alias("stamp"))
+
+
+def daily_partials(silver: DataFrame, region: str = "admin_names") -> DataFrame:
+    """Sums per run, date and region, which add up to the daily table."""
+    dated = silver.where(F.col(region).isNotNull()).select(
+        RUN_COLUMN, calendar_date(F.col("fcstDate")).alias("date"), F.col(region).alias("admin_names"),
+        F.struct(F.col("R_total"), F.col("fcstTime").cast("string").alias("fcstTime")).alias("top"),
+    )
+    return dated.groupBy(RUN_COLUMN, "date", "admin_names").agg(
+        F.sum("top.R_total").alias("_sum"), F.count("top.R_total").alias("_known"), F.max("top").alias("_top"), F.count("*").alias("_rows")
+    )
+
+
+def daily_of_partials(partials: DataFrame) -> DataFrame:
+    return partials.groupBy("date", "admin_names").agg(
+        F.try_divide(F.sum("_sum"), F.sum("_known")).alias("r_total_avg"), F.max("_top.R_total").alias("r_total_max"),
+        F.sum("_rows").alias("obs_cnt"), F.max("_top")["fcstTime"].alias("max_time"),
+    )
+
+
+def run_daily_incremental(spark: SparkSession, silver: str, gold: str, partials: str) -> list[str]:
+    """Bring the daily table up to date; returns the runs that were read.
+
+    Those are the runs that were never summed up, or were written again since.
+    Their sums replace the earlier ones, and only dates that they touch, or
+    touched before, are folded and written anew. A date of which no row is left
+    stays until it is removed.
+    """
+    built = read_or_empty(spark, partials, PARTIALS)
+    done = built.groupBy(RUN_COLUMN).agg(F.max("stamp").alias("stamp"))
+    due = stored(run_inventory(spark, silver).join(done, [RUN_COLUMN, "stamp"], "left_anti"), "due")
+    runs = [r[0] for r in due.select(RUN_COLUMN).orderBy(RUN_COLUMN).collect()]  # a row a run
+    if not runs:
+        return []
+    rows = read_table(spark, silver).where(F.col(RUN_COLUMN).isin(*runs))
+    fresh = stored(daily_partials(rows).join(due, RUN_COLUMN), "partials")
+    dates = stored(built.where(F.col(RUN_COLUMN).isin(*runs)).select("date").union(fresh.select("date")).distinct(), "dates")
+    write_table(fresh, partials, [RUN_COLUMN])
+    everything = spark.read.schema(PARTIALS).parquet(partials)
+    touched = everything.join(dates.withColumnRenamed("date", "_date"), F.col("date").eqNullSafe(F.col("_date")), "left_semi")
+    write_table(daily_of_partials(touched), gold, ["date"])
+    return runs
+
+
+def run_latest_observed(
+    spark: SparkSession, silver: str, gold: str, threshold: float = 0.6, table_format: str = "parquet"
+) -> dict[str, int]:
+    """As ``run_latest``; returns the run summary, counted while the table is written."""
+    watched = Observation("run_summary")
+    rows = latest(read_table(spark, silver, table_format)).observe(
+        watched, F.count_if(F.col("R_total") >= threshold).alias("high_risk"), F.count(F.lit(1)).alias("total")
+    )
+    write_table(rows, gold, table_format=table_format)
+    return watched.get
+
+
 def run_export(
     spark: SparkSession, gold_latest: str, gold_daily: str, out_latest: str, out_daily: str,
     table_format: str = "parquet",
