@@ -3,10 +3,15 @@
 Counts come from all training texts: every word's count, and the bigrams among
 the ``CLASSED`` most frequent words, the end of a text, and all other words as
 one. Exchange clustering moves one word at a time to the class that raises the
-likelihood of the class bigrams most; its input is a matrix of fixed size. A
-text's probability is the product, over its tokens, of a class given the class
-before and a word given its class; words outside the clustering share one class
-in which they are as likely as their counts plus one.
+likelihood of the class bigrams most; its input is a matrix of fixed size. Then
+every other word of the ``FREQUENT`` most frequent ones joins the class that the
+same measure prefers, by the classes it was seen next to: these counts are
+dealt by ranges of words, and all words of a range are placed at once. At last
+class bigrams are counted anew over all texts. A text's probability is the
+product, over its tokens, of a class given the class before and a word given its
+class. Words beyond the frequent ones share one class in which they are as
+likely as their counts plus one; what has never been seen is one more word
+there, and how often that class follows is learned from words seen once.
 
 The counts of rare words need not fit in one place: the most frequent words,
 at most ``FREQUENT``, are known to every task, and tokens of other words go, packed
@@ -27,6 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from galecast.llm.session import ready, written
+from galecast.llm.suffixes import packed, unpacked
 from galecast.llm.textblocks import LOWER_VALUES, span_hashes, text_blocks, words
 
 CLASSED = 2046
@@ -37,6 +43,9 @@ SMOOTHING = 0.1
 DOCS_PER_RANGE = 16_384
 SLAB = 64
 FLUSH = 1 << 21
+NEIGHBOURS_FLUSH = 1 << 23
+WORDS_PER_RANGE = 4096
+WORDS_AT_ONCE = 256
 END, OTHER = 0, 1  # ids before those of the classed words
 
 
@@ -253,39 +262,173 @@ def exchange_classes(bigrams: np.ndarray, n_classes: int, sweeps: int = SWEEPS)
     return cls
 
 
+# ---- all frequent words ------------------------------------------------------------------
+
+NEIGHBOURS = "range int, codes binary, counts binary"
+PLACED = "range int, classes binary"
+
+
+@dataclass(frozen=True)
+class Lexicon:
+    """``known``: sorted hashes of the frequent words; ``cls``: their classes, OTHER where there is none yet."""
+
+    known: np.ndarray
+    cls: np.ndarray
+
+    def places(self, hashes: np.ndarray) -> np.ndarray:
+        """Place of every word among the known ones, -1 for the others."""
+        if not len(self.known):
+            return np.full(len(hashes), -1, np.int64)
+        at = np.minimum(np.searchsorted(self.known, hashes), len(self.known) - 1)
+        return np.where(self.known[at] == hashes, at, -1)
+
+    def classes(self, places: np.ndarray) -> np.ndarray:
+        return np.where(places >= 0, self.cls[np.maximum(places, 0)], OTHER) if len(self.known) else np.full(len(places), OTHER)
+
+
+def _token_classes(lexicon: Lexicon, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Place and class of every token of a block, an END after each text, and the text of every token."""
+    starts, ends, rows = words(data, off)
+    places = lexicon.places(span_hashes(data, starts, ends, LOWER_VALUES))
+    n = len(off) - 1
+    stops = np.searchsorted(rows, np.arange(n), "right")
+    classes = np.insert(lexicon.classes(places), stops, END)
+    return np.insert(places, stops, -1), classes, np.insert(rows, stops, np.arange(n))
+
+
+def _count_neighbours(held, m: int):
+    """How often each word without a class stood before and behind each class."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lexicon: Lexicon = held.value
+        codes, counts, waiting = [], [], 0
+
+        def flush() -> pa.RecordBatch:
+            k, c = _summed(np.concatenate(codes), np.concatenate(counts))
+            span = WORDS_PER_RANGE * 2 * m
+            present, at = np.unique(k // span, return_index=True)
+            edges = [*at.tolist(), len(k)]
+            parts = [(packed(k[i:j] - r * span), packed(np.cumsum(c[i:j]))) for r, i, j in zip(present.tolist(), edges[:-1], edges[1:])]
+            return pa.RecordBatch.from_arrays(
+                [pa.array(present, pa.int32()), pa.array([p[0] for p in parts], pa.binary()), pa.array([p[1] for p in parts], pa.binary())],
+                names=["range", "codes", "counts"],
+            )
+
+        for _, data, off in text_blocks(batches):
+            places, classes, _ = _token_classes(lexicon, data, off)
+            loose = np.flatnonzero((places >= 0) & (classes == OTHER))
+            before = np.concatenate([[END], classes[:-1]])[loose]
+            after = np.concatenate([classes[1:], [END]])[loose]
+            both = np.concatenate([places[loose] * 2 * m + after, places[loose] * 2 * m + m + before])
+            k, c = np.unique(both, return_counts=True)
+            codes.append(k)
+            counts.append(c)
+            waiting += len(k)
+            if waiting >= NEIGHBOURS_FLUSH:
+                yield flush()
+                codes, counts, waiting = [], [], 0
+        if waiting:
+            yield flush()
+
+    return run
+
+
+def best_classes(pairs: np.ndarray, after: np.ndarray, before: np.ndarray) -> np.ndarray:
+    """Class for each of many words, by the measure of ``exchange_classes`` with the others in place.
+
+    ``after`` and ``before``: how often each class followed and preceded the
+    words. END and OTHER take no words; a word never seen next to a class goes
+    to the largest one.
+    """
+    def xlogx(x: np.ndarray) -> np.ndarray:
+        return np.where(x > 0, x * np.log(np.maximum(x, 1e-300)), 0.0)
+
+    def along(table: np.ndarray, seen: np.ndarray) -> np.ndarray:
+        """Per word and class c the sum over the classes h it was seen next to: what table[c, h] gains."""
+        out = np.zeros(seen.shape)
+        word, h = np.nonzero(seen)
+        if len(word):
+            gains = xlogx(table.T[h] + seen[word, h][:, None]) - xlogx(table.T[h])
+            first = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
+            out[word[first]] = np.add.reduceat(gains, first, axis=0)
+        return out
+
+    g_left, g_right = pairs.sum(axis=1), pairs.sum(axis=0)
+    corner = np.diagonal(pairs)
+    gain = along(pairs, after) + along(pairs.T, before)
+    gain += xlogx(corner + after + before) - xlogx(corner + after) - xlogx(corner + before) + xlogx(corner)
+    left, right = after.sum(axis=1, keepdims=True), before.sum(axis=1, keepdims=True)
+    gain -= xlogx(g_left + left) - xlogx(g_left) + xlogx(g_right + right) - xlogx(g_right)
+    gain[:, :2] = -np.inf
+    return gain.argmax(axis=1)
+
+
+def _place_words(pairs: np.ndarray, n_known: int):
+    m = len(pairs)
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        part = int(rows["range"].iloc[0])
+        n = min(WORDS_PER_RANGE, n_known - part * WORDS_PER_RANGE)
+        total = np.zeros(n * 2 * m)
+        for codes, counts in zip(rows["codes"], rows["counts"]):
+            total += np.bincount(unpacked(codes).astype(np.int64), weights=np.diff(unpacked(counts).astype(np.int64), prepend=0), minlength=len(total))
+        seen = total.reshape(n, 2, m)
+        out = np.full(n, OTHER, np.uint8)
+        there = np.flatnonzero(seen.any(axis=(1, 2)))
+        for i in range(0, len(there), WORDS_AT_ONCE):
+            some = there[i : i + WORDS_AT_ONCE]
+            out[some] = best_classes(pairs, seen[some, 0], seen[some, 1])
+        return pd.DataFrame({"range": [part], "classes": [out.tobytes()]})
+
+    return run
+
+
+def _count_classes(held, held_once, m: int):
+    """Bigrams of classes, and in a last column how often a word seen once followed each class."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lexicon: Lexicon = held.value
+        once = held_once.value
+        total = np.zeros((m, m + 1), np.int64)
+        for _, data, off in text_blocks(batches):
+            places, classes, _ = _token_classes(lexicon, data, off)
+            before = np.concatenate([[END], classes[:-1]])
+            total[:, :m] += np.bincount(before * m + classes, minlength=m * m).reshape(m, m)
+            rare = (places >= 0) & once[np.maximum(places, 0)] if len(once) else np.zeros(len(places), bool)
+            total[:, m] += np.bincount(before[rare], minlength=m)
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(total.reshape(-1)[at], pa.int64())], names=["code", "n"])
+
+    return run
+
+
 @dataclass(frozen=True)
 class ClassModel:
-    """``known``: sorted hashes of the frequent words with their counts; ``classed`` and ``classed_id`` of those in classes.
+    """``lexicon``: the frequent words and their classes; ``counts``: theirs.
 
-    ``step``: log10 of class given class before; ``emit``: log10 of an id given its class (OTHER: 0, added per word).
+    ``step``: log10 of class given class before; ``emit``: log10 of a frequent
+    word given its class.
     """
 
-    known: np.ndarray
+    lexicon: Lexicon
     counts: np.ndarray
-    classed: np.ndarray
-    classed_id: np.ndarray
-    cls: np.ndarray
     step: np.ndarray
     emit: np.ndarray
     other_total: float
-    n_tokens: int
-    n_words: int
-
-
-def _class_model(bigrams: np.ndarray, known: np.ndarray, counts: np.ndarray, classed: np.ndarray, classed_id: np.ndarray, n_classes: int, n_tokens: int, n_words: int, n_texts: int) -> ClassModel:
-    cls = exchange_classes(bigrams, n_classes)
-    m = int(cls.max()) + 1
-    member = np.zeros((len(cls), m))
-    member[np.arange(len(cls)), cls] = 1
-    pairs = member.T @ bigrams @ member + SMOOTHING
-    step = np.log10(pairs / pairs.sum(axis=1, keepdims=True))
-    seen = bigrams.sum(axis=0).astype(float)
-    in_class = np.maximum(seen @ member, 1)
-    emit = np.log10(np.maximum(seen, 1) / in_class[cls])
-    emit[OTHER] = 0.0
-    n_other_words = n_words - 1 - len(classed)  # the end is a word too
-    other_total = float(seen[OTHER]) + n_other_words + 1
-    return ClassModel(known, counts, classed, classed_id, cls, step, emit, other_total, n_tokens, n_words)
+
+
+def _class_model(lexicon: Lexicon, counts: np.ndarray, followed: np.ndarray, n_other_words: int) -> ClassModel:
+    m = len(followed)
+    pairs, once = followed[:, :m].astype(float), followed[:, m].astype(float)
+    total = pairs.sum(axis=1) + SMOOTHING * m
+    unseen = (pairs[:, OTHER] + once + SMOOTHING) / (total + once)
+    rest = pairs + SMOOTHING
+    rest[:, OTHER] = 0
+    step = (1 - unseen)[:, None] * rest / rest.sum(axis=1, keepdims=True)
+    step[:, OTHER] = unseen
+    in_class = np.bincount(lexicon.cls, weights=counts, minlength=m) if len(counts) else np.zeros(m)
+    emit = np.log10(counts / np.maximum(in_class[lexicon.cls], 1)) if len(counts) else np.zeros(0)
+    return ClassModel(lexicon, counts, np.log10(step), emit, float(pairs[:, OTHER].sum()) + n_other_words + 1)
 
 
 # ---- scores ----------------------------------------------------------------------------
@@ -316,22 +459,15 @@ def _score_frequent(held_model, end_count: int, bits: int):
             n = len(off) - 1
             starts, ends, rows = words(data, off)
             h = span_hashes(data, starts, ends, LOWER_VALUES)
-            if len(model.known):
-                at = np.minimum(np.searchsorted(model.known, h), len(model.known) - 1)
-                frequent = model.known[at] == h
-            else:
-                at, frequent = np.zeros(len(h), np.int64), np.zeros(len(h), bool)
-            ids = _token_ids(h, model.classed, model.classed_id)
+            at = model.lexicon.places(h)
+            frequent = at >= 0
             counted = np.bincount(rows[frequent], minlength=n)
-            logs = log_count[at[frequent]]
-            base = np.bincount(rows[frequent], weights=logs, minlength=n) + np.log10(end_count + 1.0)
-            tokens, of = _with_ends(ids, rows, n)
-            before = np.concatenate([[END], tokens[:-1]])
-            each = model.step[model.cls[before], model.cls[tokens]] + model.emit[tokens]
-            each[tokens == OTHER] -= np.log10(model.other_total)
+            base = np.bincount(rows[frequent], weights=log_count[at[frequent]], minlength=n) + np.log10(end_count + 1.0)
+            classes, of = _with_ends(model.lexicon.classes(at), rows, n)
+            each = model.step[np.concatenate([[END], classes[:-1]]), classes]
+            each[classes == OTHER] -= np.log10(model.other_total)
             score = np.bincount(of, weights=each, minlength=n)
-            loose = frequent & (ids == OTHER)
-            score += np.bincount(rows[loose], weights=log_count[at[loose]], minlength=n)
+            score += np.bincount(rows[frequent], weights=model.emit[at[frequent]], minlength=n)
             n_tokens = np.bincount(of, minlength=n)
             key = number + np.arange(n)
             number += n
@@ -415,9 +551,32 @@ def class_scores(docs: DataFrame, learns: Column, classed: int = CLASSED, n_clas
     for row in slabs.collect():  # at most (CLASSED + 2) squared counts
         bigrams[row["slab"] * SLAB : (row["slab"] + 1) * SLAB] = np.frombuffer(row["counts"], np.int64).reshape(SLAB, n_ids)
     bigrams = bigrams[:n_ids].astype(np.float64)
-    model = _class_model(bigrams, known, known_counts_sorted, classed_hash, classed_id, n_classes, n_tokens, n_words, n_learned)
+    cls_of_ids = exchange_classes(bigrams, n_classes)
+    m = int(cls_of_ids.max()) + 1
+    member = np.zeros((n_ids, m))
+    member[np.arange(n_ids), cls_of_ids] = 1
+    pairs = member.T @ bigrams @ member
 
-    held_model = context.broadcast(model)  # bounded by ``frequent`` and ``classed``
+    cls = np.full(len(known), OTHER, np.int64)
+    cls[np.searchsorted(known, classed_hash)] = cls_of_ids[classed_id]
+    if len(known) > len(classed_hash):
+        held = context.broadcast(Lexicon(known, cls))
+        placed = (
+            learned.mapInArrow(_count_neighbours(held, m), NEIGHBOURS).groupBy("range")
+            .applyInPandas(_place_words(pairs, len(known)), PLACED)
+        )
+        for row in placed.collect():  # a byte per frequent word
+            part = slice(row["range"] * WORDS_PER_RANGE, (row["range"] + 1) * WORDS_PER_RANGE)
+            found = np.frombuffer(row["classes"], np.uint8)
+            cls[part] = np.where(cls[part] == OTHER, found, cls[part])
+    lexicon = Lexicon(known, cls)
+    followed = np.zeros(m * (m + 1), np.int64)
+    counted = learned.mapInArrow(_count_classes(context.broadcast(lexicon), context.broadcast(known_counts_sorted == 1), m), "code long, n long")
+    for row in counted.groupBy("code").agg(F.sum("n").alias("n")).collect():  # classes squared
+        followed[row["code"]] = row["n"]
+    model = _class_model(lexicon, known_counts_sorted.astype(float), followed.reshape(m, m + 1), n_words - (n_learned > 0) - len(known))
+
+    held_model = context.broadcast(model)  # bounded by ``frequent`` and the classes
     scored = written(texts.select("doc_id", "text").mapInArrow(_score_frequent(held_model, n_learned, bits), SCORED), "scored")
     rare = scored.where("range is not null").select("range", "hashes", "keys").groupBy("range")
     sums = rare.cogroup(counts.select("range", "hashes", "counts").groupBy("range")).applyInPandas(

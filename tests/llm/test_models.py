@@ -133,7 +133,7 @@ def test_class_scores(odd_docs, odd_rows):
         assert np.allclose([g[4] for g in got], [w[4] for w in ordered])
         assert all(r.score < 0 for r in rows)
     first = {(r.doc_id, r.n_tokens): r.score for r in rows}
-    again = brown.class_scores(odd_docs, fold(7) != 2, classed=8, n_classes=3).collect()
+    again = brown.class_scores(odd_docs.repartition(7), fold(7) != 2, classed=8, n_classes=3, frequent=40).collect()
     assert all(abs(first[(r.doc_id, r.n_tokens)] - r.score) < 1e-6 for r in again)
 
 
@@ -165,6 +165,46 @@ def test_class_model_scores_follow_their_formula(spark):
         assert abs(want - got[k]) < 1e-6
 
 
+def test_every_other_word_joins_the_class_that_fits_best():
+    rng = np.random.default_rng(3)
+    m, n = 6, 40
+    pairs = rng.integers(0, 200, (m, m)).astype(float)
+    after, before = (rng.poisson(0.4, (n, m)).astype(float) for _ in range(2))
+    xlogx = lambda x: float((x[x > 0] * np.log(x[x > 0])).sum())
+
+    def value(p: np.ndarray) -> float:
+        return xlogx(p) - xlogx(p.sum(axis=0)) - xlogx(p.sum(axis=1))
+
+    for w, got in enumerate(brown.best_classes(pairs, after, before)):
+        # The word's own bigrams with a class join that class on both sides; the margins are those of all its tokens.
+        values = []
+        for c in range(2, m):
+            p = pairs.copy()
+            p[c, :] += after[w]
+            p[:, c] += before[w]
+            left, right = pairs.sum(axis=1), pairs.sum(axis=0)
+            left[c] += after[w].sum()
+            right[c] += before[w].sum()
+            values.append(xlogx(p) - xlogx(left) - xlogx(right))
+        assert values[got - 2] >= max(values) - 1e-9 and value(pairs) is not None
+
+
+def test_every_training_word_has_a_class_and_probabilities_sum_up(odd_docs):
+    seen = []
+    kept = brown._class_model
+    try:
+        brown._class_model = lambda *a: seen.append(a) or kept(*a)
+        brown.class_scores(odd_docs, fold(7) != 2, classed=8, n_classes=3)
+    finally:
+        brown._class_model = kept
+    lexicon, counts, followed, n_other = seen[0]
+    assert n_other == 0 and len(lexicon.known) > 8 and (lexicon.cls > brown.OTHER).all()
+    assert followed[:, brown.OTHER].sum() == 0  # no token of a training text is without a class
+    model = kept(*seen[0])
+    assert np.allclose((10.0**model.step).sum(axis=1), 1)
+    assert np.allclose(np.bincount(lexicon.cls, weights=10.0**model.emit)[2:], 1)
+
+
 def objective(big: np.ndarray, cls: np.ndarray) -> float:
     member = np.eye(cls.max() + 1)[cls]
     pairs = member.T @ big @ member
