@@ -20,7 +20,7 @@ from checks.spark_queries import queries
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
-RUNS = int(os.environ.get("BENCH_RUNS", "1"))
+RUNS = int(os.environ.get("BENCH_RUNS", "3"))
 HEADLINE = (
     "raw_items_explode", "canonicalize", "short_fcst_wide", "nowcast_wide", "dedupe_keys",
     "coalesce_join", "silver_merge", "attach_regions", "percentile_minmax", "rain_risk",

@@ -15,18 +15,20 @@ from pyspark.sql import types as T
 
 from galecast.functions.numeric import number_from_text, row_max, stripped, variants
 
-# Words the feeds use inside amounts.
+# Words the feeds use inside amounts, and the patterns of amounts.
 NO_RAIN = "강수없음"
 NO_SNOW = "적설없음"
 NONE = "없음"
 BELOW = "미만"
-AT_LEAST = "이상"
 BELOW_ONE_MM = "1mm 미만"
 BELOW_ONE_SIGNS = ("<1", "<1mm")
 MILLIMETRE_SIGN = "㎜"
 NULL_WORDS = ("", "None", "nan")
 BELOW_ONE_AMOUNT = 0.5
 BELOW_FLOOR = 0.1
+RANGE_PATTERN = r"^(\d+(?:\.\d+)?)~(\d+(?:\.\d+)?)$"
+LIMIT_PATTERN = r"^(\d+(?:\.\d+)?)(미만|이상)$"
+AMOUNT_PATTERN = r"(?i)(-?\d+(?:\.\d+)?)\s*mm"
 
 
 def mm_range(text: Column) -> Column:
@@ -34,13 +36,11 @@ def mm_range(text: Column) -> Column:
     t = stripped(text)
     t = F.when(t.isin(NO_RAIN, "-", ""), F.lit("0")).otherwise(t)
     t = F.regexp_replace(F.replace(t, F.lit(MILLIMETRE_SIGN), F.lit("mm")), "mm| ", "")
-    span = r"^(\d+(?:\.\d+)?)~(\d+(?:\.\d+)?)$"
-    limit = rf"^(\d+(?:\.\d+)?)({BELOW}|{AT_LEAST})$"
     middle = (
-        F.regexp_extract(t, span, 1).try_cast("double")
-        + F.regexp_extract(t, span, 2).try_cast("double")
+        F.regexp_extract(t, RANGE_PATTERN, 1).try_cast("double")
+        + F.regexp_extract(t, RANGE_PATTERN, 2).try_cast("double")
     ) / 2.0
-    edge = F.regexp_extract(t, limit, 1).try_cast("double") * F.when(
+    edge = F.regexp_extract(t, LIMIT_PATTERN, 1).try_cast("double") * F.when(
         F.endswith(t, F.lit(BELOW)), 0.5
     ).otherwise(1.0)
     return F.greatest(F.coalesce(number_from_text(t), middle, edge, F.lit(0.0)), F.lit(0.0))
@@ -55,7 +55,7 @@ def mm_search(text: Column, below_one: float = BELOW_ONE_AMOUNT) -> Column:
         | F.startswith(t, F.lit(sign))
         | F.contains(F.lower(t), F.lit(sign_mm))
     )
-    amount = F.regexp_extract(t, r"(?i)(-?\d+(?:\.\d+)?)\s*mm", 1).try_cast("double")
+    amount = F.regexp_extract(t, AMOUNT_PATTERN, 1).try_cast("double")
     value = (
         F.when(F.contains(t, F.lit(NO_RAIN)), 0.0)
         .when(below, float(below_one))

@@ -25,7 +25,16 @@ from galecast.functions.numeric import (
     smoothstep,
 )
 
-# ---- fixed values -------------------------------------------------------
+# ---- fixed values: they must be these for the scores to come out right ----
+RAIN = {
+    "rate_scale": 30.0, "rate_power": 0.95, "rate_share": 0.985,
+    "downpour_from": 22.0, "downpour_scale": 16.0, "downpour_share": 0.12,
+    "chance_power": 1.7, "chance_share_dry": 0.012, "chance_share_wet": 0.004,
+    "amount_scale": 38.0, "amount_share": 0.03, "amount_gate_wet": 0.4,
+    "dry_limit": 0.07, "wet_limit": 1.3, "curve_k": 3.2, "curve_x0": 0.56,
+    "lowest": 0.010, "highest": 0.97, "dry_up_to": 0.2,
+}
+
 WEIGHTS = {"rain": 0.28, "heat": 0.18, "wind": 0.22, "uv": 0.12, "typhoon": 0.20}
 PEAK_SHARE = 0.7
 MEAN_SHARE = 0.3
@@ -36,6 +45,10 @@ HEAT_ANCHORS = (
 )
 HEAT_BOUNDS = (0.12, 0.96)
 HEAT_DEFAULTS = {"temperature": 24.0, "humidity": 60.0, "wind": 1.5}
+# (start, width) of a smooth step; shares of the three corrections.
+MUGGY_SHARE, MUGGY_HUMIDITY, MUGGY_FROM, MUGGY_UP_TO = 0.020, (75.0, 20.0), (18.0, 5.0), (27.0, 2.0)
+HUMID_SHARE, HUMID_FROM, HUMID_HEAT = 0.060, (60.0, 40.0), (31.5, 4.0)
+BREEZE_SHARE, BREEZE_SCALE, BREEZE_FROM = 0.040, 10.0, (26.0, 4.0)
 
 WIND_ANCHORS = (
     (0.0, 4.0, 8.0, 12.0, 16.0, 22.0, 30.0),
@@ -43,7 +56,19 @@ WIND_ANCHORS = (
 )
 
 UV_SCALE_MAX = 12.0
+UV_CURVE, UV_ESTIMATE_CURVE = (5.0, 0.4), (5.0, 0.5)
+UV_SHARES = {"sky": 0.45, "warmth": 0.35, "daylight": 0.20}
+UV_DEFAULTS = {"sky": 3.0, "warmth": 0.5, "hour": 12}
+CLOUDIEST, SKY_STEPS = 4.0, 3.0
+DAYLIGHT = ((10, 15, 1.0), (8, 17, 0.7))
+DAYLIGHT_ELSE = 0.3
+WET_FACTOR, CHANCE_FACTOR = 0.4, 0.5
+
 STORM_FLOOR = 0.010
+STORM_REACH, STORM_EDGE, STORM_EDGE_WIDTH = 300.0, 700.0, 80.0
+STORM_SHARES = {"near": 0.75, "force": 0.20, "alarm": 0.05}
+STORM_POWERS = {"force": 1.2, "alarm": 1.5}
+STORM_CURVE = (6.0, 0.35)
 NORMALISE_PERCENTILES = (0.05, 0.95)
 
 RISK_LEVELS = (("VERY_HIGH", 0.8), ("HIGH", 0.6), ("MED", 0.4))
@@ -55,25 +80,25 @@ LOWEST_LEVEL = "LOW"
 class RainSettings:
     """Parameters of the rain score; amounts in millimetres."""
 
-    rate_scale: float = 30.0
-    rate_power: float = 0.95
-    rate_share: float = 0.985
-    downpour_from: float = 22.0
-    downpour_scale: float = 16.0
-    downpour_share: float = 0.12
-    chance_power: float = 1.7
-    chance_share_dry: float = 0.012
-    chance_share_wet: float = 0.004
-    amount_scale: float = 38.0
-    amount_share: float = 0.03
-    amount_gate_wet: float = 0.4
-    dry_limit: float = 0.07
-    wet_limit: float = 1.3
-    curve_k: float = 3.2
-    curve_x0: float = 0.56
-    lowest: float = 0.010
-    highest: float = 0.97
-    dry_up_to: float = 0.2
+    rate_scale: float = RAIN["rate_scale"]
+    rate_power: float = RAIN["rate_power"]
+    rate_share: float = RAIN["rate_share"]
+    downpour_from: float = RAIN["downpour_from"]
+    downpour_scale: float = RAIN["downpour_scale"]
+    downpour_share: float = RAIN["downpour_share"]
+    chance_power: float = RAIN["chance_power"]
+    chance_share_dry: float = RAIN["chance_share_dry"]
+    chance_share_wet: float = RAIN["chance_share_wet"]
+    amount_scale: float = RAIN["amount_scale"]
+    amount_share: float = RAIN["amount_share"]
+    amount_gate_wet: float = RAIN["amount_gate_wet"]
+    dry_limit: float = RAIN["dry_limit"]
+    wet_limit: float = RAIN["wet_limit"]
+    curve_k: float = RAIN["curve_k"]
+    curve_x0: float = RAIN["curve_x0"]
+    lowest: float = RAIN["lowest"]
+    highest: float = RAIN["highest"]
+    dry_up_to: float = RAIN["dry_up_to"]
 
 
 def rain_score(
@@ -106,15 +131,14 @@ def heat_score(temperature: Column, humidity: Column, wind: Column) -> Column:
     line = piecewise_linear(t, *HEAT_ANCHORS)
     share = bound((line - low) / (high - low), 0.0, 1.0)
     middle = share * (1.0 - share)
-    muggy = (
-        0.020
-        * smoothstep((h - 75.0) / 20.0)
-        * smoothstep((t - 18.0) / 5.0)
-        * (1.0 - smoothstep((t - 27.0) / 2.0))
-        * (1.0 - share)
-    )
-    humid_heat = 0.060 * bound((h - 60.0) / 40.0, 0.0, 1.0) * smoothstep((t - 31.5) / 4.0) * middle
-    breeze = 0.040 * (F.log1p(w) / F.log1p(F.lit(10.0))) * smoothstep((t - 26.0) / 4.0) * middle
+
+    def step(value: Column, at: tuple[float, float]) -> Column:
+        return smoothstep((value - at[0]) / at[1])
+
+    muggy = MUGGY_SHARE * step(h, MUGGY_HUMIDITY) * step(t, MUGGY_FROM) * (1.0 - step(t, MUGGY_UP_TO)) * (1.0 - share)
+    humid = bound((h - HUMID_FROM[0]) / HUMID_FROM[1], 0.0, 1.0)
+    humid_heat = HUMID_SHARE * humid * step(t, HUMID_HEAT) * middle
+    breeze = BREEZE_SHARE * (F.log1p(w) / F.log1p(F.lit(BREEZE_SCALE))) * step(t, BREEZE_FROM) * middle
     return bound(line + muggy + humid_heat - breeze, low, high)
 
 
@@ -131,11 +155,12 @@ def wind_score(speed: Column) -> Column:
 
 def uv_score(index: Column) -> Column:
     """From a UV index; null scores 0."""
-    return F.coalesce(logistic(clip(index / UV_SCALE_MAX, 0.0, 1.0), 5.0, 0.4), F.lit(0.0))
+    return F.coalesce(logistic(clip(index / UV_SCALE_MAX, 0.0, 1.0), *UV_CURVE), F.lit(0.0))
 
 
 def daylight_factor(hour: Column) -> Column:
-    return F.when(hour.between(10, 15), 1.0).when(hour.between(8, 17), 0.7).otherwise(0.3)
+    (first, last, full), (early, late, part) = DAYLIGHT
+    return F.when(hour.between(first, last), full).when(hour.between(early, late), part).otherwise(DAYLIGHT_ELSE)
 
 
 def uv_estimate_score(
@@ -143,19 +168,20 @@ def uv_estimate_score(
 ) -> Column:
     """Without an index: ``sky`` code 1..4, ``warmth`` and ``daylight`` in 0..1,
     ``dampening`` the factor left by rain."""
-    clear = (4.0 - F.coalesce(sky, F.lit(3.0))) / 3.0
-    raw = (0.45 * clear + 0.35 * F.coalesce(warmth, F.lit(0.5)) + 0.20 * daylight) * dampening
-    return F.coalesce(logistic(clip(raw, 0.0, 1.0), 5.0, 0.5), F.lit(0.0))
+    clear = (CLOUDIEST - F.coalesce(sky, F.lit(UV_DEFAULTS["sky"]))) / SKY_STEPS
+    warm = F.coalesce(warmth, F.lit(UV_DEFAULTS["warmth"]))
+    raw = (UV_SHARES["sky"] * clear + UV_SHARES["warmth"] * warm + UV_SHARES["daylight"] * daylight) * dampening
+    return F.coalesce(logistic(clip(raw, 0.0, 1.0), *UV_ESTIMATE_CURVE), F.lit(0.0))
 
 
 def rain_dampening(amount: Column | None, chance: Column | None) -> Column:
     """Factor by which rain lowers an estimated index; None for a feed without the column."""
     factor = F.lit(1.0)
     if amount is not None:
-        factor = F.when(F.coalesce(amount, F.lit(0.0)) > 0, 0.4).otherwise(1.0)
+        factor = F.when(F.coalesce(amount, F.lit(0.0)) > 0, WET_FACTOR).otherwise(1.0)
     if chance is not None:
         share = bound(F.coalesce(chance, F.lit(0.0)) / 100.0, 0.0, 1.0)
-        factor = factor * (1.0 - 0.5 * share)
+        factor = factor * (1.0 - CHANCE_FACTOR * share)
     return factor
 
 
@@ -179,20 +205,19 @@ def percentile_scale(value: Column, low: Column, high: Column) -> Column:
 def storm_score(distance: Column, strength: Column, warning: Column) -> Column:
     """``distance`` km, ``strength`` 0..1 within the run, ``warning`` flag."""
     # A null distance falls to the lower bound: no storm is near.
-    near = bound(
-        F.exp(-(distance / 300.0)) * (1.0 / (1.0 + F.exp((distance - 700.0) / 80.0))), 0.0, 1.0
-    )
+    reach = F.exp(-(distance / STORM_REACH))
+    near = bound(reach * (1.0 / (1.0 + F.exp((distance - STORM_EDGE) / STORM_EDGE_WIDTH))), 0.0, 1.0)
     force = F.coalesce(strength, F.lit(0.0))
     alarm = bound(F.coalesce(warning, F.lit(0.0)), 0.0, 1.0)
     raw = bound(
-        0.75 * near
-        + 0.20 * F.pow(near, F.lit(1.2)) * force
-        + 0.05 * F.pow(near, F.lit(1.5)) * alarm,
+        STORM_SHARES["near"] * near
+        + STORM_SHARES["force"] * F.pow(near, F.lit(STORM_POWERS["force"])) * force
+        + STORM_SHARES["alarm"] * F.pow(near, F.lit(STORM_POWERS["alarm"])) * alarm,
         0.0,
         1.0,
     )
-    at_zero = logistic_at(0.0, 6.0, 0.35)
-    scaled = bound((logistic(raw, 6.0, 0.35) - at_zero) / (1.0 - at_zero), 0.0, 1.0)
+    at_zero = logistic_at(0.0, *STORM_CURVE)
+    scaled = bound((logistic(raw, *STORM_CURVE) - at_zero) / (1.0 - at_zero), 0.0, 1.0)
     return STORM_FLOOR + (1.0 - STORM_FLOOR) * scaled
 
 

@@ -132,7 +132,7 @@ def _uv_inputs(df: DataFrame) -> Columns:
         "warmth": S.percentile_scale(
             pick_number(df, ["T1H", "TMP"]), F.col("_warm_low"), F.col("_warm_high")
         ),
-        "daylight": S.daylight_factor(F.coalesce(hour, F.lit(12))),
+        "daylight": S.daylight_factor(F.coalesce(hour, F.lit(S.UV_DEFAULTS["hour"]))),
         "damping": damping,
     }
 

@@ -134,7 +134,11 @@ def last_hours(hours: DataFrame, now: Column, window: int = HORIZON_HOURS) -> Da
 
 
 def hours_or_last(hours: DataFrame, now: Column, window: int = HORIZON_HOURS) -> DataFrame:
-    """All given times; without any, the ``window`` hours up to ``now``."""
+    """All given times, to the minute; without any, the ``window`` hours up to ``now``.
+
+    They go on as one value: a year of hours is under 0.5 MB, and of feeds that
+    give minutes it is at most sixty times that.
+    """
     return _or_else(hours, [plus_hours(floor_hour(now), -i) for i in range(window)])
 
 
