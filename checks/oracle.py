@@ -636,5 +636,6 @@ def oracle_sql() -> dict[str, str]:
         {r6(means['PCP'])} AS PCP, {r6(means['POP'])} AS POP, CAST(floor({means['PTY']}) AS INT) AS PTY, {r6(means['REH'])} AS REH,
         CAST(NULL AS INT) AS SKY, {r6(means['TMP'])} AS TMP, {r6(means['WSD'])} AS WSD FROM items WHERE v IS NOT NULL GROUP BY {KEYS})
       SELECT CAST(c.admin_code AS BIGINT) AS admin_code, w.* FROM wide w LEFT JOIN calls c USING (nx, ny)"""
+    sql["runs_due"] = f"{cte('fx_base_runs')} SELECT DISTINCT dt FROM fx_base_runs WHERE dt = '2025080106'"
     sql["feed_sorted"] = f"{cte('fx_base_runs')} SELECT dt, count(*) AS n_rows, CAST(0 AS BIGINT) AS inversions FROM fx_base_runs GROUP BY dt"
     return sql

@@ -21,7 +21,7 @@ from galecast.plans import alerts, bronze, features, gold, silver
 from galecast.sources import responses
 from galecast.sources.schemas import FEEDS, REGIONS
 from galecast.sources.tables import (
-    land_feed, read_dimension, read_table, scan_run, shared_folder, stored, write_clustered, write_table,
+    land_feed, read_dimension, read_table, runs_to_build, scan_run, shared_folder, stored, write_clustered, write_table,
 )
 from galecast.streaming import daily as stream_daily
 from galecast.streaming import dedupe as stream_dedupe
@@ -676,6 +676,13 @@ def csv_dimension(t: Tables) -> DataFrame:
     return rounded(read_dimension(t.spark, path, REGIONS), "lat", "lon")
 
 
+def runs_due(t: Tables) -> DataFrame:
+    """The landed runs that silver lacks: one was never built."""
+    bronze_root, built = landed_runs(t), shared_folder(t.spark, "silver")
+    write_table(t("fx_base_runs").where("dt <> '2025080106'"), built, ["dt"])
+    return t.spark.createDataFrame([(r,) for r in runs_to_build(t.spark, bronze_root, built)], "dt string")
+
+
 def short_fcst_unique(t: Tables) -> DataFrame:
     """Short-range rows that came twice, with the region code of their cell."""
     once = wide.with_region_code(wide.short_forecast_wide(t("fx_items")), regions.unique_calls(t("fx_regions")))
@@ -784,6 +791,7 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "xml_items": xml_items,
     "csv_dimension": csv_dimension,
     "short_fcst_unique": short_fcst_unique,
+    "runs_due": runs_due,
     "feed_sorted": feed_sorted,
 }
 

@@ -14,7 +14,7 @@ from galecast.functions.clock import now_clock, run_hour
 from galecast.operators.regions import clean_calls
 from galecast.plans import alerts, bronze, dimensions, features, gold, session, silver
 from galecast.sources.schemas import GRID, REGIONS
-from galecast.sources.tables import read_dimension, read_table
+from galecast.sources.tables import read_dimension, read_table, runs_to_build
 
 
 def arguments() -> argparse.ArgumentParser:
@@ -40,6 +40,7 @@ def arguments() -> argparse.ArgumentParser:
     job.add_argument("--silver_out", required=True)
     job.add_argument("--admin_map", required=True)
     job.add_argument("--run_dt", nargs="*", default=[], help="default: the current hour")
+    job.add_argument("--due", action="store_true", help="the runs that landed and are not built, or landed again since")
     job.add_argument("--mode", default="overwrite", choices=["overwrite", "append"])
 
     job = jobs.add_parser("latest", help="newest row per region")
@@ -50,6 +51,7 @@ def arguments() -> argparse.ArgumentParser:
     job.add_argument("--silver", required=True)
     job.add_argument("--gold", required=True)
     job.add_argument("--dates", nargs=2, metavar=("FROM", "TO"), help="yyyyMMdd; default: all dates")
+    job.add_argument("--partials", help="folder of sums by run: only runs that are new or written again are read")
 
     job = jobs.add_parser("export", help="narrow Parquet copies of both gold tables")
     job.add_argument("--latest", required=True)
@@ -84,13 +86,19 @@ def main(argv: list[str] | None = None) -> None:
         responses = bronze.landed_responses(spark, a.landed)
         bronze.collect(responses, a.bronze, a.progress, calls, grid).awaitTermination()
     elif a.job == "silver":
-        runs = a.run_dt or [current_run(spark)]
+        runs = runs_to_build(spark, a.bronze, a.silver_out) if a.due else a.run_dt or [current_run(spark)]
+        if not runs:
+            return
         silver.run_silver(
             spark, a.bronze, a.silver_out, read_dimension(spark, a.admin_map),
             runs[0] if len(runs) == 1 else runs, a.mode, fmt,
         )
     elif a.job == "latest":
-        gold.run_latest(spark, a.silver, a.gold, fmt)
+        counts = gold.run_latest_observed(spark, a.silver, a.gold, table_format=fmt)
+        print(f"regions: {counts['total']}, of high risk: {counts['high_risk']}")
+    elif a.job == "daily" and a.partials:
+        runs = gold.run_daily_incremental(spark, a.silver, a.gold, a.partials)
+        print(f"runs read: {', '.join(runs) or 'none'}")
     elif a.job == "daily":
         gold.run_daily(spark, a.silver, a.gold, fmt, tuple(a.dates) if a.dates else None)
     elif a.job == "export":

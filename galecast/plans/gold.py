@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from galecast.functions.clock import forecast_clock
 from galecast.functions.scores import risk_level
-from galecast.sources.tables import RUN_COLUMN, read_or_empty, read_table, stored, write_table
+from galecast.sources.tables import RUN_COLUMN, read_or_empty, read_table, run_inventory, stored, write_table
 
 LATEST_COLUMNS = (
     "admin_names", "fcst_ts", "dt", "R_total",
@@ -102,13 +102,6 @@ PARTIALS = (
 )
 
 
-def run_inventory(spark: SparkSession, silver: str) -> DataFrame:
-    """dt, stamp: the runs of a stored table and when their newest file was written, from the list of its files alone."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(silver)
-    run = F.regexp_extract("path", rf"/{RUN_COLUMN}=([^/]+)/", 1)
-    return files.select(run.alias(RUN_COLUMN), F.unix_micros("modificationTime").alias("stamp")).groupBy(RUN_COLUMN).agg(F.max("stamp").alias("stamp"))
-
-
 def daily_partials(silver: DataFrame, region: str = "admin_names") -> DataFrame:
     """Sums per run, date and region, which add up to the daily table."""
     dated = silver.where(F.col(region).isNotNull()).select(

@@ -83,6 +83,30 @@ def scan_run(
         raise
 
 
+def run_inventory(spark: SparkSession, path: str) -> DataFrame:
+    """dt, stamp: the runs of a stored table and when their newest file was written, from the list of its files alone.
+
+    A table that is not there has no runs.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet")
+    try:
+        files = files.load(path)
+    except AnalysisException as fault:
+        if fault.getCondition() == "PATH_NOT_FOUND":
+            return spark.createDataFrame([], f"{RUN_COLUMN} string, stamp long")
+        raise
+    run = F.regexp_extract("path", rf"/{RUN_COLUMN}=([^/]+)/", 1)
+    return files.select(run.alias(RUN_COLUMN), F.unix_micros("modificationTime").alias("stamp")).groupBy(RUN_COLUMN).agg(F.max("stamp").alias("stamp"))
+
+
+def runs_to_build(spark: SparkSession, bronze: str, silver: str) -> list[str]:
+    """Runs whose base feed has landed and that are not in ``silver``, or landed again since they were built."""
+    landed = run_inventory(spark, f"{bronze}/{BASE_FEED}")
+    built = run_inventory(spark, silver).withColumnRenamed("stamp", "_built")
+    due = landed.join(built, RUN_COLUMN, "left").where(F.col("_built").isNull() | (F.col("stamp") > F.col("_built")))
+    return [r[0] for r in due.select(RUN_COLUMN).orderBy(RUN_COLUMN).collect()]  # a row a run
+
+
 def scan_feeds(spark: SparkSession, root: str, run_dt: str | Sequence[str]) -> dict[str, DataFrame | None]:
     """All feeds of a run or several; each run must have the base feed."""
     runs = [run_dt] if isinstance(run_dt, str) else list(run_dt)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from galecast.operators.asof import asof_rows
 from galecast.plans import gold
-from galecast.sources.tables import interleaved, read_table, write_clustered, write_table
+from galecast.sources.tables import interleaved, read_table, runs_to_build, write_clustered, write_table
 from galecast.streaming import daily, dedupe
 
 SCORED = "dt string, admin_names string, fcstDate string, fcstTime string, R_total double"
@@ -81,6 +81,23 @@ def test_gold_reads_only_runs_that_are_new_or_written_again(spark, tmp_path):
     assert table(read_table(spark, out)) == table(gold.daily(read_table(spark, silver)))
 
 
+def test_runs_to_build(spark, tmp_path):
+    bronze, silver = str(tmp_path / "bronze"), str(tmp_path / "silver")
+
+    def put(path, *runs):
+        write_table(spark.createDataFrame([(r, 1) for r in runs], "dt string, nx int"), path, ["dt"])
+
+    put(f"{bronze}/ultra_shortfcst", "2025080100", "2025080106")
+    assert runs_to_build(spark, bronze, silver) == ["2025080100", "2025080106"]
+    put(silver, "2025080100")
+    assert runs_to_build(spark, bronze, silver) == ["2025080106"]
+    put(silver, "2025080106")
+    assert runs_to_build(spark, bronze, silver) == []
+    put(f"{bronze}/ultra_shortfcst", "2025080100")  # landed again
+    assert runs_to_build(spark, bronze, silver) == ["2025080100"]
+    assert runs_to_build(spark, str(tmp_path / "nowhere"), silver) == []
+
+
 def test_summary_is_counted_while_writing(spark, tmp_path):
     silver = str(tmp_path / "silver")
     rows = spark.createDataFrame([("a", "20250801", "0300", 1, 1, 0.7, "2025080100"), ("b", "20250801", "0300", 1, 2, 0.1, "2025080100"), ("b", "20250801", "0200", 1, 2, 0.9, "2025080100")],
