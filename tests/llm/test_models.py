@@ -248,3 +248,55 @@ def test_license_scan(spark, odd_docs, no_docs):
     assert "Python" not in plan and "Arrow" not in plan
     assert licenses.scan(no_docs, model).count() == 0
     assert licenses.train(no_docs).families == model.families
+
+
+def plain_license(text: str, model: licenses.LicenseModel) -> set:
+    """Families confirmed in a text, line by line, from the weights alone."""
+    found = set()
+    for line in (text or "").split("\n"):
+        words = [w.rstrip(".") if w.endswith(".") else w for w in re.sub(r"[^\w.]+|_", " ", line.lower()).split()]
+        words = [w for w in words if w]
+        def of(n):
+            return {" ".join(words[i : i + n]) for i in range(len(words) - n + 1)}
+        sums = list(model.intercepts)
+        terms = [t for t in of(1) | of(2) | of(3) if t in model.weights]
+        if not terms or not set(words) & set(model.anchors):
+            continue
+        for t in terms:
+            sums = [s + w for s, w in zip(sums, model.weights[t])]
+        odds = [math.exp(min(s, 50.0)) for s in sums]
+        best = max(zip(odds, model.families))
+        if sum(odds) / (1 + sum(odds)) < model.threshold:
+            continue
+        for template in licenses.TEMPLATES[best[1]]:
+            t = [w.rstrip(".") for w in re.sub(r"[^\w.]+|_", " ", template.lower()).split()]
+            t = [w for w in t if w]
+            pairs = {" ".join(t[i : i + 2]) for i in range(len(t) - 1)}
+            shared = len(pairs & of(2))
+            if shared >= 0.5 * min(len(of(2)), len(pairs)) and shared >= min(6, 0.75 * len(pairs)):
+                found.add(best[1])
+    return found
+
+
+def test_licenses_against_plain_scores_where_a_third_of_the_rows_has_headers(spark):
+    rng = random.Random(12)
+    families = ["Apache-2.0", "MIT", "ISC", "GPL-2.0", "AGPL-3.0"]
+    rows, truth = [], {}
+    for i in range(600):
+        body = "\n".join(sentence(rng, "en", 12) for _ in range(4))
+        if i % 3 == 0:
+            family = families[0] if i % 6 == 0 else rng.choice(families)
+            words = rng.choice([t for t in licenses.TEMPLATES[family] if len(t.split()) > 20] or licenses.TEMPLATES[family]).split()
+            header = "\n".join(" * " + " ".join(words[k : k + 12]) for k in range(0, len(words), 12))  # wrapped, behind comment signs
+            rows.append((i, header + "\n" + body))
+            truth[i] = family
+        else:
+            rows.append((i, body))
+    rows += [(1000, "a copy of this software"), (1001, "Licensed under the terms"), (1002, "SPDX-License-Identifier: ISC"), (1003, "SPDX-License-Identifier: WTFPL")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    model = licenses.train(docs)
+    got = {r.doc_id: set(r.families.split(",")) - {""} for r in licenses.scan(docs, model).collect()}
+    assert {i: f for i, f in got.items() if f} == {i: f for i, t in rows if (f := plain_license(t, model))}
+    assert sum(truth[i] in got[i] for i in truth) >= 0.9 * len(truth)
+    assert sum(bool(got[i]) for i, _ in rows if i < 1000 and i not in truth) <= 2
+    assert not got[1000] and not got[1001] and got[1002] == {"ISC"} and not got[1003]
