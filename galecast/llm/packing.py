@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from galecast.llm.session import ready, written
 from galecast.llm.textblocks import text_blocks
-from galecast.llm.tokens import encoder
+from galecast.llm.tokens import REMEMBERED, encoder
 
 CAPACITY = 4096
 SHARD_DOCS = 8192
@@ -248,9 +248,9 @@ def _pack_shard(capacity: int, steps: int, tail_round: bool):
     return pack
 
 
-def _piece_maker(tokenizer: str, end_id: int, capacity: int):
+def _piece_maker(tokenizer: str, end_id: int, capacity: int, remembered: int):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer, False).encode
+        encode = encoder(tokenizer, False, remembered).encode
         for batch, data, off in text_blocks(batches):
             ids, ends = encode(data, off, end_id)
             ids = ids.astype("<u4")
@@ -270,11 +270,14 @@ def _piece_maker(tokenizer: str, end_id: int, capacity: int):
     return cut
 
 
-def pieces(docs: DataFrame, tokenizer: str, end_id: int = 1, capacity: int = CAPACITY) -> DataFrame:
-    """doc_id, piece, start, length, ids_crc32 of all documents; null text is empty and has the end id alone."""
+def pieces(docs: DataFrame, tokenizer: str, end_id: int = 1, capacity: int = CAPACITY, remembered: int = REMEMBERED) -> DataFrame:
+    """doc_id, piece, start, length, ids_crc32 of all documents; null text is empty and has the end id alone.
+
+    A worker remembers the ids of at most twice ``remembered`` chunks.
+    """
     ready(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    return rows.mapInArrow(_piece_maker(tokenizer, end_id, capacity), PIECES)
+    return rows.mapInArrow(_piece_maker(tokenizer, end_id, capacity, remembered), PIECES)
 
 
 def pack(found: DataFrame, n_docs: int, capacity: int = CAPACITY, steps: int = SEARCH_STEPS) -> DataFrame:
@@ -294,6 +297,8 @@ def pack(found: DataFrame, n_docs: int, capacity: int = CAPACITY, steps: int = S
     return first.where("not tail").unionByName(tails).drop("tail")
 
 
-def pack_documents(docs: DataFrame, tokenizer: str, end_id: int = 1, capacity: int = CAPACITY) -> DataFrame:
+def pack_documents(
+    docs: DataFrame, tokenizer: str, end_id: int = 1, capacity: int = CAPACITY, remembered: int = REMEMBERED
+) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset for all pieces of all documents."""
-    return pack(pieces(docs, tokenizer, end_id, capacity), docs.count(), capacity)
+    return pack(pieces(docs, tokenizer, end_id, capacity, remembered), docs.count(), capacity)

@@ -6,6 +6,7 @@ A word is ``[^\\x20\\x09-\\x0D]+``; bytes of other characters are never white sp
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -46,7 +47,10 @@ def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 def text_blocks(
     batches: Iterable[pa.RecordBatch], text: str = "text", size: int = BLOCK_BYTES, rows: int = BLOCK_ROWS
 ) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
-    """Rows with their bytes and offsets, about ``size`` bytes and ``rows`` rows at a time; a longer text is a block of its own."""
+    """Rows with their bytes and offsets, about ``size`` bytes and ``rows`` rows at a time; a longer text is a block of its own.
+
+    With the last block the worker, which stays for later tasks, gives back what it does not need.
+    """
     for batch in batches:
         data, off = text_buffers(batch.column(text))
         i, n = 0, batch.num_rows
@@ -55,6 +59,18 @@ def text_blocks(
             j = min(max(j, i + 1), i + rows, n)
             yield batch.slice(i, j - i), data[off[i] : off[j]], off[i : j + 1] - off[i]
             i = j
+        del data, off, batch
+    give_back()
+
+
+def give_back() -> None:
+    """Free memory that this process holds but does not use goes back to the system."""
+    _powers.clear()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another libc
+        pass
 
 
 def words(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -25,14 +25,15 @@ KIND[[c for c in range(33, 127) if not chr(c).isalnum()]] = 2
 KIND[[c for c in range(65, 123) if chr(c).isalpha()]] = 1
 KIND[ord("'")] = 3
 
-_encoders: dict[tuple[str, bool], "ChunkEncoder"] = {}
+REMEMBERED = 200_000
+_encoders: dict[tuple[str, bool, int], "ChunkEncoder"] = {}
 
 
-def encoder(path: str, spaces_matter: bool) -> "ChunkEncoder":
+def encoder(path: str, spaces_matter: bool, remembered: int = REMEMBERED) -> "ChunkEncoder":
     """One encoder per worker process, so that what it remembers serves later tasks too."""
-    key = (path, spaces_matter)
+    key = (path, spaces_matter, remembered)
     if key not in _encoders:
-        _encoders[key] = ChunkEncoder(path, spaces_matter)
+        _encoders[key] = ChunkEncoder(path, spaces_matter, remembered)
     return _encoders[key]
 
 
@@ -88,7 +89,7 @@ class ChunkEncoder:
     Bytes that are no UTF-8 count as U+FFFD.
     """
 
-    def __init__(self, path: str, spaces_matter: bool, remembered: int = 200_000):
+    def __init__(self, path: str, spaces_matter: bool, remembered: int = REMEMBERED):
         self.tokenizer = Tokenizer.from_file(path)
         self.specials = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.spaces_matter = spaces_matter
