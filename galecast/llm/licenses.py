@@ -3,9 +3,10 @@
 Paragraphs are the lines of a text. A sparse logistic regression over word
 1-, 2- and 3-grams tells licence families from ordinary text. It learns from
 template paragraphs and spans of them, from sentences that use such words
-otherwise, and from a bounded, hashed sample of the corpus. The least
-probability that counts is set on a part of that sample kept from training, so
-that next to no ordinary paragraph reaches it; below it a paragraph is unknown.
+otherwise, and from all paragraphs of the corpus, where those with the same
+terms are one weighted example. The least probability that counts is set on a
+quarter of the paragraphs kept from training, so that next to no ordinary
+paragraph reaches it; below it a paragraph is unknown.
 A family found is confirmed where the paragraph and one of its templates share
 enough word pairs: half of those of the shorter, and ``LEAST_SHARED`` of them or,
 of a short template, nearly all. What a template confirms by this measure is
@@ -19,6 +20,7 @@ that could leave the unknown class, and its n-grams are never spelled out.
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
@@ -28,12 +30,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from galecast.llm.license_texts import OTHER_USES, TEMPLATES
+from galecast.llm.session import ready, written
 
 UNKNOWN = "unknown"
 BACKGROUND = 4000
 VOCABULARY = 1 << 14
 COMMON_SHARE = 0.01
 FALSE_SHARE = 0.001
+STEPS = 1 << 16
 LEAST_PROBABILITY = 0.5
 LEAST_OVERLAP = 0.5
 LEAST_SHARED = 6
@@ -52,6 +56,12 @@ def normal_words(text: Column) -> Column:
     return F.filter(F.split(F.regexp_replace(cleaned, r"\.(?= |$)", ""), " "), lambda w: w != "")
 
 
+def _plain_words(text: str) -> list[str]:
+    """``normal_words`` of a template, which has letters and digits of ASCII only."""
+    cleaned = re.sub(r"[^a-z0-9.]+", " ", text.lower())
+    return [w for w in re.sub(r"\.(?= |$)", "", cleaned).split(" ") if w]
+
+
 def grams(words: Column, sizes: Sequence[int]) -> Column:
     """Distinct word n-grams of the given sizes, joined by blanks; array."""
 
@@ -103,44 +113,86 @@ def paragraphs_of(docs: DataFrame) -> DataFrame:
     return lines.where(F.col("paragraph").rlike(r"\p{L}"))
 
 
-def _background(docs: DataFrame, limit: int) -> DataFrame:
-    """At most ``limit`` hashed paragraphs of the corpus, of at most so many documents, without those that a template confirms."""
-    share = min(1.0, 2 * (limit // 4) / max(1, docs.count()))  # so that few texts are sent to be sorted
-    keyed = docs.where("text is not null").select("doc_id", "text", F.xxhash64("doc_id", F.lit("licence")).alias("key"))
-    chosen = keyed.where(F.pmod("key", F.lit(1 << 30)) < int(share * (1 << 30))).orderBy("key", "text").limit(limit // 4)
-    lines = paragraphs_of(chosen).withColumn("key", F.xxhash64("paragraph", "doc_id", "line")).orderBy("key").limit(limit)
-    words = lines.withColumn("words", normal_words(F.col("paragraph"))).where(F.size("words") > 0)
-    pairs = words.withColumn("pairs", grams(F.col("words"), (2,))).select("key", F.size("pairs").alias("n_pairs"), F.explode("pairs").alias("pair"))
-    spoken = pairs.join(F.broadcast(_template_grams(docs.sparkSession)), "pair").groupBy("key", "family", "template").agg(
-        F.count(F.lit(1)).alias("shared"), F.min("n_pairs").alias("n_pairs"), F.min("template_size").alias("template_size")
-    ).where(_speaks(F.col("shared"), F.col("n_pairs"), F.col("template_size")))
-    return words.join(spoken.select("key").distinct(), "key", "left_anti").select("key", "words")
+def _ordinary(docs: DataFrame) -> DataFrame:
+    """fold, terms, n: every paragraph of the corpus that no template confirms, those with equal terms counted in one row.
+
+    ``terms`` are the distinct 1-, 2- and 3-grams of words that templates have,
+    sorted; no other n-gram can be in the vocabulary. A quarter of the
+    paragraphs, by their hash, is fold 0. Stored, as training reads it often.
+    """
+    templates = [normal for paragraphs in _template_words().values() for normal in paragraphs]
+    pairs = [sorted({" ".join(x) for x in zip(w, w[1:])}) for w in templates]
+    spoken_pairs = sorted({x for each in pairs for x in each})
+    fewest = min(min(float(LEAST_SHARED), SHORT_SHARE * len(each)) for each in pairs)
+    listed = F.from_json(F.lit(json.dumps([{"size": len(x), "pairs": x} for x in pairs])), "array<struct<size: int, pairs: array<string>>>")
+
+    lines = paragraphs_of(docs.select("doc_id", "text"))
+    worded = lines.select(F.xxhash64("paragraph", "doc_id", "line").alias("key"), normal_words(F.col("paragraph")).alias("words"))
+    known = F.transform("words", lambda w: F.when(w.isin(sorted({x for w in templates for x in w})), w).otherwise(""))
+    runs = F.filter(F.split(F.btrim(F.array_join(known, " ")), " {2,}"), lambda run: run != "")
+    termed = worded.withColumn("runs", runs).withColumn(
+        "terms", F.array_sort(F.array_distinct(F.flatten(F.transform("runs", lambda run: grams(F.split(run, " "), (1, 2, 3))))))
+    )
+    # Few paragraphs share word pairs enough with all templates together to be compared with each.
+    near = F.size(F.filter("terms", lambda t: t.isin(spoken_pairs))) >= fewest
+    paired = termed.withColumn("pairs", F.when(near, grams(F.col("words"), (2,))))
+    confirmed = F.exists(listed, lambda t: _speaks(F.size(F.array_intersect(t["pairs"], F.col("pairs"))), F.size("pairs"), t["size"]))
+    judged = paired.select(
+        F.when(F.pmod("key", F.lit(4)) == 0, 0).otherwise(1).alias("fold"), "terms",
+        (F.col("pairs").isNull() | ~confirmed).alias("ordinary"),
+    )
+    counted = written(judged.groupBy("fold", "terms", "ordinary").agg(F.count(F.lit(1)).alias("n")), "paragraphs")
+    return counted.where("ordinary").drop("ordinary")
+
+
+def _template_words() -> dict[str, list[list[str]]]:
+    """Words of every template paragraph, as ``normal_words`` gives them."""
+    return {f: [_plain_words(p) for p in paragraphs] for f, paragraphs in TEMPLATES.items()}
+
+
+def _reached(probabilities: DataFrame) -> float:
+    """The probability that at most ``FALSE_SHARE`` of the rows (probability, n) are above, counted in steps of 1 / ``STEPS``."""
+    steps = probabilities.groupBy(F.floor(F.col("probability") * STEPS).alias("step")).agg(F.sum("n").alias("n"), F.max("probability").alias("most")).collect()
+    above, allowed = 0, FALSE_SHARE * sum(r["n"] for r in steps)
+    for row in sorted(steps, key=lambda r: -r["step"]):
+        above += row["n"]
+        if above > allowed:
+            return row["most"]
+    return 0.0
 
 
 def train(docs: DataFrame, background: int = BACKGROUND) -> LicenseModel:
-    """Learns from the templates and a bounded sample of ``docs``; an empty table leaves the templates alone."""
-    spark = docs.sparkSession
+    """Learns from the templates and all paragraphs of ``docs``; an empty table leaves the templates alone.
+
+    Paragraphs of the corpus weigh together as much as ``background`` sentences
+    of other uses at most, so that a large corpus does not drown these.
+    """
+    spark = ready(docs.sparkSession)
     rows = [{"family": f, "paragraph": p} for f, paragraphs in TEMPLATES.items() for p in paragraphs]
     rows += [{"family": UNKNOWN, "paragraph": p} for p in OTHER_USES]
-    known = _spans(_table(spark, rows, "family: string, paragraph: string")).withColumn("fold", F.lit(1))
-    corpus = _background(docs, background).select(F.lit(UNKNOWN).alias("family"), "words", F.when(F.pmod("key", F.lit(4)) == 0, 0).otherwise(1).alias("fold")).cache()
-    examples = known.unionByName(corpus).withColumn("terms", grams(F.col("words"), (1, 2, 3))).cache()
-    n_ordinary = max(1, corpus.count())
-    # Words of ordinary paragraphs; a term is as telling as its rarest word.
-    common = {
-        r["word"]: r["n"] for r in corpus.select(F.explode(F.array_distinct("words")).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
-        .orderBy(F.desc("n"), "word").limit(VOCABULARY).collect()
-    }
-    learned = examples.where("fold = 1")
+    spans = _spans(_table(spark, rows, "family: string, paragraph: string"))
+    known = spans.select("family", grams(F.col("words"), (1, 2, 3)).alias("terms"), F.lit(1.0).alias("weight")).cache()
+    corpus = _ordinary(docs)
+    sizes = {r["fold"]: r["n"] for r in corpus.groupBy("fold").agg(F.sum("n").alias("n")).collect()}
+    n_ordinary = max(1, sum(sizes.values()))
+    # In how many ordinary paragraphs a word is; a term is as telling as its rarest word.
+    words = corpus.select("n", F.explode("terms").alias("word")).where(~F.col("word").contains(" "))
+    common = {r["word"]: r["n"] for r in words.groupBy("word").agg(F.sum("n").alias("n")).collect()}  # words of templates
+    share = min(1.0, 0.75 * background / max(1, sizes.get(1, 0)))
+    learned = known.unionByName(
+        corpus.where("fold = 1").select(F.lit(UNKNOWN).alias("family"), "terms", (F.col("n") * share).alias("weight"))
+    )
     # Families weigh alike, and all of them together as much as ordinary text.
-    counts = learned.groupBy("family").count()
-    weighted = learned.join(F.broadcast(counts), "family").withColumn("weight", F.when(F.col("family") == UNKNOWN, float(len(TEMPLATES))).otherwise(1.0) / F.col("count"))
+    totals = {r["family"]: r["total"] for r in known.groupBy("family").agg(F.sum("weight").alias("total")).collect()}
+    totals[UNKNOWN] += share * sizes.get(1, 0)
+    each = F.create_map(*[F.lit(x) for f, total in totals.items() for x in (f, (len(TEMPLATES) if f == UNKNOWN else 1) / total)])
+    weighted = learned.withColumn("weight", F.col("weight") * each[F.col("family")])
     vectors = CountVectorizer(inputCol="terms", outputCol="features", binary=True, vocabSize=VOCABULARY).fit(
-        weighted.where(F.col("family") != UNKNOWN)  # what no licence says tells none from another
+        known.where(F.col("family") != UNKNOWN)  # what no licence says tells none from another
     )
-    labels = StringIndexer(inputCol="family", outputCol="label", stringOrderType="alphabetAsc").fit(weighted)
+    labels = StringIndexer(inputCol="family", outputCol="label", stringOrderType="alphabetAsc").fit(known)
     model = LogisticRegression(weightCol="weight", family="multinomial", maxIter=100, regParam=2e-6, elasticNetParam=0.5, standardization=False).fit(
-        labels.transform(vectors.transform(weighted))
+        labels.transform(vectors.transform(weighted)).select("label", "features", "weight")
     )
     at = labels.labels.index(UNKNOWN)
     families = [x for x in labels.labels if x != UNKNOWN]
@@ -156,11 +208,10 @@ def train(docs: DataFrame, background: int = BACKGROUND) -> LicenseModel:
         elif max(margin) <= 1e-9 and min(margin) < -1e-9:
             weights[term] = margin
     unscaled = LicenseModel(families, weights, [float(intercepts[p] - intercepts[at]) for p in places], sorted(anchors), 0.0)
-    kept = examples.where("fold = 0").select(F.monotonically_increasing_id().alias("doc_id"), F.lit(0).alias("line"), "words")
-    reached = _probabilities(kept, unscaled).agg(F.percentile_approx("probability", 1 - FALSE_SHARE, 10_000)).first()[0]
-    examples.unpersist()
-    corpus.unpersist()
-    return LicenseModel(families, weights, unscaled.intercepts, unscaled.anchors, max(LEAST_PROBABILITY, reached or 0.0))
+    kept = corpus.where("fold = 0").select("terms", "n")
+    reached = _reached(_term_probabilities(kept.withColumn("term", F.explode("terms")), ["terms", "n"], unscaled))
+    known.unpersist()
+    return LicenseModel(families, weights, unscaled.intercepts, unscaled.anchors, max(LEAST_PROBABILITY, reached))
 
 
 def _probabilities(paragraphs: DataFrame, model: LicenseModel) -> DataFrame:
@@ -169,18 +220,23 @@ def _probabilities(paragraphs: DataFrame, model: LicenseModel) -> DataFrame:
     ``probability`` is that of any family, one minus that of ``unknown``: close
     relatives may share it. ``family`` is the most probable one. Rows that repeat in all three columns are one paragraph.
     """
-    spark = paragraphs.sparkSession
-    rows = [{"term": t, "w": w} for t, w in model.weights.items()]
-    weights = F.broadcast(_table(spark, rows, "term: string, w: array<double>"))  # at most VOCABULARY terms
+    keys = ["doc_id", "line", "words"]
     terms = paragraphs.distinct().withColumn("term", F.explode(grams(F.col("words"), (1, 2, 3))))
-    sums = terms.join(weights, "term").groupBy("doc_id", "line", "words").agg(
+    return _term_probabilities(terms, keys, model)
+
+
+def _term_probabilities(terms: DataFrame, keys: Sequence[str], model: LicenseModel) -> DataFrame:
+    """``keys``, family, probability of whatever ``keys`` tell apart, from rows of its terms."""
+    rows = [{"term": t, "w": w} for t, w in model.weights.items()]
+    weights = F.broadcast(_table(terms.sparkSession, rows, "term: string, w: array<double>"))  # at most VOCABULARY terms
+    sums = terms.join(weights, "term").groupBy(*keys).agg(
         *[F.sum(F.col("w")[i]).alias(f"s{i}") for i in range(len(model.families))]
     )
     odds = [F.exp(F.least(F.col(f"s{i}") + F.lit(model.intercepts[i]), F.lit(50.0))) for i in range(len(model.families))]
     options = F.array(*[F.struct(o.alias("odds"), F.lit(f).alias("family")) for o, f in zip(odds, model.families)])
     total = F.aggregate(F.array(*odds), F.lit(1.0), lambda a, b: a + b)
     best = sums.withColumn("best", F.array_max(options)).withColumn("total", total)
-    return best.select("doc_id", "line", "words", F.col("best.family").alias("family"), ((F.col("total") - 1) / F.col("total")).alias("probability"))
+    return best.select(*keys, F.col("best.family").alias("family"), ((F.col("total") - 1) / F.col("total")).alias("probability"))
 
 
 def licensed_paragraphs(docs: DataFrame, model: LicenseModel) -> DataFrame:

@@ -300,3 +300,15 @@ def test_licenses_against_plain_scores_where_a_third_of_the_rows_has_headers(spa
     assert sum(truth[i] in got[i] for i in truth) >= 0.9 * len(truth)
     assert sum(bool(got[i]) for i, _ in rows if i < 1000 and i not in truth) <= 2
     assert not got[1000] and not got[1001] and got[1002] == {"ISC"} and not got[1003]
+
+
+def test_licenses_learn_from_every_paragraph(spark):
+    rng = random.Random(3)
+    rows = [(i, "\n".join([sentence(rng, "en", 12), "no copyright applies here" if i % 10 == 0 else "nothing applies here"])) for i in range(600)]
+    rows += [(1000 + i, "Released under the MIT License.") for i in range(50)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = licenses._ordinary(docs)
+    assert found.agg(F.sum("n")).first()[0] == 1200  # all lines but those that a template confirms
+    model = licenses.train(docs, background=8)
+    assert "copyright" not in model.anchors  # in a twentieth of all paragraphs, whatever eight of them hold
+    assert {r.doc_id for r in licenses.scan(docs, model).where("license = 'MIT'").collect()} == {r[0] for r in rows[600:]}
