@@ -237,7 +237,7 @@ def percentile_minmax(t: Tables) -> DataFrame:
     df = t("fx_ty_runs").select("dt", "seq", "TY_DISTANCE_KM")
     edges = scope_percentiles(df, F.col("TY_DISTANCE_KM"), RUN, (0.05, 0.95), ("p5", "p95"))
     scaled = S.percentile_scale(F.col("TY_DISTANCE_KM"), F.col("p5"), F.col("p95"))
-    placed = join_scope(df, edges, RUN)
+    placed = join_scope(df, edges, RUN, few=True)
     return placed.select("dt", "seq", r6("p5").alias("p5"), r6("p95").alias("p95"), r6(scaled).alias("scaled"))
 
 

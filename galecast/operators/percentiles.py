@@ -30,19 +30,21 @@ RUN = ("dt",)
 Measure = tuple[Column, Sequence[float], Sequence[str]]
 
 
-def join_scope(df: DataFrame, table: DataFrame, scope: Sequence[str], how: str = "left") -> DataFrame:
+def join_scope(df: DataFrame, table: DataFrame, scope: Sequence[str], how: str = "left", few: bool = False) -> DataFrame:
     """Add a table with one row per scope to a table of any size.
 
     With no scope columns it is a single row, which the plan takes in as a value.
     Otherwise Spark chooses the join by size: the table is broadcast while it is
-    below the threshold, and beyond it full partitions are split.
+    below the threshold, and beyond it full partitions are split. ``few`` says
+    that scopes are few, such as runs: behind an aggregate Spark takes them for
+    many and would gather every run of ``df`` in one task before it knows.
     """
     scope = list(scope)
     if not scope:
         names = table.columns
         row = df.withColumn("_row", table.select(F.struct(*names)).scalar())
         return row.select(*df.columns, *[F.col("_row").getField(n).alias(n) for n in names])
-    return df.join(splittable(table, scope), scope, how)
+    return df.join(F.broadcast(table) if few else splittable(table, scope), scope, how)
 
 
 def counted_values(df: DataFrame, scope: Sequence[str], values: Sequence[Column]) -> DataFrame:

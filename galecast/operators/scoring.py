@@ -204,7 +204,7 @@ def prepare(
         flags |= {f"_{n}": c for n, c in wanted.flags.items()}
     ready = df
     if measures or flags:
-        ready = join_scope(df, scope_statistics(df, scope, measures, flags), scope)
+        ready = join_scope(df, scope_statistics(df, scope, measures, flags), scope, few=True)
     places: dict[str, Columns] = {}
     added: dict[str, Column] = {}
     for name, hazard in hazards.items():

@@ -162,3 +162,9 @@ def test_silver_reads_every_feed_once(spark, tmp_path, monkeypatch):
     assert len(plans) == 1 and plans[0].count("FileScan") == 4 and plans[0].count("Exchange hashpartitioning") == 4
     assert all(name not in final for name in ("ultra_shortfcst", "short_fcst", "/uv"))
     assert "/merged-" in final  # the stored rows, for the numbers of the run and for the scores
+
+
+def test_a_run_is_not_gathered_for_its_numbers(spark):
+    df = spark.range(1000).select(F.lit("r").alias("dt"), F.lit("0300").alias("fcstTime"), (F.col("id") % 11).cast("double").alias("TY_MAX_WIND"))
+    plan = scoring.score_all(df)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin [dt#" not in plan and "BroadcastHashJoin [dt#" in plan
