@@ -16,7 +16,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from galecast.functions.clock import epoch_seconds, hour_steps, plus_hours
+from galecast.functions.clock import epoch_seconds, plus_hours
 from galecast.operators.percentiles import join_scope
 
 CLAMP = "clamp"
@@ -107,11 +107,67 @@ def resample_hourly(
 ) -> DataFrame:
     """Each series at full hours counted from its first point, up to its last.
 
-    A series with a single time keeps it unchanged.
+    A series with a single time keeps it unchanged. Points must be unique per
+    series and time. Windows run over the points alone: every point knows the
+    one after it and the values on either side, and brings the hours between.
     """
-    span = points.groupBy(*series).agg(F.min(time).alias("_start"), F.max(time).alias("_end"))
-    hours = span.select(*series, F.explode(hour_steps(F.col("_start"), F.col("_end"))).alias(time))
-    return interpolate(points, hours, series, values, time, edges=INSIDE)
+    series, values = list(series), list(values)
+    known = [
+        F.when(F.col(v).isNotNull(), F.struct(F.col(time).alias("t"), F.col(v).cast("double").alias("v"))).alias(v)
+        for v in values
+    ]
+    rows = points.select(*series, F.col(time).alias("_t"), F.col(time).cast("date").alias("_day"), *known)
+    rows = rows.where(reduce(and_, [F.col(c).isNotNull() for c in [*series, "_day"]]))
+
+    # Within the day, by running windows over the points alone.
+    running = (Window.unboundedPreceding, Window.currentRow)
+    back = Window.partitionBy(*series, "_day").orderBy("_t")
+    ahead = Window.partitionBy(*series, "_day").orderBy(F.desc("_t"))
+    near = rows.select(
+        *series, "_t", "_day", F.lead("_t").over(back).alias("_next"),
+        *[F.last(v, ignorenulls=True).over(back.rowsBetween(*running)).alias(f"_p_{v}") for v in values],
+        *[F.last(v, ignorenulls=True).over(ahead.rowsBetween(Window.unboundedPreceding, -1)).alias(f"_n_{v}") for v in values],
+    )
+
+    # Beyond it, from one row per series and day.
+    days = rows.groupBy(*series, "_day").agg(
+        F.min("_t").alias("_first"), F.max("_t").alias("_last"),
+        *[F.max(v).alias(f"_l_{v}") for v in values], *[F.min(v).alias(f"_f_{v}") for v in values]
+    )
+    of_series = Window.partitionBy(*series)
+    before = of_series.orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
+    after = of_series.orderBy(F.desc("_day")).rowsBetween(Window.unboundedPreceding, -1)
+    days = days.select(
+        *series, "_day",
+        F.min("_first").over(of_series).alias("_start"),
+        F.lead("_first").over(of_series.orderBy("_day")).alias("_next_day"),
+        *[F.last(f"_l_{v}", ignorenulls=True).over(before).alias(f"_b_{v}") for v in values],
+        *[F.last(f"_f_{v}", ignorenulls=True).over(after).alias(f"_a_{v}") for v in values],
+    )
+    placed = near.join(days, [*series, "_day"]).select(
+        *series, "_t", "_start", F.coalesce("_next", "_next_day").alias("_next"),
+        *[F.coalesce(f"_p_{v}", f"_b_{v}").alias(f"_p_{v}") for v in values],
+        *[F.coalesce(f"_n_{v}", f"_a_{v}").alias(f"_n_{v}") for v in values],
+    )
+
+    # The full hours from a point up to, not including, the next one; of the last point only its own.
+    hour = 3_600_000_000
+
+    def full_hours(at: Column) -> Column:
+        return F.ceil(F.timestamp_diff("MICROSECOND", F.col("_start"), at) / hour).cast("int")
+
+    own = F.timestamp_diff("MICROSECOND", F.col("_start"), F.col("_t")) % hour == 0
+    last = F.when(F.col("_next").isNotNull(), full_hours(F.col("_next")) - 1).when(own, full_hours(F.col("_t")))
+    steps = F.when(last >= full_hours(F.col("_t")), F.sequence(full_hours(F.col("_t")), last))
+    hourly = placed.withColumn("_k", F.explode(steps)).withColumn(time, plus_hours(F.col("_start"), F.col("_k")))
+
+    def between(v: str) -> Column:
+        p, n, at = F.col(f"_p_{v}"), F.col(f"_n_{v}"), epoch_seconds(F.col(time))
+        p_at, n_at = epoch_seconds(p["t"]), epoch_seconds(n["t"])
+        line = p["v"] + (n["v"] - p["v"]) * ((at - p_at) / (n_at - p_at))
+        return F.when(p["t"] == F.col(time), p["v"]).when(p.isNotNull() & n.isNotNull(), line)
+
+    return hourly.select(*series, time, *[between(v).alias(v) for v in values])
 
 
 def interpolate_on_hours(

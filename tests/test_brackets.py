@@ -67,3 +67,18 @@ def test_one_track_is_read_once(spark, tmp_path):
         plan = final_plan(storm.positions_at(known, wanted))
     shuffles = [x for x in plan.splitlines() if "Exchange hashpartitioning" in x and "Reused" not in x]
     assert len(shuffles) <= 5 and "explode(sequence" not in plan
+
+
+def test_hours_are_resampled_from_windows_over_the_points(spark):
+    rows = [("a", f"2025-08-0{d} {h:02}:{m:02}:00", v, w) for d, h, m, v, w in (
+        (1, 0, 20, 1.0, None), (1, 3, 20, None, 5.0), (1, 3, 50, 4.0, None), (2, 1, 0, None, None), (4, 2, 20, 9.0, 7.0), (4, 2, 30, 2.0, 8.0))]
+    rows += [("b", "2025-08-01 05:07:00", 3.0, None), (None, "2025-08-01 05:07:00", 3.0, None), ("c", None, 3.0, None)]
+    known = spark.createDataFrame(rows, "storm string, time string, lat double, lon double").withColumn("time", F.col("time").cast("timestamp_ntz"))
+    got = resample_hourly(known, ["storm"], ["lat", "lon"])
+    hours = known.groupBy("storm").agg(F.min("time").alias("a"), F.max("time").alias("z")).select(
+        "storm", F.explode(F.sequence("a", "z", F.expr("INTERVAL 1 HOUR"))).alias("time")
+    )
+    wanted = interpolate(known, hours, ["storm"], ["lat", "lon"], edges="inside")
+    assert sorted(map(str, got.collect())) == sorted(map(str, wanted.collect()))
+    assert got.count() == 76
+    assert "Union" not in got._jdf.queryExecution().optimizedPlan().toString()  # hours meet no window
