@@ -16,9 +16,8 @@ from galecast.llm.session import fresh_path, ready
 
 def identified_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows in a language that was learned; texts without a letter, and those not fluent in the language that claims them, go."""
-    sample = language.training_sample(docs, fold(5) != 0)
-    model = language.fit([text for text, _ in sample], [lang for _, lang in sample])
-    fluency = language.fit_fluency(model.languages, sample, language.training_sample(docs, fold(5) == 0))
+    model = language.learn(docs, fold(5) != 0)
+    fluency = language.learn_fluency(docs, fold(5) != 0, fold(5) == 0, model.languages)
     return language.identify(docs, model, fluency).where("fluent").select(*docs.columns)
 
 

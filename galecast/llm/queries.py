@@ -48,7 +48,7 @@ def op3_class_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
-    model = language.fit(*_columns(language.training_sample(docs, fold(5) != 0)))
+    model = language.learn(docs, fold(5) != 0)
     found = language.identify(docs.select("doc_id", "text"), model)
     return found.select("doc_id", held_out(fold(5) == 0), "lang_pred", "score")
 

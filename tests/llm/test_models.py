@@ -8,6 +8,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
 from galecast.llm import brown, language, licenses, quality
@@ -312,3 +313,27 @@ def test_licenses_learn_from_every_paragraph(spark):
     model = licenses.train(docs, background=8)
     assert "copyright" not in model.anchors  # in a twentieth of all paragraphs, whatever eight of them hold
     assert {r.doc_id for r in licenses.scan(docs, model).where("license = 'MIT'").collect()} == {r[0] for r in rows[600:]}
+
+
+def test_language_learns_from_every_row(spark, odd_docs):
+    d = odd_docs.select("doc_id", "text", "lang")
+    rows = [r for r in d.select("text", "lang").where((fold(5) != 0) & F.col("lang").isNotNull() & F.col("text").isNotNull()).orderBy(F.xxhash64("doc_id", F.lit("lang")), "text").collect()]
+    model, plain = language.learn(d, fold(5) != 0, 3), language.fit([r.text for r in rows], [r.lang for r in rows], 3)
+    assert model.languages == plain.languages and np.array_equal(model.grams, plain.grams)
+    assert np.allclose(model.weights, plain.weights, atol=1e-3) and np.allclose(model.bias, plain.bias, atol=1e-3)
+
+
+def test_fluency_counts_every_row(spark):
+    rng = random.Random(4)
+    rows = [(i, sentence(rng, "en", 8), "en") for i in range(3000)] + [(5000, "qqq zzz qqq", "en")]
+    d = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    fluency = language.learn_fluency(d, F.lit(True), F.col("doc_id") % 2 == 0, ["en"])
+    codes = Counter(c for t in pa.array([r[1] for r in rows]).to_pylist() for _, part in language.letter_trigrams(pa.array([t])) for c in part.tolist())
+    prefixes = Counter()
+    for c, n in codes.items():
+        prefixes[c >> 8] += n
+    wanted = {c: math.log10(n / prefixes[c >> 8]) for c, n in codes.items() if n / prefixes[c >> 8] > 1e-4}
+    assert dict(zip(fluency.grams.tolist(), fluency.logs[:-1, 0].tolist())) == pytest.approx(wanted, abs=1e-5)
+    given = pa.array([t for i, t, _ in rows if i % 2 == 0])
+    value, n = fluency.values(given, np.zeros(len(given), int), fluency.column_of())
+    assert fluency.least[0] <= np.quantile(value + language.SLACK / np.sqrt(n), language.CLEAN_SHARE) + 1e-9

@@ -165,7 +165,7 @@ def test_silver_reads_every_feed_once(spark, tmp_path, monkeypatch):
 
 
 def test_a_run_is_not_gathered_for_its_numbers(spark):
-    df = spark.range(1000).select(F.lit("r").alias("dt"), F.lit("0300").alias("fcstTime"), (F.col("id") % 11).cast("double").alias("TY_MAX_WIND"))
+    df = spark.range(1000).select(same("2025080103").alias("dt"), F.lit("0300").alias("fcstTime"), (F.col("id") % 11).cast("double").alias("TY_MAX_WIND"))
     plan = scoring.score_all(df)._jdf.queryExecution().executedPlan().toString()
     to_rows = [x for x in plan.splitlines() if "LeftOuter" in x]
     assert len(to_rows) == 1 and "BroadcastHashJoin [dt#" in to_rows[0]
