@@ -8,7 +8,8 @@ that is run again changes nothing, responses of a run may come in several
 batches, and no response is lost: every one is in exactly one part.
 
 All runs of a batch are built in one plan: what follows from the time of a poll
-(bases to look back to, target hours) is an expression of the run column.
+(bases to look back to, target hours) is worked out once a run and joined to the
+items by the run column.
 """
 
 from __future__ import annotations
@@ -87,6 +88,22 @@ def poll_clock() -> Column:
     return compact_clock(F.concat(F.col(RUN_COLUMN), F.lit("00")))
 
 
+def poll_times(spark: SparkSession, runs: Sequence[str]) -> DataFrame:
+    """One row per run with what follows from the time of its poll.
+
+    ``_nowcast`` and ``_forecast`` are the newest published bases, ``_start`` and
+    ``_after_issue`` the first hour wanted of the short-range forecast and the
+    one after its issue. As expressions of the rows themselves they would be
+    worked out anew in every filter of every item.
+    """
+    asked = spark.range(1, numPartitions=1).select(F.explode(F.array(*[F.lit(r) for r in dict.fromkeys(runs)])).alias(RUN_COLUMN))
+    after_issue = plus_hours(issue_time(poll_clock()), 1)
+    return asked.select(
+        RUN_COLUMN, nowcast_base(poll_clock()).alias("_nowcast"), forecast_base(poll_clock()).alias("_forecast"),
+        F.greatest(after_issue, floor_hour(poll_clock())).alias("_start"), after_issue.alias("_after_issue"),
+    )
+
+
 def _fields(rows: DataFrame, names: Sequence[str]) -> DataFrame:
     """Named values of the item maps; ``order`` says which item came later."""
     return rows.select(
@@ -101,24 +118,30 @@ def _cell_items(rows: DataFrame, part: str) -> DataFrame:
     return filled.withColumns({c: time_text(F.col(c)) for c in ("fcstTime", "baseTime")})
 
 
-def nowcast_feed(rows: DataFrame) -> DataFrame:
+def _polled(items: DataFrame, polls: DataFrame, *times: str) -> DataFrame:
+    """Items with the named times of their poll; a run has one row in ``polls``."""
+    return items.join(F.broadcast(polls.select(RUN_COLUMN, *times)), RUN_COLUMN)
+
+
+def nowcast_feed(rows: DataFrame, polls: DataFrame) -> DataFrame:
     """The newest published nowcast of every run and cell, looking back over a few bases."""
-    items = latest_base(_cell_items(rows, "ultra_nowcast"), nowcast_base(poll_clock()), keys=(RUN_COLUMN, "nx", "ny"))
+    items = _polled(_cell_items(rows, "ultra_nowcast"), polls, "_nowcast")
+    items = latest_base(items, F.col("_nowcast"), keys=(RUN_COLUMN, "nx", "ny"))
     return wide.latest_wide(items.drop("fcstDate", "fcstTime", "fcstValue"), wide.NOWCAST_CATEGORIES, "order", [RUN_COLUMN])
 
 
-def ultra_feed(rows: DataFrame) -> DataFrame:
+def ultra_feed(rows: DataFrame, polls: DataFrame) -> DataFrame:
     """The newest published ultra-short forecast of every run and cell."""
-    items = latest_base(_cell_items(rows, "ultra_shortfcst"), forecast_base(poll_clock()), keys=(RUN_COLUMN, "nx", "ny"))
+    items = _polled(_cell_items(rows, "ultra_shortfcst"), polls, "_forecast")
+    items = latest_base(items, F.col("_forecast"), keys=(RUN_COLUMN, "nx", "ny"))
     return wide.latest_wide(items.drop("obsrValue"), wide.ULTRA_CATEGORIES, "order", [RUN_COLUMN])
 
 
-def short_feed(rows: DataFrame, calls: DataFrame, horizon: int = HORIZON_HOURS) -> DataFrame:
+def short_feed(rows: DataFrame, calls: DataFrame, polls: DataFrame, horizon: int = HORIZON_HOURS) -> DataFrame:
     """The next hours of the short-range forecast; cells without them take the hours after the issue."""
     items = _cell_items(rows, "short_fcst").where(F.col("category").isin(*wide.SHORT_CATEGORIES))
-    after_issue = plus_hours(issue_time(poll_clock()), 1)
-    start = F.greatest(after_issue, floor_hour(poll_clock()))
-    kept = keep_hours_or_fallback(items, start, after_issue, horizon, (RUN_COLUMN, "nx", "ny"))
+    items = _polled(items, polls, "_start", "_after_issue")
+    kept = keep_hours_or_fallback(items, F.col("_start"), F.col("_after_issue"), horizon, (RUN_COLUMN, "nx", "ny"))
     coded = wide.with_region_code(wide.short_forecast_wide(kept, by=[RUN_COLUMN]), calls)
     return wide.unique_short_forecast(coded, [RUN_COLUMN])
 
@@ -159,17 +182,17 @@ def build_runs(
     if not runs:
         return
     rows = read_landed(spark, root).where(F.col(RUN_COLUMN).isin(*runs))
+    polls = poll_times(spark, runs)
     if {"ultra_shortfcst", "uv", "typhoon"} & set(feeds):
-        land_feed(ultra_feed(rows), root, "ultra_shortfcst")
+        land_feed(ultra_feed(rows, polls), root, "ultra_shortfcst")
     if "ultra_nowcast" in feeds:
-        land_feed(nowcast_feed(rows), root, "ultra_nowcast")
+        land_feed(nowcast_feed(rows, polls), root, "ultra_nowcast")
     if "short_fcst" in feeds:
-        land_feed(short_feed(rows, calls), root, "short_fcst")
+        land_feed(short_feed(rows, calls, polls), root, "short_fcst")
     if not {"uv", "typhoon"} & set(feeds):
         return
     ultra = spark.read.schema("fcstDate string, fcstTime string, dt string").parquet(f"{root}/ultra_shortfcst")
-    asked = spark.createDataFrame([(r,) for r in runs], f"{RUN_COLUMN} string")
-    hours = run_hours(ultra.where(F.col(RUN_COLUMN).isin(*runs)), asked)
+    hours = run_hours(ultra.where(F.col(RUN_COLUMN).isin(*runs)), polls.select(RUN_COLUMN))
     if "uv" in feeds:
         land_feed(index_feed(rows, calls, hours), root, "uv")
     if "typhoon" in feeds:
