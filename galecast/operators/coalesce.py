@@ -9,7 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from galecast.operators.keys import newest_per_key, splittable
+from galecast.operators.keys import KEY_HASH, newest_per_key, splittable
 
 log = logging.getLogger(__name__)
 
@@ -46,17 +46,20 @@ def merge_feeds(
     for all joins. A base that may repeat a key many times needs a second
     shuffle of the (smaller) feeds, so that Spark can split its full partitions.
     With ``unique_feeds`` the feeds are known to have one row per key as well.
+    A unique base that carries the hash of its keys is joined by both.
     """
     usable = [f for f in feeds if _usable(f, keys)]
-    joined = base.select(*keys, *[F.col(c).alias(f"base.{c}") for c in base.columns if c not in keys])
-    sources = {c: [f"base.{c}"] for c in base.columns if c not in keys}
+    hashed = unique_base and not unique_feeds and KEY_HASH in base.columns
+    on = [KEY_HASH, *keys] if hashed else list(keys)
+    joined = base.select(*on, *[F.col(c).alias(f"base.{c}") for c in base.columns if c not in on])
+    sources = {c: [f"base.{c}"] for c in base.columns if c not in on}
     for i, feed in enumerate(usable):
         fill = [c for c in feed.columns if c in feed.rows.columns and c not in keys]
         order = [c for c in feed.order_by if c in feed.rows.columns and c not in keys]
         wanted = list(dict.fromkeys([*keys, *order, *fill]))
-        right = feed.rows if unique_feeds else newest_per_key(feed.rows.select(*wanted), keys, order)
-        right = right.select(*keys, *[F.col(c).alias(f"{i}.{c}") for c in fill])
-        joined = joined.join(right if unique_base else splittable(right, keys), list(keys), "left")
+        right = feed.rows if unique_feeds else newest_per_key(feed.rows.select(*wanted), keys, order, hashed)
+        right = right.select(*on, *[F.col(c).alias(f"{i}.{c}") for c in fill])
+        joined = joined.join(right if unique_base else splittable(right, keys), on, "left")
         for c in fill:
             sources.setdefault(c, []).append(f"{i}.{c}")
     filled = [

@@ -11,7 +11,7 @@ from galecast.functions.clock import forecast_clock
 from galecast.functions.scores import WEIGHTS
 from galecast.operators.canonical import canonicalize
 from galecast.operators.coalesce import KEYS, Feed, merge_feeds
-from galecast.operators.keys import newest_per_key
+from galecast.operators.keys import KEY_HASH, newest_per_key
 from galecast.operators.percentiles import RUN
 from galecast.operators.regions import attach_regions
 from galecast.operators.scoring import HAZARDS, Hazard, score_all
@@ -61,8 +61,8 @@ def bucketed_feeds(
     for name, rows in canonical_feeds(feeds, nowcast_valid_time, read_amount_text).items():
         if set(keys) <= set(rows.columns):
             kept = rows.columns if name == BASE_FEED else [c for c in rows.columns if c in {*keys, *order_by, *FILLS[name]}]
-            unique = newest_per_key(rows.select(*kept), keys, [c for c in order_by if c in kept])
-            rows = bucketed(unique, keys, buckets, f"feed_{name}")
+            unique = newest_per_key(rows.select(*kept), keys, [c for c in order_by if c in kept], hashed=True)
+            rows = bucketed(unique.drop(KEY_HASH), keys, buckets, f"feed_{name}")
         out[name] = rows
     return out
 
@@ -87,7 +87,7 @@ def merge(
     else:
         fixed = canonical_feeds(feeds, nowcast_valid_time, read_amount_text)
         base = fixed[BASE_FEED]
-        base = newest_per_key(base, keys, [c for c in order_by if c in base.columns])
+        base = newest_per_key(base, keys, [c for c in order_by if c in base.columns], hashed=True)
     rights = [Feed(n, fixed.get(n), columns, order_by) for n, columns in FILLS.items()]
     return merge_feeds(base, rights, keys, unique_base=True, unique_feeds=landed)
 

@@ -2,7 +2,13 @@
 
 from __future__ import annotations
 
-from galecast.plans import bronze
+import re
+
+from pyspark.sql import functions as F
+
+from galecast.operators.coalesce import KEYS
+from galecast.operators.keys import newest_per_key
+from galecast.plans import bronze, silver
 
 
 def landed(spark, *items):
@@ -38,3 +44,26 @@ def test_times_of_a_poll_are_not_worked_out_in_filters_of_items(spark):
         ("2025081516", 40, "1600"): (7, 21.0, None), ("2025081516", 41, "1500"): (8, 19.0, None),
         ("2025082516", 42, "1700"): (9, None, 0.5),
     }
+
+
+def wide_feed(spark, n, **values):
+    keys = [(F.col("id") % 7).cast("int").alias("nx"), (F.col("id") % 11).cast("int").alias("ny"), F.lit("20250801").alias("fcstDate"),
+            F.when(F.col("id") % 13 > 0, "0300").alias("fcstTime")]
+    return spark.range(n).select(*keys, F.col("id").alias("seq"), *[v.alias(c) for c, v in values.items()])
+
+
+def test_merge_sorts_by_a_hash_of_the_key_first(spark):
+    feeds = {
+        "ultra_shortfcst": wide_feed(spark, 3000, T1H=F.col("id") * 1.0, WSD=F.lit(None).cast("double")),
+        "short_fcst": wide_feed(spark, 1500, WSD=F.col("id") * 2.0),
+    }
+    merged = silver.merge(feeds, order_by=["seq"])
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    sorts = re.findall(r"Sort \[(\w+)#", plan)
+    assert sorts and set(sorts) == {"_key_hash"}
+    assert merged.columns == [*KEYS, "seq", "T1H", "WSD"]
+    base = {r[:4]: r for r in map(tuple, newest_per_key(feeds["ultra_shortfcst"], KEYS, ["seq"]).collect())}
+    right = {r[:4]: r[5] for r in map(tuple, newest_per_key(feeds["short_fcst"], KEYS, ["seq"]).collect())}
+    expected = {k: (*r[:6], None if k[3] is None else right.get(k)) for k, r in base.items()}
+    found = [tuple(r) for r in merged.collect()]
+    assert len(found) == len(base) and {r[:4]: r for r in found} == expected
