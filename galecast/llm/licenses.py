@@ -81,6 +81,14 @@ def _spans(paragraphs: DataFrame) -> DataFrame:
     return cut.withColumn("at", F.explode(starts)).select("family", F.slice("words", F.col("at"), F.col("n")).alias("words")).distinct()
 
 
+def run_terms(runs: Column) -> Column:
+    """Distinct 1-, 2- and 3-grams within runs of words (texts), sorted; most runs are one word, which is all there is to spell."""
+    several = F.filter(runs, lambda run: F.contains(run, F.lit(" ")))
+    single = F.filter(runs, lambda run: ~F.contains(run, F.lit(" ")))
+    spelled = F.flatten(F.transform(several, lambda run: grams(F.split(run, " "), (1, 2, 3))))
+    return F.array_sort(F.array_distinct(F.concat(single, spelled)))
+
+
 @dataclass(frozen=True)
 class LicenseModel:
     """``weights``: term to one number per family, each minus that of ``unknown``; ``intercepts`` likewise.
@@ -129,10 +137,8 @@ def _ordinary(docs: DataFrame) -> DataFrame:
     lines = paragraphs_of(docs.select("doc_id", "text"))
     worded = lines.select(F.xxhash64("paragraph", "doc_id", "line").alias("key"), normal_words(F.col("paragraph")).alias("words"))
     known = F.transform("words", lambda w: F.when(w.isin(sorted({x for w in templates for x in w})), w).otherwise(""))
-    runs = F.filter(F.split(F.btrim(F.array_join(known, " ")), " {2,}"), lambda run: run != "")
-    termed = worded.withColumn("runs", runs).withColumn(
-        "terms", F.array_sort(F.array_distinct(F.flatten(F.transform("runs", lambda run: grams(F.split(run, " "), (1, 2, 3))))))
-    )
+    runs = F.array_remove(F.split(F.btrim(F.array_join(known, " ")), " {2,}"), "")
+    termed = worded.withColumn("runs", F.array_distinct(runs)).withColumn("terms", run_terms(F.col("runs")))
     # Few paragraphs share word pairs enough with all templates together to be compared with each.
     near = F.size(F.filter("terms", lambda t: t.isin(spoken_pairs))) >= fewest
     paired = termed.withColumn("pairs", F.when(near, grams(F.col("words"), (2,))))
