@@ -52,8 +52,8 @@ def _table(spark: SparkSession, rows: Sequence[Mapping], schema: str) -> DataFra
 
 def normal_words(text: Column) -> Column:
     """Lower-case words of letters, digits and inner points; array."""
-    cleaned = F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}.]+", " ")
-    return F.filter(F.split(F.regexp_replace(cleaned, r"\.(?= |$)", ""), " "), lambda w: w != "")
+    cleaned = F.regexp_replace(F.lower(text), r"\.(?![\p{L}\p{N}.])|[^\p{L}\p{N}. ]+", " ")
+    return F.array_remove(F.split(cleaned, " "), "")
 
 
 def _plain_words(text: str) -> list[str]:
@@ -83,10 +83,11 @@ def _spans(paragraphs: DataFrame) -> DataFrame:
 
 def run_terms(runs: Column) -> Column:
     """Distinct 1-, 2- and 3-grams within runs of words (texts), sorted; most runs are one word, which is all there is to spell."""
-    several = F.filter(runs, lambda run: F.contains(run, F.lit(" ")))
+    # Cut once a run: what is bound by name is not worked out anew for every n-gram.
+    several = F.transform(F.filter(runs, lambda run: F.contains(run, F.lit(" "))), lambda run: F.split(run, " "))
     single = F.filter(runs, lambda run: ~F.contains(run, F.lit(" ")))
-    spelled = F.flatten(F.transform(several, lambda run: grams(F.split(run, " "), (1, 2, 3))))
-    return F.array_sort(F.array_distinct(F.concat(single, spelled)))
+    spelled = F.flatten(F.transform(several, lambda words: grams(words, (1, 2, 3))))
+    return F.sort_array(F.array_distinct(F.concat(single, spelled)))
 
 
 @dataclass(frozen=True)
